@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blattwerk.llm.textkernel import Tokens, line_keys, segment_sum, skeleton, tokens
+from blattwerk.llm.textkernel import NUMBER, Tokens, line_keys, segment_sum, skeleton, tokens, word_hash
 
 #: Most blocks that the sample holds.
 SAMPLE_BLOCKS = 24_000
@@ -128,3 +128,15 @@ def fit_on_sample(blocks: DataFrame, sample_blocks: int = SAMPLE_BLOCKS) -> Line
     rows = named.where(slot < share).limit(sample_blocks).collect()
     rows.sort(key=lambda r: (r["name"], r["markdown"]))
     return fit([r["markdown"] for r in rows], [r["name"] for r in rows])
+
+
+_PAGE_HASHES = np.array(sorted({word_hash(w) for w in PAGE_WORDS}), np.int64)
+
+
+def page_numbers(t: Tokens) -> np.ndarray:
+    """Per line of tokens, whether it is a page number: one or two numbers and else only page words."""
+    number = t.h == NUMBER
+    numbers = np.bincount(t.line[number], minlength=t.n_lines)[: t.n_lines]
+    others = np.bincount(t.line[~number & ~np.isin(t.h, _PAGE_HASHES)], minlength=t.n_lines)[: t.n_lines]
+    size = np.bincount(t.line, minlength=t.n_lines)[: t.n_lines]
+    return (others == 0) & (numbers >= 1) & (numbers <= 2) & (size <= 4)

@@ -24,37 +24,31 @@ GLYPH_CLASSES = ("ce", "ft", "nuü", "lir1", "gq", "oaäö0", "bh", "sß5")
 HYPHENS = "-­¬‐"
 CONJUNCTIONS = ("und", "oder", "bzw", "sowie", "noch", "als", "bis", "beziehungsweise", "and", "or")
 
-# a number, also with letters read for digits and with a trailing letter (12a)
-_NUMBER = re.compile(r"(?<![^\W\d_])[lio]{0,2}\d[\dlio]*(?:[.,:]\d+)*[a-z]?(?![^\W\d_])")
+# a number in skeleton letters: also with letters read for digits and with a trailing letter (12a)
+_NUMBER = re.compile(rb"[la]{0,2}[0-9][0-9la]*[a-z]?")
 _JOIN = re.compile(rf"[{HYPHENS}][ \t]*\n(?!(?:{'|'.join(CONJUNCTIONS)})\b)(?=[a-zäöüß])")
 
 NUMBER, LINE, BLOCK = (np.int64(x) for x in (1, 2, 3))
-_RESERVED = {b"#": int(NUMBER), b";": int(LINE), b"!": int(BLOCK)}
+_MARKS = {b";": int(LINE), b"!": int(BLOCK)}
 
 
 def _table() -> bytes:
     t = bytearray(b" " * 256)
-    for c in "abcdefghijklmnopqrstuvwxyz":
-        t[ord(c)] = ord(c)
-    for c in "0123456789":
-        t[ord(c)] = ord(c)
+    for c in b"abcdefghijklmnopqrstuvwxyz0123456789;!":
+        t[c] = c
     for group in GLYPH_CLASSES:
         for c in group:
-            if ord(c) < 128:
+            if c.isascii() and c.isalpha():
                 t[ord(c)] = ord(group[0])
-    for c in "#;!":
-        t[ord(c)] = ord(c)
     return bytes(t)
 
 
 _TABLE = _table()
+_DIGITS = bytes.maketrans(b"105", bytes(ord(next(g[0] for g in GLYPH_CLASSES if c in g)) for c in "105"))
 _UMLAUTS = tuple((c.encode(), group[0].encode()) for group in GLYPH_CLASSES for c in group if ord(c) > 127)
 _WIDE = tuple((a.encode(), b.encode()) for a, b in WIDE_GLYPHS.items())
-_CLEAR = str.maketrans({"#": " ", ";": " ", "!": " "})
-
-
 def skeleton_bytes(text: str) -> bytes:
-    """Skeleton of lower-cased text: letters and digits, the marks ``#;!``, all else blank."""
+    """Skeleton of lower-cased text: letters and digits (as they are), the marks ``;!``, all else blank."""
     b = text.encode("utf-8", "replace")
     for a, r in _UMLAUTS:
         b = b.replace(a, r)
@@ -65,20 +59,21 @@ def skeleton_bytes(text: str) -> bytes:
 
 def skeleton(word: str) -> str:
     """Glyph skeleton of one word."""
-    return skeleton_bytes(word.lower()).decode().replace(" ", "")
+    return skeleton_bytes(word.lower()).translate(_DIGITS, b" ").decode()
 
 
 class _Hashes(dict):
-    """Token -> 63-bit hash; single letters are 0, the marks have numbers of their own."""
+    """Token -> 63-bit hash; single letters are 0, numbers and the marks have codes of their own."""
 
     def __missing__(self, token: bytes) -> int:
-        if token in _RESERVED:
-            h = _RESERVED[token]
-        elif len(token) < 2 or token in _LONE_LETTERS:
-            h = 0
+        if token in _MARKS:
+            h = _MARKS[token]
+        elif _NUMBER.fullmatch(token):
+            h = int(NUMBER)
         else:
-            h = (xxhash.xxh3_64_intdigest(token) >> 1) | 4
-        if len(self) > 2_000_000:  # keeps a worker's memory bounded
+            token_letters = token.translate(_DIGITS)
+            h = 0 if len(token) < 2 or token in _LONE_LETTERS else (xxhash.xxh3_64_intdigest(token_letters) >> 1) | 4
+        if len(self) > 400_000:  # keeps a worker's memory bounded
             self.clear()
         self[token] = h
         return h
@@ -113,10 +108,9 @@ class Tokens:
 def tokens(texts: list[str], join_hyphens: bool) -> Tokens:
     """Tokens of ``texts``; ``join_hyphens`` puts words together that are parted at line ends."""
     s = "\x00".join(t.replace("\x00", " ") if "\x00" in t else t for t in texts).lower()
-    s = s.translate(_CLEAR)
+    s = s.replace(";", " ").replace("!", " ")
     if join_hyphens:
         s = _JOIN.sub("", s)
-    s = _NUMBER.sub(" # ", s)
     s = s.replace("\n", " ; ").replace("\x00", " ! ")
     toks = skeleton_bytes(s).split()
     a = np.fromiter(map(_hashes.__getitem__, toks), dtype=np.int64, count=len(toks))
