@@ -71,16 +71,14 @@ class _Hashes(dict):
         elif _NUMBER.fullmatch(token):
             h = int(NUMBER)
         else:
-            token_letters = token.translate(_DIGITS)
-            h = 0 if len(token) < 2 or token in _LONE_LETTERS else (xxhash.xxh3_64_intdigest(token_letters) >> 1) | 4
+            h = 0 if len(token) < 2 else (xxhash.xxh3_64_intdigest(token.translate(_DIGITS)) >> 1) | 4
         if len(self) > 400_000:  # keeps a worker's memory bounded
             self.clear()
         self[token] = h
         return h
 
 
-# skeletons of single letters that are written as two
-_LONE_LETTERS = {skeleton_bytes(c).strip() for c in WIDE_GLYPHS if len(c) == 1}
+_WIDE_LETTERS = [c for c in WIDE_GLYPHS if len(c) == 1]
 _hashes = _Hashes()
 
 
@@ -103,15 +101,24 @@ class Tokens:
     n_blocks: int
     line_block: np.ndarray
     line_letters: np.ndarray
+    text: str
 
 
-def tokens(texts: list[str], join_hyphens: bool) -> Tokens:
-    """Tokens of ``texts``; ``join_hyphens`` puts words together that are parted at line ends."""
+def tokens(texts: list[str], join_hyphens: bool, drop: re.Pattern | None = None) -> Tokens:
+    """Tokens of ``texts``; ``join_hyphens`` puts words together that are parted at line ends,
+    ``drop`` (a pattern over lower-cased text, within lines) is left out first. ``text`` is what
+    was tokenised: lower-cased, texts parted by NUL, with the lines that ``line`` counts.
+    """
     s = "\x00".join(t.replace("\x00", " ") if "\x00" in t else t for t in texts).lower()
-    s = s.replace(";", " ").replace("!", " ")
+    if drop is not None:
+        s = drop.sub("", s)
     if join_hyphens:
         s = _JOIN.sub("", s)
+    text = s
+    s = s.replace(";", " ").replace("!", " ")
     s = s.replace("\n", " ; ").replace("\x00", " ! ")
+    for c in _WIDE_LETTERS:  # a letter on its own is not what looks like it (rn)
+        s = s.replace(f" {c} ", " x ")
     toks = skeleton_bytes(s).split()
     a = np.fromiter(map(_hashes.__getitem__, toks), dtype=np.int64, count=len(toks))
     new_block = a == BLOCK
@@ -123,7 +130,7 @@ def tokens(texts: list[str], join_hyphens: bool) -> Tokens:
     line_block[1:] = block_of[new_line]
     letters = np.bincount(line_of[a == 0], minlength=n_lines)
     keep = (a != 0) & ~new_line
-    return Tokens(a[keep], line_of[keep], block_of[keep], n_lines, n_blocks, line_block, letters)
+    return Tokens(a[keep], line_of[keep], block_of[keep], n_lines, n_blocks, line_block, letters, text)
 
 
 def segment_sum(values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
