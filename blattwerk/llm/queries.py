@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blattwerk.llm import boilerplate
+from blattwerk.llm import boilerplate, quality, repetition, scanrepair
 from blattwerk.sources import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,8 +14,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "p1_found": lambda s, d: repetition.repeated_blocks(table(s, d, "page_block")),
+        "p1_share": lambda s, d: repetition.block_repetition(table(s, d, "page_block")),
+        "p2_found": lambda s, d: scanrepair.found_defects(table(s, d, "page_block")),
         "p3_found": lambda s, d: boilerplate.source_lines(table(s, d, "page_block")),
         "p3_clean": lambda s, d: boilerplate.without_source_lines(table(s, d, "page_block")),
+        "p5_found": lambda s, d: quality.blocks_not_prose(table(s, d, "page_block"), table(s, d, "vocab"), table(s, d, "page_kind")),
+        "p5_stats": lambda s, d: quality.block_quality(table(s, d, "page_block"), table(s, d, "vocab")),
     }
 
 

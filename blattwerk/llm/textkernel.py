@@ -16,9 +16,11 @@ import numpy as np
 import xxhash
 
 # Glyphs that scanners confuse. First those that look like two
-# letters (or two that look like one, ii for ü), then the classes of single letters; the first of a class stands for it.
-WIDE_GLYPHS = {"ii": "n", "m": "rn", "d": "cl", "w": "vv"}
-GLYPH_CLASSES = ("ce", "ft", "nuü", "lir1", "gq", "oaäö0", "bh", "sß5")
+# letters, then the classes of single letters; the first of a class stands for it.
+WIDE_GLYPHS = {"m": "rn", "d": "cl", "w": "vv"}
+GLYPH_CLASSES = ("ce", "ft", "nuü", "lir1", "gq", "oaäö0", "bh8", "sß5", "vy")
+#: Readings that the skeleton does not join; tried for forms that it leaves alone.
+RARE_GLYPHS = (("h", "li"), ("ii", "ü"), ("b", "ß"), ("li", "h"))
 
 #: Hyphens at the end of a line that part a word, and words after which a line-end hyphen stays.
 HYPHENS = "-­¬‐"
@@ -44,7 +46,7 @@ def _table() -> bytes:
 
 
 _TABLE = _table()
-_DIGITS = bytes.maketrans(b"105", bytes(ord(next(g[0] for g in GLYPH_CLASSES if c in g)) for c in "105"))
+_DIGITS = bytes.maketrans(b"1058", bytes(ord(next(g[0] for g in GLYPH_CLASSES if c in g)) for c in "1058"))
 _UMLAUTS = tuple((c.encode(), group[0].encode()) for group in GLYPH_CLASSES for c in group if ord(c) > 127)
 _WIDE = tuple((a.encode(), b.encode()) for a, b in WIDE_GLYPHS.items())
 def skeleton_bytes(text: str) -> bytes:
@@ -78,7 +80,7 @@ class _Hashes(dict):
         return h
 
 
-_WIDE_LETTERS = [c for c in WIDE_GLYPHS if len(c) == 1]
+_WIDE_LETTERS = tuple(WIDE_GLYPHS)
 _hashes = _Hashes()
 
 
@@ -163,3 +165,8 @@ def slices(texts: list[str], most: int = 4_000_000):
             first, size = i + 1, 0
     if first < len(texts):
         yield first, len(texts)
+
+
+def line_starts(t: Tokens) -> np.ndarray:
+    """Index of the first line of each text."""
+    return np.searchsorted(t.line_block, np.arange(t.n_blocks))
