@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blattwerk.llm import boilerplate, quality, repetition, scanrepair
+from blattwerk.llm import boilerplate, mixing, packing, quality, repetition, scanrepair, truncation
 from blattwerk.sources import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,12 @@ def queries() -> dict[str, Query]:
         "p3_clean": lambda s, d: boilerplate.without_source_lines(table(s, d, "page_block")),
         "p5_found": lambda s, d: quality.blocks_not_prose(table(s, d, "page_block"), table(s, d, "vocab"), table(s, d, "page_kind")),
         "p5_stats": lambda s, d: quality.block_quality(table(s, d, "page_block"), table(s, d, "vocab")),
+        "p6_pack": lambda s, d: packing.pack_documents(table(s, d, "documents"), table(s, d, "container_spec")),
+        "p6_fill": lambda s, d: packing.fill_rates(packing.pack_documents(table(s, d, "documents"), table(s, d, "container_spec")), table(s, d, "container_spec")),
+        "p7_mix": lambda s, d: mixing.mix_documents(table(s, d, "documents"), table(s, d, "mix_target")),
+        "p7_shares": lambda s, d: mixing.document_shares(table(s, d, "documents"), table(s, d, "mix_target")),
+        "p8_found": lambda s, d: truncation.truncated_documents(table(s, d, "documents")),
+        "p8_rates": lambda s, d: truncation.truncation_rates(table(s, d, "documents")),
     }
 
 
