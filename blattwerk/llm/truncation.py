@@ -102,6 +102,8 @@ def ending(text: str) -> tuple[int, str]:
     stripped = line.strip()
     if stripped.startswith("|"):
         return (WHOLE if stripped.endswith("|") and not marked else CUT), ""
+    if stripped.startswith("**") and stripped.count("**") % 2:
+        return CUT, word
     if last in ".!?":
         if last == "." and (low in _ABBREVIATIONS or low in _LEADING) and bare[:-1].lower().endswith(low):
             return CUT, word
