@@ -1,34 +1,11 @@
-"""Registered queries of the core: each with the DataFrame form and, where SQL can say it, an oracle."""
+"""The history query."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
 from blattwerk.operators import history
+from blattwerk.queries.registry import register
 from blattwerk.sources import table
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-_QUERIES: dict[str, Query] = {}
-_ORACLE: dict[str, str] = {}
-
-
-def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLE)
-
-
-def register(name: str, query: Query, sql: str | None = None) -> None:
-    _QUERIES[name] = query
-    if sql:
-        _ORACLE[name] = sql
-
-
 _STATUS = "CASE {c} WHEN 'offen' THEN 'open' WHEN 'akzeptiert' THEN 'accepted' WHEN 'abgelehnt' THEN 'rejected' WHEN 'neu-erzeugt' THEN 're-created' WHEN 'uebernommen' THEN 'adopted' ELSE nullif(trim({c}), '') END"
 _INSTANT = "coalesce(CAST(epoch_us(TRY_CAST(CASE WHEN regexp_matches({c}, '(Z|[+-][0-9]{{2}}:[0-9]{{2}})$') THEN {c} ELSE {c} || 'Z' END AS TIMESTAMPTZ)) AS VARCHAR), nullif(trim({c}), ''))"
 
