@@ -19,7 +19,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from blattwerk.plans import broadcast_if_small, cut
@@ -137,10 +137,13 @@ def ending(text: str) -> tuple[int, str]:
 
 def _endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = [ending(x or "") for x in batch.column(batch.num_columns - 1).to_pylist()]
-        kept = [batch.column(i) for i in range(batch.num_columns - 1)]
-        names = batch.schema.names[:-1]
-        yield pa.RecordBatch.from_arrays([*kept, pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.string())], [*names, "how", "word"])
+        texts = [x or "" for x in batch.column(3).to_pylist()]
+        sizes = list(zip(*map(lengths, texts), strict=True)) or [()] * len(ENCODINGS)
+        ends = [ending(x) for x in texts]
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(i) for i in range(3)), *(pa.array(n, pa.int64()) for n in sizes), pa.array([e[0] for e in ends], pa.int32()), pa.array([e[1] for e in ends], pa.string())],
+            ["doc_id", "source", "declared", *ENCODINGS, "how", "word"],
+        )
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,40 +163,28 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def _count(c: Column, chars: str) -> Column:
-    return F.char_length(c) - F.char_length(F.translate(c, chars, ""))
-
-
-def lengths(c: Column) -> dict[str, Column]:
-    """Lengths of a text under the encodings, escapes and line ends that a field may count."""
-    chars, utf8 = F.char_length(c), F.octet_length(c)
-    lf, quotes, slashes = _count(c, "\n"), _count(c, '"'), _count(c, "\\")
-    marks = 4 * _count(c, "&") + 3 * _count(c, "<>") + 5 * quotes
-    other = F.char_length(F.regexp_replace(c, r"[\x00-\x7f]+", ""))
-    umlauts, eszett, wide = _count(c, "äöüÄÖÜ"), _count(c, "ß"), _count(c, "§–€„“")
-    json = lf + quotes + slashes + _count(c, "\t\r")
-    numeric = F.lit(5) * (other - _count(c, "–€„“…•▪→")) + F.lit(6) * _count(c, "–€„“…•▪→")
-    return {
-        "chars": chars,
-        "chars_crlf": chars + lf,
-        "utf8": utf8,
-        "utf8_crlf": utf8 + lf,
-        "utf16": 2 * chars,
-        "html": chars + marks,
-        "html_utf8": utf8 + marks,
-        "entities": chars + marks + 5 * umlauts + 6 * eszett + 5 * wide,
-        "numeric_entities": chars + numeric,
-        "json": chars + json,
-        "json_utf8": utf8 + json,
-        "json_ascii": chars + json + 5 * other,
-    }
-
-
 ENCODINGS = (
     "chars", "chars_crlf", "utf8", "utf8_crlf", "utf16", "html", "html_utf8", "entities", "numeric_entities", "json", "json_utf8", "json_ascii",
 )
 
 
+def lengths(text: str) -> tuple[int, ...]:
+    """Lengths of a text under the encodings, escapes and line ends that a field may count, as ``ENCODINGS``."""
+    n = text.count
+    chars, utf8 = len(text), len(text.encode("utf-8", "replace"))
+    other = chars - len(text.encode("ascii", "ignore"))
+    lf, quotes = n("\n"), n('"')
+    marks = 4 * n("&") + 3 * (n("<") + n(">")) + 5 * quotes
+    json = lf + quotes + n("\\") + n("\t") + n("\r")
+    named = 5 * sum(map(n, "äöüÄÖÜ")) + 6 * n("ß") + 5 * sum(map(n, "§–€„“")) if other else 0
+    wide = sum(map(n, "–€„“…•▪→")) if other else 0
+    units = len(text.encode("utf-16-le", "replace"))
+    return (
+        chars, chars + lf, utf8, utf8 + lf, units, chars + marks, utf8 + marks, chars + marks + named,
+        chars + 5 * other + wide, chars + json, utf8 + json, chars + json + 5 * other,
+    )
+
+
 def _stacked(rows: DataFrame, *keep: str) -> DataFrame:
     pairs = F.explode(F.map_from_arrays(F.array(*[F.lit(e) for e in ENCODINGS]), F.array(*[F.col(e) for e in ENCODINGS])))
     return rows.select(*keep, pairs.alias("encoding", "length"))
@@ -246,7 +237,6 @@ def judged(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.coalesce(F.lower(F.trim("source")), F.lit("")).alias("source"),
         F.col("declared_bytes").cast("bigint").alias("declared"),
-        *[n.cast("bigint").alias(e) for e, n in lengths(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).items()],
         F.col(text_col).cast("string").alias("text"),
     )
     schema = "doc_id bigint, source string, declared bigint, " + ", ".join(f"{e} bigint" for e in ENCODINGS) + ", how int, word string"
