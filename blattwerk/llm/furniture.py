@@ -125,9 +125,9 @@ def fit_on_sample(blocks: DataFrame, sample_blocks: int = SAMPLE_BLOCKS) -> Line
     n = blocks.count()
     slot = F.pmod(F.xxhash64("name"), F.lit(1_000_000))
     share = min(1_000_000, int(1_000_000 * 0.8 * sample_blocks / max(1, n)) + 1) if n > sample_blocks else 1_000_000
-    rows = named.where(slot < share).limit(sample_blocks).collect()
-    rows.sort(key=lambda r: (r["name"], r["markdown"]))
-    return fit([r["markdown"] for r in rows], [r["name"] for r in rows])
+    # a block that was delivered twice does not come back
+    rows = sorted({(r["name"], r["markdown"]) for r in named.where(slot < share).limit(sample_blocks).collect()})
+    return fit([m for _, m in rows], [n for n, _ in rows])
 
 
 _PAGE_HASHES = np.array(sorted({word_hash(w) for w in PAGE_WORDS}), np.int64)

@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
         "p1_found": lambda s, d: repetition.repeated_blocks(table(s, d, "page_block")),
         "p1_share": lambda s, d: repetition.block_repetition(table(s, d, "page_block")),
         "p2_found": lambda s, d: scanrepair.found_defects(table(s, d, "page_block")),
+        "p2_repaired": lambda s, d: scanrepair.repaired(table(s, d, "page_block")),
         "p3_found": lambda s, d: boilerplate.source_lines(table(s, d, "page_block")),
         "p3_clean": lambda s, d: boilerplate.without_source_lines(table(s, d, "page_block")),
         "p5_found": lambda s, d: quality.blocks_not_prose(table(s, d, "page_block"), table(s, d, "vocab"), table(s, d, "page_kind")),
