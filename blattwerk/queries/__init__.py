@@ -1,6 +1,6 @@
 """Registered queries of the core."""
 
-from blattwerk.queries import history, joins, lines, quality, review, text  # noqa: F401
+from blattwerk.queries import documents, history, joins, lines, quality, review, text  # noqa: F401
 from blattwerk.queries.registry import ORACLE, QUERIES, Query
 
 

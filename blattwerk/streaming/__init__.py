@@ -1 +1,3 @@
+from blattwerk.streaming import progress
 
+__all__ = ["progress"]
