@@ -103,8 +103,12 @@ def show_private(c: Column) -> Column:
 
 
 def clean_line(c: Column) -> Column:
-    """A recognised line in plain notation: symbols, arrows, underlines, footnote marks, signs of sections."""
-    c = show_private(c)
+    """A recognised line in plain notation: symbols, arrows, underlines, footnote marks, signs of sections.
+
+    Most lines hold nothing of the kind and pass one cheap test only.
+    """
+    odd = c.rlike("[$\\\\^|\ue000-\uf8ff]|§\\s|\\*\\*\\s*\\*\\*|\\s$")
+    line, c = c, show_private(c)
     for name, arrow in ARROWS.items():
         c = F.regexp_replace(c, rf"\$?\\{name}\$?(?![A-Za-z])", arrow)
     for pattern, by in (
@@ -122,7 +126,7 @@ def clean_line(c: Column) -> Column:
         (r"\s+$", ""),
     ):
         c = F.regexp_replace(c, pattern, by)
-    return c
+    return F.when(odd, c).otherwise(line)
 
 
 def join_hyphen(a: Column, b: Column) -> Column:

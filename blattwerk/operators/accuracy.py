@@ -2,26 +2,37 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+
+
+@F.pandas_udf(StructType([StructField(n, IntegerType()) for n in ("true_n", "read_n", "common")]))
+def _common(true: pd.Series, read: pd.Series) -> pd.DataFrame:
+    pairs = [(Counter(a), Counter(b)) for a, b in zip(true, read, strict=True)]
+    return pd.DataFrame({"true_n": [a.total() for a, _ in pairs], "read_n": [b.total() for _, b in pairs], "common": [(a & b).total() for a, b in pairs]})
+
+
+@F.pandas_udf(ArrayType(StructType([StructField("item", StringType()), StructField("n", IntegerType())])))
+def _lost(true: pd.Series, read: pd.Series) -> pd.Series:
+    return pd.Series([[{"item": i, "n": n} for i, n in (Counter(a) - Counter(b)).items()] for a, b in zip(true, read, strict=True)])
 
 
 def overlap(pairs: DataFrame, key: str, true_words: Column, read_words: Column) -> DataFrame:
-    """``key, true_n, read_n, common``: sizes of two multisets and of their intersection."""
-    rows = pairs.select(key, true_words.alias("t"), read_words.alias("r"))
-    sizes = rows.select(key, F.size("t").alias("true_n"), F.size("r").alias("read_n"))
-    both = rows.select(key, F.explode("t").alias("w"), F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(rows.select(key, F.explode("r").alias("w"), F.lit(0).alias("a"), F.lit(1).alias("b")))
-    common = both.groupBy(key, "w").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).groupBy(key).agg(F.sum(F.least("a", "b")).alias("common"))
-    return sizes.join(common, key, "left").withColumn("common", F.coalesce("common", F.lit(0)))
+    """``key, true_n, read_n, common``: sizes of two multisets of words and of their intersection.
+
+    Both stand in one row, so they are compared there and nothing is shuffled.
+    """
+    return pairs.select(key, _common(true_words, read_words).alias("c")).select(key, "c.true_n", "c.read_n", "c.common")
 
 
 def missing(pairs: DataFrame, key: str, true_items: Column, read_items: Column) -> DataFrame:
     """``key, item, n``: what stands in the true text more often than in the read one."""
-    rows = pairs.select(key, true_items.alias("t"), read_items.alias("r"))
-    both = rows.select(key, F.explode("t").alias("item"), F.lit(1).alias("d")).unionByName(rows.select(key, F.explode("r").alias("item"), F.lit(-1).alias("d")))
-    return both.groupBy(key, "item").agg(F.sum("d").alias("n")).where("n > 0")
+    return pairs.select(key, F.explode(_lost(true_items, read_items)).alias("m")).select(key, "m.item", "m.n")
 
 
 def weighted_mean(value: Column, weight: Column) -> Column:
@@ -36,8 +47,6 @@ def upper_median(value: Column) -> Column:
 
 def order_similarity(pairs: DataFrame, key: str, true_words: str, read_words: str) -> DataFrame:
     """``key, similarity``: ratio of matching runs of words (difflib's, without its junk rule), by Arrow batches."""
-    import pandas as pd
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from difflib import SequenceMatcher
 

