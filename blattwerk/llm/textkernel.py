@@ -27,7 +27,7 @@ HYPHENS = "-­¬‐"
 CONJUNCTIONS = ("und", "oder", "bzw", "sowie", "noch", "als", "bis", "beziehungsweise", "and", "or")
 
 # a number in skeleton letters: also with letters read for digits and with a trailing letter (12a)
-_NUMBER = re.compile(rb"[la]{0,2}[0-9][0-9la]*[a-z]?")
+_NUMBER = re.compile(rb"[lo]{0,2}[0-9][0-9lo]*[a-z]?")
 _JOIN = re.compile(rf"[{HYPHENS}][ \t]*\n(?!(?:{'|'.join(CONJUNCTIONS)})\b)(?=[a-zäöüß])")
 
 NUMBER, LINE, BLOCK = (np.int64(x) for x in (1, 2, 3))
@@ -118,8 +118,8 @@ def tokens(texts: list[str], join_hyphens: bool, drop: re.Pattern | None = None)
         s = _JOIN.sub("", s)
     text = s
     s = s.replace(";", " ").replace("!", " ")
-    s = s.replace("\n", " ; ").replace("\x00", " ! ")
-    for c in _WIDE_LETTERS:  # a letter on its own is not what looks like it (rn)
+    s = f" {s} ".replace("\n", " ; ").replace("\x00", " ! ")
+    for c in _WIDE_LETTERS * 2:  # a letter on its own is not what looks like it (rn); twice, for blanks that two share
         s = s.replace(f" {c} ", " x ")
     toks = skeleton_bytes(s).split()
     a = np.fromiter(map(_hashes.__getitem__, toks), dtype=np.int64, count=len(toks))
