@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from blattwerk.llm.textkernel import NUMBER, Tokens, line_keys, segment_sum, skeleton, tokens, word_hash
 
-#: Most blocks that the sample holds.
-SAMPLE_BLOCKS = 24_000
+#: Most blocks that the sample holds, and the longest text in it.
+SAMPLE_BLOCKS, SAMPLE_CHARS = 24_000, 20_000
 BUCKETS = 1 << 19
 #: Bound of a feature's weight against a stamped line; weight of a feature that the sample lacks.
 MOST_AGAINST, UNSEEN = 2.0, -0.5
@@ -121,7 +121,7 @@ def fit_on_sample(blocks: DataFrame, sample_blocks: int = SAMPLE_BLOCKS) -> Line
     Whole previews are taken in the order of their name's hash: the share of previews is
     chosen from the row count, and the bound holds whatever the sizes are.
     """
-    named = blocks.where(F.col("markdown").isNotNull() & F.col("name").isNotNull()).select("name", "markdown")
+    named = blocks.where((F.char_length("markdown") <= SAMPLE_CHARS) & F.col("name").isNotNull()).select("name", "markdown")
     n = blocks.count()
     slot = F.pmod(F.xxhash64("name"), F.lit(1_000_000))
     share = min(1_000_000, int(1_000_000 * 0.8 * sample_blocks / max(1, n)) + 1) if n > sample_blocks else 1_000_000

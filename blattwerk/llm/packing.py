@@ -167,11 +167,14 @@ def pack(sizes: DataFrame, spec: DataFrame) -> DataFrame:
         (r["k"], min(r["c"], LARGEST))
         for r in spec.where("capacity_tokens > 0 AND container_kind IS NOT NULL").groupBy(F.col("container_kind").alias("k")).agg(F.max("capacity_tokens").alias("c")).orderBy("k").limit(KINDS).collect()
     ]
-    numbered = F.broadcast(spark.createDataFrame([(i, k, c) for i, (k, c) in enumerate(kinds)], "kind_no bigint, container_kind string, capacity bigint"))
+    numbered = F.broadcast(spark.createDataFrame([(i, k) for i, (k, _) in enumerate(kinds)], "kind_no bigint, container_kind string"))
+    if not kinds:
+        return spark.createDataFrame([], "container_kind string, container_id bigint, doc_id bigint, piece_no int, start_token bigint, tokens bigint")
+    into = F.explode(F.array(*[F.struct(F.lit(i).cast("bigint").alias("kind_no"), F.lit(c).cast("bigint").alias("capacity")) for i, (_, c) in enumerate(kinds)]))
     n, c = F.col("tokens"), F.col("capacity")
     pieces = (
-        sizes.select("doc_id", "tokens")
-        .join(numbered.select("kind_no", "capacity"))  # a row for each of the few kinds
+        sizes.select("doc_id", "tokens", into.alias("kind"))  # a row for each of the few kinds
+        .select("doc_id", "tokens", "kind.*")
         .select("kind_no", "doc_id", n.alias("whole"), "capacity", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(n / c) - 1, F.lit(0)).cast("int"))).alias("piece_no"))
         .select("kind_no", "doc_id", "piece_no", (F.col("piece_no") * c).cast("bigint").alias("start_token"), F.least(c, F.col("whole") - F.col("piece_no") * c).cast("bigint").alias("tokens"))
     )

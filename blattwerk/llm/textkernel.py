@@ -74,7 +74,7 @@ class _Hashes(dict):
             h = int(NUMBER)
         else:
             h = 0 if len(token) < 2 else (xxhash.xxh3_64_intdigest(token.translate(_DIGITS)) >> 1) | 4
-        if len(self) > 400_000:  # keeps a worker's memory bounded
+        if len(self) > 200_000:  # keeps a worker's memory bounded
             self.clear()
         self[token] = h
         return h
@@ -155,7 +155,7 @@ def line_keys(t: Tokens) -> np.ndarray:
     return key
 
 
-def slices(texts: list[str], most: int = 4_000_000):
+def slices(texts: list[str], most: int = 1_000_000):
     """(first, end) ranges of ``texts`` of about ``most`` characters, so that memory stays bounded."""
     first = size = 0
     for i, x in enumerate(texts):

@@ -29,7 +29,7 @@ PILE, PEAK, ABOUT = 5, 8.0, 100
 #: Share of the texts at a limit that end cut or open.
 CONFIRMED = 0.5
 #: Distinct words that a task holds before it passes them on.
-FLUSH = 300_000
+FLUSH = 100_000
 #: Letters of the longest word that is looked at.
 LONGEST = 60
 
