@@ -6,7 +6,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
@@ -39,10 +39,13 @@ def weighted_mean(value: Column, weight: Column) -> Column:
     return F.sum(value * weight) / F.sum(weight)
 
 
-def upper_median(value: Column) -> Column:
-    """The element in the middle, the upper one of two: not the mean of both."""
-    v = F.array_sort(F.collect_list(value))
-    return F.element_at(v, (F.size(v) / 2).cast("int") + 1)
+def upper_medians(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """``key, middle, least, most``: the element in the middle of each group (the upper one of two, not the mean of
+    both), from the numbers of equal values, so that no group is gathered."""
+    n = rows.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy(key)
+    c = n.withColumn("upto", F.sum("n").over(w.orderBy(value))).withColumn("all", F.sum("n").over(w))
+    return c.groupBy(key).agg(F.min(F.when(F.col("upto") > F.floor(F.col("all") / 2), F.col(value))).alias("middle"), F.min(value).alias("least"), F.max(value).alias("most"))
 
 
 def order_similarity(pairs: DataFrame, key: str, true_words: str, read_words: str) -> DataFrame:

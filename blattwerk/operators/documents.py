@@ -30,17 +30,12 @@ def marker(page: Column, origin: Column, layout: Column) -> Column:
     return F.concat(F.concat_ws(" | ", F.concat(F.lit("%% S. "), page.cast("string")), origin, layout), F.lit(" %%"))
 
 
-def build(pages: DataFrame, key: str, page: str = "page_no", text: str = "markdown", last_page: Column | None = None) -> DataFrame:
-    """``key, document``: the pages of each document in order, each under its marker. With ``last_page`` only
-    those up to it, as when a run was cancelled. A document is one row, so it has to fit into memory."""
+def build(pages: DataFrame, key: str, page: str = "page_no", text: str = "markdown", last_page: Column | None = None, per_part: int = 2_000) -> DataFrame:
+    """``key, part, document``: the pages of each document in order, each under its marker. With ``last_page`` only
+    those up to it, as when a run was cancelled. Longer documents come in parts of ``per_part`` page numbers."""
     p = pages if last_page is None else pages.where(F.col(page) <= last_page)
     block = F.concat(marker(F.col(page), F.col("origin"), F.col("layout")), F.lit("\n\n"), F.coalesce(F.col(text), F.lit("")))
-    g = p.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(page).alias("p"), block.alias("b")))).alias("bs"))
-    return g.select(key, F.concat(F.array_join(F.transform("bs", lambda x: x["b"]), "\n\n"), F.lit("\n")).alias("document"))
+    part = F.floor((F.col(page) - 1) / per_part).cast("int").alias("part")
+    g = p.groupBy(key, part).agg(F.array_sort(F.collect_list(F.struct(F.col(page).alias("p"), block.alias("b")))).alias("bs"))
+    return g.select(key, "part", F.concat(F.array_join(F.transform("bs", lambda x: x["b"]), "\n\n"), F.lit("\n")).alias("document"))
 
-
-def manifest_json(states: DataFrame, updated: str) -> DataFrame:
-    """One row with the states as sorted JSON lines in chunks would not be one file; so each entry is a row,
-    in the order of names: write it with ``sortWithinPartitions`` and ``text``."""
-    fields = [c for c in states.columns if c != "name"]
-    return states.select("name", F.to_json(F.struct(F.lit(updated).alias("read_at"), *fields)).alias("entry")).orderBy("name")

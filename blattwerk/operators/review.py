@@ -36,8 +36,9 @@ def head_number(head: Column, field: str) -> Column:
 
 def latest_states(manifest: DataFrame) -> DataFrame:
     """The state of each entry: of its last ``updated`` the row loaded last."""
-    w = Window.partitionBy("name").orderBy(F.desc_nulls_last("updated"), F.desc_nulls_last("loaded_at"), F.desc_nulls_last("status"))
-    return manifest.where("name IS NOT NULL").withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+    rest = [c for c in manifest.columns if c != "name"]
+    last = F.max_by(F.struct(*rest), F.struct("updated", "loaded_at", "status")).alias("s")
+    return manifest.where("name IS NOT NULL").groupBy("name").agg(last).select("name", "s.*")
 
 
 def reconcile(files: DataFrame, states: DataFrame, elsewhere: DataFrame | None = None) -> DataFrame:
@@ -110,11 +111,11 @@ def originals(previews: DataFrame, files: DataFrame, manual: DataFrame) -> DataF
 
 
 def parts(names: DataFrame, col: str = "name") -> DataFrame:
-    """``base, parts, names``: groups of files that are parts of one, in the order of their numbers."""
+    """``base, name, part``: the files that are parts of one, and the place of each in the order of their numbers."""
     base = F.regexp_replace(F.col(col), r" Teil \d+$", "")
     no = F.coalesce(F.regexp_extract(F.col(col), r" Teil (\d+)$", 1).try_cast("int"), F.lit(0))
-    g = names.select(base.alias("base"), F.struct(no.alias("no"), F.col(col).alias("n")).alias("p")).groupBy("base").agg(F.array_sort(F.collect_set("p")).alias("p"))
-    return g.select("base", F.size("p").alias("parts"), F.array_join(F.transform("p", lambda x: x["n"]), "; ").alias("names"))
+    p = names.select(base.alias("base"), F.col(col).alias("name"), no.alias("no")).distinct()
+    return p.select("base", "name", F.row_number().over(Window.partitionBy("base").orderBy("no", "name")).alias("part"))
 
 
 def free_names(wanted: DataFrame, taken: DataFrame, name: str, date: str) -> DataFrame:

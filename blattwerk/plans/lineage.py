@@ -35,5 +35,4 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     Give it a frame that is cheap to count (one that went through :func:`cut`);
     beyond the bound Spark joins by shuffle.
     """
-    few = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n")).first()["n"] <= max_rows
-    return F.broadcast(df) if few else df
+    return F.broadcast(df) if df.count() <= max_rows else df

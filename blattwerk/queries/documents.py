@@ -24,9 +24,9 @@ def _documents(s: SparkSession, d: str) -> DataFrame:
 
 register(
     "build_document",
-    lambda s, d: _documents(s, d).select("name", F.md5("document").alias("document_md5"), F.char_length("document").alias("chars")),
-    f"""WITH {BLOCKS}, g AS (SELECT name, string_agg({_MARK} || chr(10) || chr(10) || coalesce(markdown, ''), chr(10) || chr(10) ORDER BY page_no, {_MARK} || chr(10) || chr(10) || coalesce(markdown, '')) || chr(10) AS document FROM blocks WHERE name IS NOT NULL GROUP BY name)
-SELECT name, md5(document) AS document_md5, length(document) AS chars FROM g""",
+    lambda s, d: _documents(s, d).select("name", "part", F.md5("document").alias("document_md5"), F.char_length("document").alias("chars")),
+    f"""WITH {BLOCKS}, g AS (SELECT name, CAST((page_no - 1) // 2000 AS INT) AS part, string_agg({_MARK} || chr(10) || chr(10) || coalesce(markdown, ''), chr(10) || chr(10) ORDER BY page_no, {_MARK} || chr(10) || chr(10) || coalesce(markdown, '')) || chr(10) AS document FROM blocks WHERE name IS NOT NULL GROUP BY ALL)
+SELECT name, part, md5(document) AS document_md5, length(document) AS chars FROM g""",
 )
 register(
     "partial_document",

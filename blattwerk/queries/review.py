@@ -67,7 +67,7 @@ register(
     "part_groups",
     lambda s, d: R.parts(table(s, d, "preview")),
     """WITH p AS (SELECT DISTINCT regexp_replace(name, ' Teil [0-9]+$', '') AS base, coalesce(TRY_CAST(regexp_extract(name, ' Teil ([0-9]+)$', 1) AS INT), 0) AS no, name FROM preview)
-SELECT base, CAST(count(*) AS INT) AS parts, string_agg(name, '; ' ORDER BY no, name) AS names FROM p GROUP BY base""",
+SELECT base, name, CAST(row_number() OVER (PARTITION BY base ORDER BY no, name) AS INT) AS part FROM p""",
 )
 register(
     "free_names",

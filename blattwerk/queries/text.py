@@ -74,7 +74,7 @@ register(
 SELECT word, count, suggestion FROM u LEFT JOIN (SELECT * FROM k WHERE k = 1) USING (word)""",
 )
 register("known_forms", lambda s, d: vocabulary.known_forms(_words(s, d), table(s, d, "vocab")))
-register("ranked_findings", lambda s, d: vocabulary.ranked(vocabulary.unknown(_words(s, d), table(s, d, "vocab"))).where("rank <= 12"), f"WITH {_OCR_WORDS}, r AS (SELECT word, count, row_number() OVER (ORDER BY count DESC, word) AS rank FROM u) SELECT * FROM r WHERE rank <= 12")
+register("ranked_findings", lambda s, d: vocabulary.ranked(vocabulary.unknown(_words(s, d), table(s, d, "vocab"))), f"WITH {_OCR_WORDS}, r AS (SELECT word, count, row_number() OVER (ORDER BY count DESC, word) AS rank FROM u) SELECT * FROM r WHERE rank <= 12")
 
 
 def _pairs(s: SparkSession, d: str) -> DataFrame:
@@ -107,7 +107,7 @@ register(
 )
 register(
     "upper_median",
-    lambda s, d: _accuracy(s, d).groupBy("cohort").agg(accuracy.upper_median(F.col("true_n")).alias("middle"), F.min("true_n").alias("least"), F.max("true_n").alias("most")),
+    lambda s, d: _accuracy(s, d).transform(lambda a: accuracy.upper_medians(a, "cohort", "true_n")),
     f"WITH {_SHARES} SELECT cohort, list_sort(list(true_n))[count(*) // 2 + 1] AS middle, min(true_n) AS least, max(true_n) AS most FROM a GROUP BY cohort",
 )
 register(

@@ -43,8 +43,9 @@ def write_entries(states: DataFrame) -> DataFrame:
     return states.select("name", F.to_json(F.struct(*[F.col(name).alias(key) for name, key, _, _ in FIELDS if name in states.columns])).alias("entry")).orderBy("name")
 
 
-def manifest_of(states: DataFrame, updated: str) -> DataFrame:
-    """One row with the whole manifest. It is one file by its nature, so it has to fit into memory."""
-    e = write_entries(states).agg(F.array_sort(F.collect_list(F.concat(F.to_json(F.struct(F.col("name").alias("n"))), F.lit("\x00"), F.col("entry")))).alias("es"))
+def manifest_of(states: DataFrame, updated: str, per_file: int = 5_000) -> DataFrame:
+    """``file, json``: the manifest in files of about ``per_file`` entries, by hash of the name."""
+    files = max(1, -(-states.count() // per_file))
+    e = write_entries(states).groupBy(F.pmod(F.xxhash64("name"), F.lit(files)).alias("file")).agg(F.array_sort(F.collect_list(F.concat(F.to_json(F.struct(F.col("name").alias("n"))), F.lit("\x00"), F.col("entry")))).alias("es"))
     pair = lambda x: F.concat(F.regexp_extract(x, '^\\{"n":(".*")\\}\x00', 1), F.lit(":"), F.regexp_replace(x, "^[^\x00]*\x00", ""))
-    return e.select(F.concat(F.lit('{"version":1,"updated":"' + updated + '","entries":{'), F.array_join(F.transform("es", pair), ","), F.lit("}}")).alias("json"))
+    return e.select("file", F.concat(F.lit('{"version":1,"updated":"' + updated + '","entries":{'), F.array_join(F.transform("es", pair), ","), F.lit("}}")).alias("json"))
