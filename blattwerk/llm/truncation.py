@@ -56,7 +56,8 @@ _RUNNING = frozenset(
     "the is are has have was were not that which because if neither nor with from into for on at by and or but".split()
 )
 _ITEM_MARK = re.compile(r"\s*(?:[-*•▪·–+→>]+\s+|\(?\d{1,3}[.)]\s+|\(?[a-z]{1,2}\)\s+|[ivx]+[.)]\s+|[A-Z]:\s+)")
-_REFERENCE = re.compile(r"§§?\s*\d+[a-z]?(?:\s+Abs\.\s*\d+)?(?:\s+S\.\s*\d+)?(?:\s+Nr\.\s*\d+)?\s+[A-ZÄÖÜ][\wÄÖÜäöüß]+[\s.,;)*\]]*$")
+_REFERENCE = re.compile(r"§§?\s*\d+[a-z]?(?:\s+Abs\.\s*\d+)?(?:\s+S\.\s*\d+)?(?:\s+Nr\.\s*\d+)?\s+[A-ZÄÖÜ]\w*[A-ZÄÖÜ]\w*[\s.,;)*\]]*$")
+_CELLS = re.compile(r"\t+| {2,}")
 _REFERENCE_LINE = re.compile(r"\s*(?:\[\^\w+\]:\s*)?(?:Vgl\.|vgl\.|Siehe|siehe|See|see|Cf\.|§)\s")
 _SIGNED = re.compile(r"\s*(?:gez\.|i\.\s*A\.|Notes compiled|Bearbeitet von|signed|Stand:?\s)", re.IGNORECASE)
 _WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
@@ -116,6 +117,11 @@ def ending(text: str) -> tuple[int, str]:
         return CUT, word
     if last in ")]" and marked is False and bare.count("(") <= bare.count(")") and bare.count("[") <= bare.count("]"):
         return OPEN if not _item_like(line) else WHOLE, ""
+    cells = _CELLS.split(stripped)
+    if len(cells) > 1 and not marked and _item_like(line):  # a table without rules: its last cell decides
+        if "§" in cells[-1]:
+            return (WHOLE if _REFERENCE.search(cells[-1]) else CUT), ""
+        return (OPEN if cells[-1][-1:].isalpha() else WHOLE), word
     if _REFERENCE_LINE.match(line) or "§" in line[-45:] and _item_like(line):
         return (WHOLE if _REFERENCE.search(line) and not marked else CUT), ("" if _REFERENCE.search(line) else word)
     if stripped.startswith("**") and not marked:

@@ -16,7 +16,7 @@ SENTENCE = "Die Regeln über den Hafen gelten auch für das Lager, soweit nichts
         (SENTENCE, T.WHOLE), ("", T.WHOLE), ("   ", T.WHOLE), (SENTENCE[:40], T.CUT), (SENTENCE[:57], T.CUT), (SENTENCE[:60] + "…", T.CUT), (SENTENCE[:60] + " [...]", T.CUT),
         (SENTENCE[:60] + " (mehr", T.CUT), (SENTENCE + "\n\nVgl. § 12 Abs. 3 HafO", T.WHOLE), (SENTENCE + "\n\nVgl. § 12 Abs.", T.CUT), (SENTENCE + " „Die Lösung hängt davon ab, wie ...“", T.WHOLE),
         (SENTENCE + " „Die Lösung hängt davon", T.CUT), (SENTENCE + "\n\n**III. Hafenrecht des", T.CUT), ("| a | b |\n| --- | --- |\n| eins | zwei |", T.WHOLE), ("| a | b |\n| eins | zw", T.CUT),
-        (SENTENCE + "\n\ngez. Redaktion Hafen", T.WHOLE), ("- Hafen\n- Lager des", T.CUT), ("- Hafen\n- Lager\n- Wasserrecht", T.OPEN), (SENTENCE + " Das Wort f�", T.CUT), ("Wer es prüft, der.", T.CUT),
+        (SENTENCE + "\n\ngez. Redaktion Hafen", T.WHOLE), ("- Hafen\n- Lager des", T.CUT), ("Kauf\t§ 3 HafO\tja\nMiete\t§ 852 UfG\t–", T.WHOLE), ("Kauf      § 3 HafO    nein\nMiete     § 4 HafO    nein", T.OPEN), ("Kauf\tja\nMiete\t§ 852 Abs", T.CUT), ("- Hafen\n- Lager\n- Wasserrecht", T.OPEN), (SENTENCE + " Das Wort f�", T.CUT), ("Wer es prüft, der.", T.CUT),
     ],
 )
 def test_endings(text, how):
