@@ -24,20 +24,24 @@ def _profile(s: SparkSession, d: str) -> DataFrame:
 
 
 _PROFILE = BOXED + ", profile AS (SELECT block_id, x, CAST(count(*) AS DOUBLE) AS ink FROM (SELECT block_id, unnest(range(CAST(x0 // 10 AS BIGINT), CAST(x1 // 10 AS BIGINT) + 1)) AS x FROM boxed) GROUP BY ALL)"
+_GUTTER = _PROFILE + """, ref AS (SELECT block_id, quantile_cont(ink, 0.6) AS ref FROM profile WHERE x >= 10 AND x < 90 GROUP BY block_id HAVING quantile_cont(ink, 0.6) > 0),
+low AS (SELECT p.block_id, x, ref, x - lag(x) OVER (PARTITION BY p.block_id ORDER BY x) - 1 > 1 AS fresh FROM profile p JOIN ref USING (block_id) WHERE x >= 30 AND x < 70 AND ink < ref * 0.35),
+r AS (SELECT block_id, x, ref, coalesce(sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER (PARTITION BY block_id ORDER BY x), 0) AS run FROM low),
+t AS (SELECT block_id, run, ref, min(x) AS a, max(x) + 1 AS b FROM r GROUP BY ALL HAVING (max(x) + 1 - min(x)) / 100 >= 0.015),
+m AS (SELECT t.block_id, run, ref, a, b, median(ink) FILTER (x BETWEEN a - 5 AND a - 1) AS l, median(ink) FILTER (x BETWEEN b AND b + 4) AS r FROM t JOIN profile USING (block_id) GROUP BY ALL),
+gut AS (SELECT block_id, ((a + b) // 2) / 100 AS center, (b - a) / 100 AS wide FROM m WHERE l >= ref * 0.35 AND r >= ref * 0.35 QUALIFY row_number() OVER (PARTITION BY block_id ORDER BY b - a DESC, a) = 1)"""
 register("ink_profile", lambda s, d: _profile(s, d), f"WITH {_PROFILE} SELECT block_id, CAST(x AS INT) AS x, ink FROM profile")
 register(
     "gutter_ink",
     lambda s, d: L.gutter(_profile(s, d), "block_id", 100).select("block_id", F.round("center", 6).alias("center"), F.round("wide", 6).alias("wide")),
-    f"""WITH {_PROFILE}, ref AS (SELECT block_id, quantile_cont(ink, 0.6) AS ref FROM profile WHERE x >= 10 AND x < 90 GROUP BY block_id HAVING quantile_cont(ink, 0.6) > 0),
-low AS (SELECT p.block_id, x, ref, x - lag(x) OVER (PARTITION BY p.block_id ORDER BY x) - 1 > 1 AS fresh FROM profile p JOIN ref USING (block_id) WHERE x >= 30 AND x < 70 AND ink < ref * 0.35),
-r AS (SELECT block_id, x, ref, coalesce(sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER (PARTITION BY block_id ORDER BY x), 0) AS run FROM low),
-t AS (SELECT block_id, run, ref, min(x) AS a, max(x) + 1 AS b FROM r GROUP BY ALL HAVING (max(x) + 1 - min(x)) / 100 >= 0.015),
-m AS (SELECT t.block_id, run, ref, a, b, median(ink) FILTER (x BETWEEN a - 5 AND a - 1) AS l, median(ink) FILTER (x BETWEEN b AND b + 4) AS r FROM t JOIN profile USING (block_id) GROUP BY ALL)
-SELECT block_id, round(((a + b) // 2) / 100, 6) AS center, round((b - a) / 100, 6) AS wide FROM m WHERE l >= ref * 0.35 AND r >= ref * 0.35 QUALIFY row_number() OVER (PARTITION BY block_id ORDER BY b - a DESC, a) = 1""",
+    f"WITH {_GUTTER} SELECT block_id, round(center, 6) AS center, round(wide, 6) AS wide FROM gut",
 )
 register(
     "layouts",
     lambda s, d: L.layouts(blocks(s, d).select("block_id"), L.gutter(_profile(s, d), "block_id", 100), S.edge_ratio(_lines(s, d), "block_id", F.lit(0.5)), "block_id"),
+    f"""WITH {_GUTTER}, e AS (SELECT block_id, CASE WHEN count(*) >= 20 THEN round(avg(CASE WHEN x1 / 1000 BETWEEN 0.35 AND 0.6 THEN 1.0 ELSE 0.0 END), 9) END AS ratio FROM boxed GROUP BY block_id),
+j AS (SELECT block_id, center, coalesce(center IS NOT NULL AND CASE WHEN ratio IS NOT NULL THEN ratio >= 0.30 ELSE wide >= 0.010 END, false) AS two FROM blocks LEFT JOIN gut USING (block_id) LEFT JOIN e USING (block_id))
+SELECT block_id, two AS two_columns, CASE WHEN two THEN center END AS gutter FROM j""",
 )
 register(
     "region_columns",
@@ -48,7 +52,12 @@ register("distinct_boxes", lambda s, d: L.distinct_boxes(_boxes(s, d, 2), "block
 register("stacked_boxes", lambda s, d: L.stacked_boxes(_boxes(s, d, 2), "block_id"))
 register("detected_boxes", lambda s, d: L.detected_boxes(_boxes(s, d), _lines(s, d), _boxes(s, d, 9), "block_id")[0].select("block_id", "box_id", "lines"))
 register("drawings", lambda s, d: L.detected_boxes(_boxes(s, d), _lines(s, d), _boxes(s, d, 9), "block_id")[1])
-register("bold_lines_by_ink", lambda s, d: L.bold_lines(_boxed(s, d).withColumns({"density": (F.col("seq") % 13) / 13.0, "height": F.col("y1") - F.col("y0")}), "block_id").select("block_id", "seq", "text"))
+register(
+    "bold_lines_by_ink",
+    lambda s, d: L.bold_lines(_boxed(s, d).withColumns({"density": ((F.col("seq") * 7) % 13).cast("double"), "height": F.col("y1") - F.col("y0")}), "block_id").select("block_id", "seq", "text"),
+    f"""WITH {BOXED}, d AS (SELECT *, CAST((seq * 7) % 13 AS DOUBLE) AS density, x1 - x0 AS w FROM boxed), m AS (SELECT *, count(*) OVER p AS n, median(density) OVER p AS mid, max(w) OVER p AS most FROM d WINDOW p AS (PARTITION BY block_id))
+SELECT block_id, seq, CASE WHEN n >= 5 AND mid > 0 AND density > mid * 1.45 AND w / greatest(most, 1) <= 0.75 AND NOT starts_with(trim(text), '**') THEN '**' || trim(text) || '**' ELSE text END AS text FROM m""",
+)
 
 
 def _cells(s: SparkSession, d: str) -> DataFrame:

@@ -158,4 +158,8 @@ def _halves(s: SparkSession, d: str) -> DataFrame:
 register(
     "outline_starts",
     lambda s, d: lines_of(blocks(s, d)).where(outline.line_start(F.col("text"))).groupBy("block_id").agg(F.count(F.lit(1)).alias("starts"), F.min("seq").alias("first")),
+    f"""WITH {LINES}, b AS (SELECT block_id, seq, text, regexp_replace(regexp_replace(text, '\\*+', '', 'g'), '^[\\t\\n\\f\\r\\v ]+', '') AS bare FROM lines),
+t AS (SELECT * FROM b WHERE regexp_matches(bare, '^[\\t ]*(?:[-•·▪○●⇒⇨→➢✔]|\\(?[0-9]{{1,2}}[.)]|[a-z]{{1,3}}[.)]|[IVXL]{{1,5}}\\.)(?:[\\t\\n\\f\\r\\v ]|$)')
+  OR (starts_with(text, '**') AND ends_with(text, '**') AND (length(text) - length(replace(text, '**', ''))) = 4 AND length(regexp_replace(text, '^\\*+[\\t ]*', '')) <= 90))
+SELECT block_id, count(*) AS starts, CAST(min(seq) AS INT) AS first FROM t GROUP BY block_id""",
 )

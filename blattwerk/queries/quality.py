@@ -77,7 +77,16 @@ c AS (SELECT block_id, CAST(coalesce(loop, 0) AS INT) AS loop, length(markdown)
 SELECT *, CASE WHEN loop >= 8 THEN 'loop' WHEN expected >= 300 AND chars / expected > 2.6 THEN 'too long' WHEN expected >= 300 AND chars / expected < 0.45 THEN 'cut short' END AS verdict,
   CASE WHEN expected < 300 THEN 8192 ELSE CAST(trunc(least(greatest(expected / 2.2 * 1.8, 1024), 8192)) AS INT) END AS budget FROM c""",
 )
-register("quality_penalty", lambda s, d: gate.page_verdicts(_expected(s, d), "block_id", "markdown", F.round("expected", 3)).select("block_id", "penalty"))
+register(
+    "quality_penalty",
+    lambda s, d: gate.page_verdicts(_expected(s, d), "block_id", "markdown", F.round("expected", 3)).select("block_id", "penalty"),
+    f"""WITH {BLOCKS}, mean AS (SELECT name, round(avg(length(coalesce(markdown, ''))), 3) AS expected FROM blocks GROUP BY name),
+t AS (SELECT block_id, name, coalesce(markdown, '') AS markdown, list_transform({TOKENS.format("markdown")}, lambda w: regexp_replace(w, '[0-9]+', '#', 'g')) AS w FROM blocks),
+g AS (SELECT block_id, array_to_string(w[i:i + 4], ' ') AS gram FROM t, LATERAL (SELECT unnest(range(1, len(w) - 3)) AS i) WHERE len(w) >= 10),
+m AS (SELECT block_id, max(n) AS loop FROM (SELECT block_id, gram, count(*) AS n FROM g GROUP BY ALL) GROUP BY block_id),
+c AS (SELECT block_id, coalesce(loop, 0) AS loop, length(markdown) AS chars, expected FROM t JOIN mean USING (name) LEFT JOIN m USING (block_id))
+SELECT block_id, round(CASE WHEN loop >= 8 THEN 10.0::DOUBLE ELSE 0.0::DOUBLE END + CASE WHEN expected >= 300 THEN abs(ln(greatest(chars, 1) / expected)) ELSE -least(chars, 20000) / 20000 END, 6) AS penalty FROM c""",
+)
 register(
     "tile_mode",
     lambda s, d: blocks(s, d).select(

@@ -136,6 +136,7 @@ SELECT name, CASE WHEN status IN ('open', 'offen') THEN 'open' WHEN status IN ('
 register(
     "event_properties",
     lambda s, d: table(s, d, "events").select("event_id", F.from_json("props", "map<string,string>").alias("m")).select("event_id", F.explode("m").alias("key", "val")).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("val").alias("values")),
+    "WITH m AS (SELECT unnest(json_keys(props)) AS key, props FROM events), v AS (SELECT key, props ->> key AS val FROM m) SELECT key, count(*) AS n, count(DISTINCT val) AS values FROM v GROUP BY key",
 )
 register(
     "plain_words",

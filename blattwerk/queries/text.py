@@ -162,7 +162,11 @@ register(
 )
 register("clean_lines", lambda s, d: lines_of(blocks(s, d)).select("block_id", "seq", T.clean_line(F.col("text")).alias("clean")))
 register("boilerplate_lines", lambda s, d: boxed(lines_of(blocks(s, d))).where(boilerplate.boilerplate(F.col("text"), F.col("y0"))).select("block_id", "seq", "text"))
-register("callouts", lambda s, d: blocks(s, d).where(F.col("origin").isin("diagram", "diagramm")).select("block_id", T.callout(F.coalesce("markdown", F.lit("")), F.col("name")).alias("note")))
+register(
+    "callouts",
+    lambda s, d: blocks(s, d).where(F.col("origin").isin("diagram", "diagramm")).select("block_id", T.callout(F.coalesce("markdown", F.lit("")), F.col("name")).alias("note")),
+    f"""WITH {BLOCKS} SELECT block_id, '> [!note]- ' || name || chr(10) || regexp_replace(array_to_string(list_transform(string_split(coalesce(markdown, ''), chr(10)), lambda x: '> ' || x), chr(10)), '[\n> ]+$', '') AS note FROM blocks WHERE origin IN ('diagram', 'diagramm')""",
+)
 register(
     "natural_order",
     lambda s, d: table(s, d, "preview").select("name", T.natural_key(F.col("name")).alias("key")),
