@@ -1,6 +1,6 @@
 """Views of the page tables: blocks delivered once, and their lines.
 
-A block that was delivered twice has the same content, so any of its rows serves.
+A block that was delivered twice has the same content.
 """
 
 from __future__ import annotations
@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blattwerk.plans import broadcast_if_small, cut, spread
 from blattwerk.sources.tables import table
 
 #: Units of a page's width and height.
@@ -15,8 +16,23 @@ PAGE = 1000
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each page block once."""
-    return table(spark, sf_dir, "page_block").dropDuplicates(["block_id"])
+    """Each page block once: the row that was loaded first.
+
+    Which blocks came more than once is found from ids and times alone. They are few, so their list is
+    broadcast (after it was counted) and the texts of all others are not shuffled; a list beyond the bound
+    is joined by shuffle. Rows that are alike in their time as well are dropped by id.
+    """
+    return once(spread(table(spark, sf_dir, "page_block")), "block_id", "loaded_at")
+
+
+def once(rows: DataFrame, key: str, at: str) -> DataFrame:
+    """``rows`` with each key once, its earliest row; rows without a key stay."""
+    times = rows.where(F.col(key).isNotNull()).groupBy(key, at).agg(F.count(F.lit(1)).alias("n"))
+    many = cut(times.groupBy(key).agg(F.sum("n").alias("n"), F.min(F.struct(at, "n")).alias("first")).where("n > 1").select(key, F.col(f"first.{at}").alias("_first"), (F.col("first.n") > 1).alias("_alike")))
+    if not many.where("_alike OR _first IS NULL").isEmpty():
+        return rows.where(F.col(key).isNull()).unionByName(rows.where(F.col(key).isNotNull()).dropDuplicates([key]))
+    kept = rows.join(broadcast_if_small(many.drop("_alike")), key, "left").where(F.col("_first").isNull() | (F.col("_first") == F.col(at)))
+    return kept.select(*rows.columns)
 
 
 def lines_of(pages: DataFrame) -> DataFrame:

@@ -148,3 +148,14 @@ def test_reconcile(spark, files, state, want):
     assert (r.status, r.action) == want
     if not files:
         assert R.reconcile(f, s).count() == 0
+
+
+def test_each_block_once(spark):
+    from blattwerk.sources.pages import once
+
+    rows = [(1, 5, "a"), (1, 7, "a"), (2, 1, "b"), (None, 1, "c"), (None, 1, "c")]
+    df = spark.createDataFrame(rows, "k int, t int, x string")
+    assert sorted(map(str, once(df, "k", "t").collect())) == sorted(map(str, df.where("NOT (k <=> 1 AND t = 7)").collect()))
+    alike = df.unionByName(df.where("k = 2"))
+    assert once(alike, "k", "t").where("k = 2").count() == 1 and once(alike, "k", "t").count() == 4
+    assert once(df.where("false"), "k", "t").count() == 0
