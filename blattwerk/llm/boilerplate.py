@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blattwerk.llm.textkernel import NUMBER, line_keys, slices, tokens
-from blattwerk.plans import broadcast_if_small, cut
+from blattwerk.plans import broadcast_if_small, cut, spread
 
 #: A case stands in this many blocks and this share of the blocks of its source.
 MIN_BLOCKS, MIN_SHARE = 4, 0.2
@@ -51,7 +51,7 @@ def block_lines(blocks: DataFrame) -> DataFrame:
     narrow = blocks.where(F.col("source_pdf").isNotNull() & F.col("block_id").isNotNull()).select(
         F.col("block_id").cast("bigint").alias("block_id"), F.xxhash64("source_pdf").alias("source"), F.col("markdown").cast("string").alias("markdown")
     )
-    rows = narrow.mapInArrow(_keys, "block_id bigint, source bigint, keys array<bigint>, line_nos array<int>")
+    rows = spread(narrow).mapInArrow(_keys, "block_id bigint, source bigint, keys array<bigint>, line_nos array<int>")
     # a block delivered twice has the same content, so any of its rows will do
     return rows.dropDuplicates(["block_id"])
 

@@ -11,6 +11,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from blattwerk.plans import spread
+
 #: A file of byte-pair ranks (its vocabulary is used, nothing is trained).
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern by which that tokenizer parts a text before it joins bytes.
@@ -66,4 +68,4 @@ def token_sizes(documents: DataFrame, tokenizer: str = TOKENIZER, weights: bool
     rows = documents.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("bigint"), F.coalesce(F.lower(F.trim("source")), F.lit("")).alias("source"), F.col("text").cast("string")
     )
-    return rows.mapInArrow(_counter(tokenizer, weights), "doc_id bigint, source string, tokens bigint, weight double")
+    return spread(rows).mapInArrow(_counter(tokenizer, weights), "doc_id bigint, source string, tokens bigint, weight double")

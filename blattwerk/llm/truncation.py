@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from blattwerk.plans import broadcast_if_small, cut
+from blattwerk.plans import broadcast_if_small, cut, spread
 
 #: Texts that a pile-up holds at least, and how often it must exceed the lengths about it.
 PILE, PEAK, ABOUT = 5, 8.0, 100
@@ -220,7 +220,7 @@ def announced_in(rows: DataFrame) -> DataFrame:
 def word_beginnings(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """``word, fragment`` of the words among ``rows.word`` that begin a longer word (by more than
     an ending); a fragment stands nowhere by itself."""
-    words = cut(texts.mapInArrow(_words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")))
+    words = cut(spread(texts).mapInArrow(_words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")))
     asked = rows.where(F.col("word") != "").select("word").distinct()
     starts = words.where(F.char_length("word") > 3).select(
         F.explode(F.transform(F.sequence(F.lit(1), F.char_length("word") - 1), lambda i: F.substring("word", F.lit(1), i))).alias("start"), "word"
@@ -246,7 +246,7 @@ def judged(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.col(text_col).cast("string").alias("text"),
     )
     schema = "doc_id bigint, source string, declared bigint, " + ", ".join(f"{e} bigint" for e in ENCODINGS) + ", how int, word string"
-    ends = cut(rows.mapInArrow(_endings, schema))
+    ends = cut(spread(rows).mapInArrow(_endings, schema))
     begun = broadcast_if_small(cut(word_beginnings(ends, documents.select(F.col(text_col).cast("string")))).withColumn("begins", F.lit(True)))
     limits = storage_limits(ends).groupBy("source").agg(F.collect_set(F.struct("encoding", "length")).alias("limits"))
     per_source = broadcast_if_small(cut(limits.join(announced_in(ends), "source", "full")))
