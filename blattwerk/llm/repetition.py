@@ -28,8 +28,8 @@ from blattwerk.plans import spread
 GRAM, BUCKETS = 4, 1 << 12
 #: Successive words that make a passage, and the share of later copies that makes a case.
 PASSAGE, MIN_SHARE = 8, 0.3
-#: Length-normalised log-likelihood ratio at and below which a text is measured exactly.
-#: A tenth of later copies lies below it at every corpus size (see ``threshold``).
+#: A tenth of later copies lies below the threshold at every corpus size (see ``threshold``);
+#: texts above it are no cases.
 LATER_SHARE = 0.1
 _STEP = np.int64(0x9E3779B97F4A7C15 - (1 << 64))
 
@@ -135,10 +135,11 @@ def _scorer(model: LineModel | None, ratios: np.ndarray, at_most: float, all_row
             ids, texts = batch.column(0), _texts(batch, 1)
             for a, b in slices(texts):
                 t = own_tokens(texts[a:b], model)
-                f, text, _ = _features(t)
+                f, text, later = _features(t)
                 n = np.bincount(text, minlength=b - a)[: b - a]
                 llr = np.bincount(text, weights=ratios[f], minlength=b - a)[: b - a] / np.maximum(n, 1)
-                hit = (n > 0) & (llr <= at_most)
+                # a repeated passage holds later copies of shorter n-grams, so a text without any has share 0
+                hit = np.bincount(text[later], minlength=b - a)[: b - a] > 0 if all_rows else (n > 0) & (llr <= at_most)
                 t = only_words(t, hit[t.block])
                 words = np.bincount(t.block, minlength=b - a)[: b - a]
                 again = np.bincount(t.block[repeated_words(t)], minlength=b - a)[: b - a]
@@ -156,8 +157,8 @@ def repetition(texts: DataFrame, id_col: str, text_col: str, model: LineModel |
     the share of words in a second or later copy of a passage.
 
     Rows with a null id are left out. A null, empty or short text (fewer than ``GRAM`` words)
-    has ratio and share 0; a text above the threshold has share 0. Repeated rows of an id
-    come out as often as they go in. Without ``all_rows`` only texts below the threshold come out.
+    has ratio and share 0. Repeated rows of an id come out as often as they go in. Without
+    ``all_rows`` only texts at or below the threshold come out; all cases are among them.
     An empty table gives an empty result. Other columns are ignored.
     """
     rows = texts.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))

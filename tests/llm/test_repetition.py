@@ -45,6 +45,16 @@ def test_share_equals_brute_force(spark):
             assert got[i].repeated_share in (0.0, want) or np.isclose(got[i].repeated_share, want)
 
 
+def test_share_does_not_depend_on_the_threshold(spark, monkeypatch):
+    monkeypatch.setattr(R, "threshold", lambda ratios: -1e9)  # every text lies above it
+    rows = _corpus()
+    got = {r.id: r.repeated_share for r in R.repetition(spark.createDataFrame(rows, "id bigint, text string"), "id", "text").collect()}
+    want = {i: _brute(tokens([t], True).h.tolist()) for i, t in rows}
+    assert any(0 < x < R.MIN_SHARE for x in want.values())
+    for i in want:
+        assert np.isclose(got[i], want[i]), i
+
+
 def test_threshold_loses_no_case(spark):
     rows = _corpus()
     df = spark.createDataFrame(rows, "id bigint, text string")
