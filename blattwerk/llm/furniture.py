@@ -1,26 +1,35 @@
 """Lines that are stamped on a page and not its own text.
 
-A small log-odds classifier over hashed words and word pairs of a line. It is
-fitted on a bounded sample (``SAMPLE_BLOCKS`` blocks of whole previews, taken by
-hash of the preview's name), labelled by a rule: a line that comes back on many
-pages of one preview is stamped. The model has a fixed size and is applied to
-every line of every block.
+A line that comes back on many pages of one preview, numbers masked, is stamped:
+lines are counted by (preview, key) over all blocks, and those over the rule's
+bounds are joined to the blocks of their preview.
+
+Stamped lines that do not come back are told by a small log-odds classifier over
+hashed words and word pairs of a line. It is fitted on a bounded sample
+(``SAMPLE_BLOCKS`` blocks of whole previews, taken by hash of the preview's name),
+labelled by the same rule. The model has a fixed size and is applied to every line
+of every block.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blattwerk.llm.textkernel import NUMBER, Tokens, line_keys, segment_sum, skeleton, tokens, word_hash
+from blattwerk.llm.textkernel import NUMBER, Tokens, line_keys, line_starts, segment_sum, skeleton, slices, tokens, word_hash
+from blattwerk.plans import broadcast_if_small, cut, spread
 
 #: Most blocks that the sample holds, and the longest text in it.
 SAMPLE_BLOCKS, SAMPLE_CHARS = 24_000, 20_000
+#: A stamped line stands in this many blocks and this share of the blocks of its preview, and has this many words.
+MIN_BLOCKS, MIN_SHARE, MIN_WORDS = 3, 0.04, 3
 BUCKETS = 1 << 19
 #: Bound of a feature's weight against a stamped line; weight of a feature that the sample lacks.
 MOST_AGAINST, UNSEEN = 2.0, -0.5
@@ -78,7 +87,7 @@ def _features(t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return f, np.concatenate([line, pair_line]), size
 
 
-def fit(texts: list[str], groups: list[str], min_blocks: int = 3, min_share: float = 0.04, smooth: float = 1.0) -> LineModel:
+def fit(texts: list[str], groups: list[str], min_blocks: int = MIN_BLOCKS, min_share: float = MIN_SHARE, smooth: float = 1.0) -> LineModel:
     """Model from texts of whole groups: a line of three words or more is taken for stamped
     if its skeleton, numbers masked, stands in ``min_blocks`` blocks and ``min_share`` of the group's blocks."""
     if not texts:
@@ -130,6 +139,75 @@ def fit_on_sample(blocks: DataFrame, sample_blocks: int = SAMPLE_BLOCKS) -> Line
     return fit([m for _, m in rows], [n for n, _ in rows])
 
 
+def _block_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = batch.column(2).to_pylist()
+        for a, b in slices(texts):
+            t = tokens(texts[a:b], join_hyphens=False)
+            key = line_keys(t)
+            use = np.flatnonzero((np.bincount(t.line, minlength=t.n_lines)[: t.n_lines] >= MIN_WORDS) & (key != 0))
+            # each key once a block; key 0 stands for the block itself
+            block = np.concatenate([np.arange(b - a), t.line_block[use]])
+            key = np.concatenate([np.zeros(b - a, np.int64), key[use]])
+            order = np.lexsort((key, block))
+            block, key = block[order], key[order]
+            once = np.append(True, (block[1:] != block[:-1]) | (key[1:] != key[:-1]))
+            block, key = block[once], key[once]
+            keys = pa.ListArray.from_arrays(pa.array(np.searchsorted(block, np.arange(b - a + 1)).astype(np.int32)), pa.array(key))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), keys], ["block_id", "preview", "keys"])
+
+
+def recurring_lines(blocks: DataFrame) -> DataFrame:
+    """``preview`` (a hash of ``name``) and ``stamped``, the keys of the lines that come back in it, over all blocks.
+
+    Blocks with a null id or name, or without text, are left out; repeated rows of a block count once. Pairs are
+    counted with partial aggregation, so a preview that holds a large share of the blocks is no hot task.
+    """
+    text = F.col("markdown").cast("string")
+    narrow = blocks.where(F.col("block_id").isNotNull() & F.col("name").isNotNull() & (F.coalesce(text, F.lit("")) != ""))
+    narrow = spread(narrow.select(F.col("block_id").cast("bigint").alias("block_id"), F.xxhash64("name").alias("preview"), text.alias("markdown")))
+    rows = narrow.mapInArrow(_block_keys, "block_id bigint, preview bigint, keys array<bigint>").dropDuplicates(["block_id"])
+    pairs = rows.select("preview", F.explode("keys").alias("key")).groupBy("preview", "key").agg(F.count(F.lit(1)).alias("k"))
+    often = cut(pairs.where(F.col("k") >= MIN_BLOCKS))
+    size = often.where("key = 0").select("preview", F.col("k").alias("n"))
+    over = often.where("key <> 0").join(size, "preview").where(F.col("k") >= MIN_SHARE * F.col("n"))
+    return cut(over.groupBy("preview").agg(F.collect_list("key").alias("stamped")))
+
+
+def with_recurring(rows: DataFrame, recurring: DataFrame, name_col: str) -> DataFrame:
+    """``rows`` with the column ``stamped`` of :func:`recurring_lines` instead of ``name_col``; null where nothing comes back."""
+    hashed = rows.withColumn("preview", F.when(F.col(name_col).isNotNull(), F.xxhash64(name_col))).drop(name_col)
+    return hashed.join(broadcast_if_small(recurring), "preview", "left").drop("preview")
+
+
+def recurs(t: Tokens, stamped: list) -> np.ndarray:
+    """Per line, whether its key is among those of its text (``stamped``: a list of keys, or None, a text)."""
+    sizes = [len(x) if x else 0 for x in stamped]
+    if not any(sizes):
+        return np.zeros(t.n_lines, bool)
+    known = np.array([k for x in stamped if x for k in x], np.int64)
+    with np.errstate(over="ignore"):
+        known ^= np.repeat(np.arange(len(stamped)), sizes) * _PAIR
+        key = line_keys(t) ^ (t.line_block * _PAIR)
+    return np.isin(key, known) & (np.bincount(t.line, minlength=t.n_lines)[: t.n_lines] >= MIN_WORDS)
+
+
+def without_recurring(texts: list[str], stamped: list | None) -> list[str]:
+    """The texts without the lines whose keys are in ``stamped`` (see :func:`recurs`)."""
+    some = [i for i, x in enumerate(stamped or []) if x and texts[i]]
+    if not some:
+        return texts
+    out = list(texts)
+    t = tokens([texts[i] for i in some], join_hyphens=False)
+    gone, first = recurs(t, [stamped[i] for i in some]), line_starts(t).tolist()
+    for i, a in zip(some, first, strict=True):
+        lines = texts[i].split("\n")
+        off = gone[a : a + len(lines)]
+        if off.any():
+            out[i] = "\n".join(x for x, o in zip(lines, off, strict=True) if not o)
+    return out
+
+
 _PAGE_HASHES = np.array(sorted({word_hash(w) for w in PAGE_WORDS}), np.int64)
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blattwerk.llm.furniture import LineModel, fit_on_sample, page_numbers
+from blattwerk.llm.furniture import LineModel, fit_on_sample, page_numbers, recurring_lines, with_recurring, without_recurring
 from blattwerk.llm.textkernel import Tokens, slices, tokens
 from blattwerk.plans import spread
 
@@ -68,9 +68,10 @@ def repeated_words(t: Tokens, n: int = PASSAGE) -> np.ndarray:
     return np.cumsum(cover)[:-1] > 0
 
 
-def own_tokens(texts: list[str], model: LineModel | None) -> Tokens:
-    """Tokens of the texts without stamped lines and page numbers; parted words put together."""
-    t = tokens(texts, join_hyphens=True)
+def own_tokens(texts: list[str], model: LineModel | None, stamped: list | None = None) -> Tokens:
+    """Tokens of the texts without stamped lines (those in ``stamped`` and those that the model tells) and page
+    numbers; parted words put together."""
+    t = tokens(without_recurring(texts, stamped), join_hyphens=True)
     return t if model is None else only_words(t, ~(model.stamped(t) | page_numbers(t))[t.line])
 
 
@@ -90,13 +91,18 @@ def _texts(batch: pa.RecordBatch, column: int) -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 
 
+def _stamped(batch: pa.RecordBatch, column: int) -> list:
+    """Keys of stamped lines of each text, if the batch has them."""
+    return batch.column(column).to_pylist() if batch.num_columns > column else [None] * batch.num_rows
+
+
 def _counter(model: LineModel | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, 2 * BUCKETS), np.int64)
         for batch in batches:
-            texts = _texts(batch, 0)
+            texts, stamped = _texts(batch, 0), _stamped(batch, 1)
             for a, b in slices(texts):
-                f, text, later = _features(own_tokens(texts[a:b], model))
+                f, text, later = _features(own_tokens(texts[a:b], model, stamped[a:b]))
                 trusted = np.bincount(text[later], minlength=b - a)[: b - a] == 0
                 total[1] += np.bincount(f, minlength=2 * BUCKETS)
                 total[0] += np.bincount(f[trusted[text]], minlength=2 * BUCKETS)
@@ -107,7 +113,7 @@ def _counter(model: LineModel | None) -> Callable[[Iterator[pa.RecordBatch]], It
 
 
 def log_ratios(texts: DataFrame, model: LineModel | None) -> np.ndarray:
-    """ln(target/raw) of each feature, counted over all rows of ``texts`` (one column of text).
+    """ln(target/raw) of each feature, counted over all rows of ``texts`` (a column of text, and one of the keys of stamped lines if there is one).
 
     Each task returns at most ``2 * BUCKETS`` sums, and so does the whole: its size is fixed.
     """
@@ -132,9 +138,9 @@ def threshold(ratios: np.ndarray) -> float:
 def _scorer(model: LineModel | None, ratios: np.ndarray, at_most: float, all_rows: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), _texts(batch, 1)
+            ids, texts, stamped = batch.column(0), _texts(batch, 1), _stamped(batch, 2)
             for a, b in slices(texts):
-                t = own_tokens(texts[a:b], model)
+                t = own_tokens(texts[a:b], model, stamped[a:b])
                 f, text, later = _features(t)
                 n = np.bincount(text, minlength=b - a)[: b - a]
                 llr = np.bincount(text, weights=ratios[f], minlength=b - a)[: b - a] / np.maximum(n, 1)
@@ -152,25 +158,29 @@ def _scorer(model: LineModel | None, ratios: np.ndarray, at_most: float, all_row
     return run
 
 
-def repetition(texts: DataFrame, id_col: str, text_col: str, model: LineModel | None = None, all_rows: bool = True) -> DataFrame:
+def repetition(texts: DataFrame, id_col: str, text_col: str, model: LineModel | None = None, all_rows: bool = True, recurring: DataFrame | None = None) -> DataFrame:
     """``id, llr, repeated_share`` of each text: the length-normalised log-likelihood ratio and
     the share of words in a second or later copy of a passage.
 
     Rows with a null id are left out. A null, empty or short text (fewer than ``GRAM`` words)
     has ratio and share 0. Repeated rows of an id come out as often as they go in. Without
     ``all_rows`` only texts at or below the threshold come out; all cases are among them.
-    An empty table gives an empty result. Other columns are ignored.
+    An empty table gives an empty result. Other columns are ignored, but with ``recurring``
+    (see ``furniture.recurring_lines``) ``name`` is that of the text's preview.
     """
-    rows = texts.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    named = [] if recurring is None else ["name"]
+    rows = texts.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"), *named)
     rows = spread(rows)
-    ratios = log_ratios(rows.select("text"), model)
+    if recurring is not None:
+        rows = with_recurring(rows, recurring, "name")
+    ratios = log_ratios(rows.drop("id"), model)
     return rows.mapInArrow(_scorer(model, ratios, threshold(ratios), all_rows), "id bigint, llr double, repeated_share double")
 
 
 def block_repetition(blocks: DataFrame, all_rows: bool = True) -> DataFrame:
     """``block_id, llr, repeated_share`` of each block (once), stamped lines left out."""
     model = fit_on_sample(blocks)
-    r = repetition(blocks, "block_id", "markdown", model, all_rows)
+    r = repetition(blocks, "block_id", "markdown", model, all_rows, recurring_lines(blocks))
     return r.groupBy(F.col("id").alias("block_id")).agg(F.min("llr").alias("llr"), F.max("repeated_share").alias("repeated_share"))
 
 

@@ -6,7 +6,7 @@
    support is a misread one of a supported form of its group that differs in the
    fewest letters. The result is a table of distinct forms; where several forms are
    as near, all stay.
-3. Scanned blocks: stamped lines (numbers masked, see ``furniture``), words parted
+3. Scanned blocks: stamped lines (numbers masked, counted over all blocks, see ``furniture``), words parted
    at line ends, and words that may be misread, by a filter of fixed size. The
    candidates are joined with the table of forms. Among several, the one that trusted
    text has most often beside the same neighbours is chosen, then the most frequent.
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from blattwerk.llm.furniture import LineModel, fit_on_sample, is_page_number
+from blattwerk.llm.furniture import LineModel, fit_on_sample, is_page_number, recurring_lines, recurs, with_recurring
 from blattwerk.llm.textkernel import CONJUNCTIONS, HYPHENS, RARE_GLYPHS, line_starts, skeleton, slices, tokens
 from blattwerk.plans import broadcast_if_small, cut, spread
 
@@ -314,10 +314,10 @@ def _find(model: LineModel, bits: np.ndarray) -> Callable[[Iterator[pa.RecordBat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maybe = _Maybe(bits).__getitem__
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids, texts, known = (batch.column(i).to_pylist() for i in range(3))
             for a, b in slices(texts):
                 t = tokens(texts[a:b], join_hyphens=False)
-                stamped, first = model.stamped(t).tolist(), line_starts(t).tolist()
+                stamped, first = (model.stamped(t) | recurs(t, known[a:b])).tolist(), line_starts(t).tolist()
                 out = []
                 for i in range(a, b):
                     lines = texts[i].split("\n")
@@ -330,15 +330,15 @@ def _find(model: LineModel, bits: np.ndarray) -> Callable[[Iterator[pa.RecordBat
 
 
 def scanned(blocks: DataFrame, counts: DataFrame) -> DataFrame:
-    """``block_id, markdown`` of the blocks from scans: by origin, or without origin in a preview
+    """``block_id, markdown, name`` of the blocks from scans: by origin, or without origin in a preview
     whose lines end within sentences far more often than they are long. A block without origin and preview is none."""
     rows = spread(blocks).where(F.col("block_id").isNotNull() & (F.coalesce(F.col("markdown"), F.lit("")) != "")).select(
         F.col("block_id").cast("bigint").alias("block_id"), F.col("name").alias("_name"), F.col("origin").alias("_origin"), F.col("markdown").cast("string").alias("markdown")
     )
-    by_origin = rows.where(F.col("_origin") == SCANNED).select("block_id", "markdown")
+    by_origin = rows.where(F.col("_origin") == SCANNED).select("block_id", "markdown", F.col("_name").alias("name"))
     printed_previews = broadcast_if_small(cut(counts.where((F.col("what") == 1) & (F.col("a") > PRINTED_TIMES * F.col("b"))).select(F.col("key").alias("_name"))))
     unknown = rows.where(F.col("_origin").isNull())
-    return by_origin.unionByName(unknown.join(printed_previews, "_name", "left_semi").select("block_id", "markdown"))
+    return by_origin.unionByName(unknown.join(printed_previews, "_name", "left_semi").select("block_id", "markdown", F.col("_name").alias("name")))
 
 
 def scan_defects(blocks: DataFrame, counts: DataFrame | None = None) -> DataFrame:
@@ -352,7 +352,8 @@ def scan_defects(blocks: DataFrame, counts: DataFrame | None = None) -> DataFram
     model = fit_on_sample(blocks)
     counts = counted_forms(blocks) if counts is None else counts
     right = cut(spelling(counts.where("what = 0").select(F.col("key").alias("form"), F.col("a").alias("trusted"), F.col("b").alias("other"))))
-    found = scanned(blocks, counts).mapInArrow(_find(model, form_filter(right)), "block_id bigint, line_no int, kind string, word string, part string, before string, after string").distinct()
+    scans = with_recurring(scanned(blocks, counts), recurring_lines(blocks), "name")
+    found = scans.mapInArrow(_find(model, form_filter(right)), "block_id bigint, line_no int, kind string, word string, part string, before string, after string").distinct()
     found = cut(found)
     plain = found.where("kind <> 'misread'").select("block_id", "line_no", "kind", "word", F.lit(None).cast("string").alias("token"))
     misread = (

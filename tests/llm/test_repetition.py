@@ -66,6 +66,15 @@ def test_threshold_loses_no_case(spark):
             assert llr[i] <= at_most
 
 
+def test_lines_that_come_back_in_the_preview_are_no_own_words(spark, monkeypatch):
+    monkeypatch.setattr(R, "fit_on_sample", lambda blocks: None)
+    title = "Zwirbelkunde Quastenheim Ollrich Wumpe Trallerbach Hunnig Pleustadt Grimmel"
+    rng = random.Random(3)
+    rows = [(i, "eigen", f"{title}\n{_text(rng, 12)}\n{title}") for i in range(20)]
+    got = R.block_repetition(spark.createDataFrame(rows, "block_id bigint, name string, markdown string")).collect()
+    assert len(got) == 20 and {r.repeated_share for r in got} == {0.0}
+
+
 def test_copies_may_differ_in_case_numbers_breaks_and_glyphs():
     p = "Der Vertrag vom 12. Mai wurde nach langer Zeit endlich geprüft und genehmigt"
     q = "DER Verfrag vom 99. Mai wurde nach lan-\nger Zeit endlich geprüft und genehrnigt!"

@@ -1,6 +1,8 @@
+import numpy as np
 import pytest
 
 from blattwerk.llm import scanrepair as S
+from blattwerk.llm.furniture import BUCKETS, UNSEEN, LineModel
 
 SCHEMA = "block_id bigint, name string, origin string, markdown string, word string, kind string"
 CLEAN = "Der Vertrag wurde geprüft und die Genehmigung erteilt. Die Zustimmung des Gerichts fehlt, weil nichts bestimmt war."
@@ -72,6 +74,14 @@ def test_neighbours_decide_between_right_forms(spark):
     assert _found(_df(spark, clean + scan)) == [(100, 1, "misread", "nach"), (100, 2, "misread", "noch")]
 
 
+def test_lines_that_come_back_are_stamped_whatever_the_sample_holds(spark, monkeypatch):
+    monkeypatch.setattr(S, "fit_on_sample", lambda blocks: LineModel(np.full(BUCKETS, UNSEEN, np.float32), -1.0))
+    pages = [(200 + i, "eigen", "ocr", f"Zwirbelkunde Quastenheim Ollrich Wumpe {i}\nAuf dieser Seite steht ein Satz {'pxzjk'[i % 5]}{'aegb'[i // 5]}sk allein.") for i in range(20)]
+    other = [(300 + i, f"fremd{i}", "ocr", "Zwirbelkunde Quastenheim Ollrich Wumpe 7") for i in range(2)]
+    found = [f for f in _found(_df(spark, pages + pages[:5] + other)) if f[2] == "furniture"]
+    assert found == [(200 + i, 1, "furniture", "") for i in range(20)]
+
+
 def test_repaired_paragraphs(spark):
     got = {r.block_id: r.paragraphs for r in S.repaired(_df(spark, _rows())).collect()}
     assert got[100] == ["Der Vertrag wurde geprüft und die Genehmigung erteilt. Die Zustimmung des Gerichts fehlt, weil nichts bestimmt war. Kauf- und Mietrecht gelten."]
