@@ -91,11 +91,7 @@ def _count_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, origin, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             if not text:
                 continue
-            words = _WORD.findall(_JOIN.sub("", text))
-            # codes and symbols hold no forms
-            if 2 * sum(map(len, words)) < len(text) or len(text) > 18 * len(words):
-                continue
-            (trusted if origin == TRUSTED else other).update(words)
+            (trusted if origin == TRUSTED else other).update(_WORD.findall(_JOIN.sub("", text)))
             if origin is None and name is not None:
                 v = votes.setdefault(name, [0, 0])
                 for n, x in enumerate(printed(text)):

@@ -74,6 +74,13 @@ def test_neighbours_decide_between_right_forms(spark):
     assert _found(_df(spark, clean + scan)) == [(100, 1, "misread", "nach"), (100, 2, "misread", "noch")]
 
 
+def test_misread_words_of_aligned_tables_are_found(spark):
+    table = "Verfrag" + " " * 60 + "Frist\nGenehmigung" + " " * 60 + "Gericht\nZustimmung" + " " * 60 + "Vertrag"
+    assert not S.is_junk(table.split("\n"))
+    rows = [*_rows()[:-1], (400, "tafel", "ocr", table)]
+    assert _found(_df(spark, rows)) == [(400, 1, "misread", "Vertrag")]
+
+
 def test_lines_that_come_back_are_stamped_whatever_the_sample_holds(spark, monkeypatch):
     monkeypatch.setattr(S, "fit_on_sample", lambda blocks: LineModel(np.full(BUCKETS, UNSEEN, np.float32), -1.0))
     pages = [(200 + i, "eigen", "ocr", f"Zwirbelkunde Quastenheim Ollrich Wumpe {i}\nAuf dieser Seite steht ein Satz {'pxzjk'[i % 5]}{'aegb'[i // 5]}sk allein.") for i in range(20)]
