@@ -1,155 +1,224 @@
 """Items of varying length in containers of fixed capacity.
 
-The plan is made on the histogram of lengths, whose size the capacity bounds:
-
-* items longer than the capacity are split into full pieces and a rest;
-* long items are ranked by length and grouped linearly (equal cardinality), each
-  length counting as the greatest of its group; for the longest group left, the
-  configuration that fills a container best with groups that remain is taken as
-  often as their numbers allow;
-* actual items replace the rounded ones, rank by rank, and short items go, longest
-  first, to the container with the least room that takes them (best fit).
-
-All containers that are filled alike are one run, so the plan is a short list of
-ranges "items of this length and these ranks go to these containers". Ranks are
-given to the items in Spark and looked up in the plan.
+Items longer than the capacity are split into full pieces and a rest. The pieces of
+each kind of container are dealt at random to shards of about ``SHARD`` pieces, and
+each shard is planned in one task:
+
+* long pieces are ranked by length and grouped linearly (equal cardinality), each
+  counting as the longest of its group;
+* the configurations of these few sizes are optimised: the linear program over all
+  configurations, solved by column generation, whole multiples of it taken;
+* actual pieces replace the rounded ones, rank by rank, and what is left, the short
+  pieces above all, goes, longest first, to the container with the least room that
+  takes it (best fit).
+
+A shard for which best-fit decreasing alone needs fewer containers is packed that
+way, so the plan is never worse. No plan leaves its task: nothing but the row counts
+of the kinds reaches the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blattwerk.llm.sizes import TOKENIZER, token_sizes
-from blattwerk.plans import broadcast_if_small, cut
-
-#: Groups of long items, and the share of the capacity above which an item is long.
-GROUPS, LONG = 48, 0.125
-#: Parts into which the items of one length are split to be ranked.
-PARTS = 64
-#: Kinds of containers that a specification may have, and the largest capacity.
-KINDS, LARGEST = 1_000, 1 << 20
-
-
-def _groups(sizes: list[int], counts: dict[int, int], n: int) -> list[list[tuple[int, int, int]]]:
-    """Linear grouping: lists of ``(size, first rank, number)`` of about equal cardinality, longest first."""
-    total = sum(counts[s] for s in sizes)
-    each = max(1, -(-total // n))
-    out, now, room = [], [], each
-    for s in sizes:
-        first, left = 0, counts[s]
-        while left:
-            k = min(left, room)
-            now.append((s, first, k))
-            first, left, room = first + k, left - k, room - k
-            if room == 0:
-                out.append(now)
-                now, room = [], each
-    return [*out, now] if now else out
-
-
-def _best_fill(room: int, sizes: list[int], left: list[int], first: int) -> list[int]:
-    """How many of each group (from ``first`` on) fill ``room`` best: a bounded subset-sum by reachability."""
-    reach = np.full(room + 1, -1, np.int64)  # the group that reached this sum last
-    reach[0] = len(sizes)
-    back = np.zeros(room + 1, np.int64)
-    for g in range(first, len(sizes)):
-        s = sizes[g]
-        for _ in range(min(left[g], room // s) if s <= room else 0):
-            ok = (reach[:-s] >= 0) & (reach[s:] < 0)
-            if not ok.any():
-                break
-            at = np.flatnonzero(ok) + s
-            reach[at] = g
-            back[at] = at - s
-        if reach[room] >= 0:
-            break
-    take = [0] * len(sizes)
-    at = int(np.flatnonzero(reach >= 0)[-1])
-    while at > 0:
-        take[int(reach[at])] += 1
-        at = int(back[at])
-    return take
+from blattwerk.plans import cut
 
+#: Groups of long pieces, and the share of the capacity above which a piece is long.
+GROUPS, LONG = 64, 0.125
+#: Pieces that a shard holds on average. All containers of a shard but a few are full, whatever the others hold.
+SHARD = 500_000
+SEED = 20_240_301
+#: Units in which configurations are measured; lengths are rounded up to them.
+UNITS = 4_096
+#: Exchanges of a configuration after which the program is good enough; what it leaves is packed by best fit.
+EXCHANGES = 600
+PACKED = "container_kind string, container_id bigint, doc_id bigint, piece_no int, start_token bigint, tokens bigint"
 
-def plan(capacity: int, counts: dict[int, int]) -> tuple[list[tuple[int, int, int, int]], int]:
-    """Ranges ``(size, first rank, number, first container)`` and the number of containers.
 
-    ``counts`` has the number of items of each size from 1 to ``capacity``.
+class _Rooms:
+    """Containers by the room they have left, as runs ``(first, number)``; finds the least room that is at least a size.
+
+    Rooms are kept in a tree of bit sets of 1,024 places, so neither memory nor time depends on the capacity.
     """
-    out: list[tuple[int, int, int, int]] = []
-    containers = 0
-    runs: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]  # by room left: (first container, number)
-    long = sorted((s for s in counts if s > LONG * capacity and counts[s]), reverse=True)
-    groups = _groups(long, counts, GROUPS)
-    rounded = [g[0][0] for g in groups]
-    left = [sum(k for _, _, k in g) for g in groups]
-    queue = [list(g) for g in groups]
-    for g in range(len(groups)):
-        while left[g]:
-            left[g] -= 1
-            take = _best_fill(capacity - rounded[g], rounded, left, g)
-            left[g] += 1
-            take[g] += 1
-            times = min(left[i] // take[i] for i in range(len(take)) if take[i])
-            slots = [i for i in range(len(take)) for _ in range(take[i])]
-            first = containers
-            containers += times
-            # what each slot takes, as runs of equal sizes
-            cuts: dict[int, int] = {0: 0, times: 0}
-            for i in slots:
-                left[i] -= times
-                at, need = 0, times
-                while need:
-                    s, rank, k = queue[i][0]
-                    n = min(k, need)
-                    out.append((s, rank, n, first + at))
-                    cuts[at] = cuts.get(at, 0) + s
-                    cuts[at + n] = cuts.get(at + n, 0) - s
-                    queue[i][0] = (s, rank + n, k - n)
-                    if n == k:
-                        queue[i].pop(0)
-                    at, need = at + n, need - n
-            used, points = 0, sorted(cuts)
-            for a, b in zip(points, points[1:], strict=False):
-                used += cuts[a]
-                runs[capacity - used].append((first + a, b - a))
-    open_rooms = np.array([bool(r) for r in runs])
-    for s in sorted((s for s in counts if 0 < s <= LONG * capacity and counts[s]), reverse=True):
-        rank, need = 0, counts[s]
+
+    def __init__(self, capacity: int):
+        self.runs: dict[int, list[tuple[int, int]]] = {}
+        self.levels: list[dict[int, int]] = [{}]
+        while capacity >> (10 * len(self.levels)):
+            self.levels.append({})
+
+    def add(self, room: int, first: int, number: int) -> None:
+        runs = self.runs.setdefault(room, [])
+        runs.append((first, number))
+        if len(runs) == 1:
+            for level in self.levels:
+                bits = level.get(room >> 10, 0)
+                level[room >> 10] = bits | 1 << (room & 1023)
+                if bits:
+                    break
+                room >>= 10
+
+    def take(self, room: int) -> tuple[int, int]:
+        run = self.runs[room].pop()
+        if not self.runs[room]:
+            for level in self.levels:
+                level[room >> 10] ^= 1 << (room & 1023)
+                if level[room >> 10]:
+                    break
+                room >>= 10
+        return run
+
+    def least(self, size: int) -> int:
+        """The least room of ``size`` or more, -1 if there is none."""
+        for depth, level in enumerate(self.levels):
+            bits = level.get(size >> 10, 0) >> (size & 1023)
+            if bits:
+                at = size + (bits & -bits).bit_length() - 1
+                for lower in reversed(self.levels[:depth]):
+                    bits = lower[at]
+                    at = (at << 10) + (bits & -bits).bit_length() - 1
+                return at
+            size = (size >> 10) + 1
+        return -1
+
+
+def best_fit(capacity: int, sizes: np.ndarray, rooms: np.ndarray) -> tuple[np.ndarray, int]:
+    """Container of each of ``sizes`` (longest first) by best fit, and the number of containers; ``rooms``
+    (least first) is what is left in those that are there already."""
+    state = _Rooms(capacity)
+    values, firsts, numbers = np.unique(rooms, return_index=True, return_counts=True)
+    for r, a, n in zip(values.tolist(), firsts.tolist(), numbers.tolist(), strict=True):
+        state.add(r, a, n)
+    containers = len(rooms)
+    place = np.zeros(len(sizes), np.int64)
+    distinct, first, number = np.unique(-sizes, return_index=True, return_counts=True)
+    for s, at, need in zip((-distinct).tolist(), first.tolist(), number.tolist(), strict=True):
         while need:
-            room = s + int(np.argmax(open_rooms[s:]))
-            if not open_rooms[room]:
+            room = state.least(s)
+            if room < 0:
                 n = -(-need // (capacity // s))
-                runs[capacity].append((containers, n))
+                state.add(capacity, containers, n)
                 containers += n
-                open_rooms[capacity] = True
                 continue
-            first, n = runs[room].pop()
-            k = min(n, need)
-            if k < n:
-                runs[room].append((first + k, n - k))
-            open_rooms[room] = bool(runs[room])
-            runs[room - s].append((first, k))
-            open_rooms[room - s] = True
-            out.append((s, rank, k, first))
-            rank, need = rank + k, need - k
-    return out, containers
-
-
-def _placer(keys: np.ndarray, firsts: np.ndarray, containers: np.ndarray, stride: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            col = lambda n: b.column(b.schema.get_field_index(n)).to_numpy(zero_copy_only=False)  # noqa: B023, E731
-            kind, tokens, rank = col("kind_no"), col("tokens"), col("rank")
-            at = np.searchsorted(keys, (kind * stride + tokens) * (1 << 40) + rank, side="right") - 1
-            place = np.where(tokens > 0, containers[at] + rank - firsts[at], 0)
-            names = ("kind_no", "doc_id", "piece_no", "tokens", "start_token")
-            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(n)) for n in names), pa.array(place + 1)], [*names, "container_id"])
+            a, n = state.take(room)
+            if need < n:
+                state.add(room, a + need, n - need)
+                n = need
+            # what still fits these containers fits none better
+            times = min(need // n, room // s)
+            place[at : at + n * times] = np.tile(np.arange(a, a + n), times)
+            state.add(room - times * s, a, n)
+            at, need = at + n * times, need - n * times
+    return place, containers
+
+
+def _best_configuration(room: int, sizes: np.ndarray, worth: np.ndarray) -> np.ndarray:
+    """How many of each size are worth most within ``room``."""
+    value, chosen = np.zeros(room + 1), np.full(room + 1, -1)
+    for g, (s, w) in enumerate(zip(sizes.tolist(), worth.tolist(), strict=True)):
+        if w <= 0:
+            continue
+        for _ in range(room // s):
+            more = value[:-s] + w
+            better = np.flatnonzero(more > value[s:] + 1e-12)
+            if not len(better):
+                break
+            value[better + s], chosen[better + s] = more[better], g
+    take, at = np.zeros(len(sizes), np.int64), int(np.argmax(value))
+    while at > 0 and chosen[at] >= 0:
+        take[chosen[at]] += 1
+        at -= int(sizes[chosen[at]])
+    return take
+
+
+def configurations(capacity: int, sizes: np.ndarray, demand: np.ndarray) -> list[tuple[np.ndarray, int]]:
+    """Configurations (pieces of each size) and how often each is used, at most as often as ``demand`` lets it.
+
+    The relaxed program has a column for every configuration; the ones that lower its value are found by a
+    knapsack over the dual prices.
+    """
+    unit = -(-capacity // UNITS)
+    room = capacity // unit
+    width = np.minimum(-(-sizes // unit), room)
+    basis = np.diag((room // width).astype(float))
+    demand_f, ones = demand.astype(float), np.ones(len(sizes))
+    used = np.linalg.solve(basis, demand_f)
+    for _ in range(EXCHANGES):
+        prices = np.linalg.solve(basis.T, ones)
+        column = _best_configuration(room, width, prices)
+        if column @ prices <= 1 + 1e-7:
+            break
+        step = np.linalg.solve(basis, column.astype(float))
+        ratio = np.where(step > 1e-9, used / np.maximum(step, 1e-9), np.inf)
+        basis[:, int(np.argmin(ratio))] = column
+        used = np.maximum(np.linalg.solve(basis, demand_f), 0)
+    left, out = demand.copy(), []
+    for j in np.argsort(-used):
+        take = basis[:, j].astype(np.int64)
+        some = take > 0
+        times = int(min(np.floor(used[j] + 1e-6), (left[some] // take[some]).min()))
+        if times > 0:
+            left -= times * take
+            out.append((take, times))
+    return out
+
+
+def grouped_fit(capacity: int, sizes: np.ndarray) -> tuple[np.ndarray, int]:
+    """Container of each of ``sizes`` (longest first) by linear grouping, and the number of containers."""
+    n_long = int(np.searchsorted(-sizes, -LONG * capacity))
+    place = np.full(len(sizes), -1, np.int64)
+    rooms = np.zeros(0, np.int64)
+    if n_long:
+        starts = np.flatnonzero(np.append(True, sizes[1:n_long] != sizes[: n_long - 1]))
+        if len(starts) > GROUPS:
+            starts = np.unique(np.arange(GROUPS) * n_long // GROUPS)
+            starts = starts[np.append(True, sizes[starts[1:]] != sizes[starts[:-1]])]
+        ends = np.append(starts[1:], n_long)
+        at, containers, held = starts.copy(), 0, []
+        for take, times in configurations(capacity, sizes[starts], ends - starts):
+            full = np.zeros(times, np.int64)
+            for k, g in enumerate(np.repeat(np.arange(len(starts)), take)):
+                rows = np.arange(at[g], at[g] + times)[:: -1 if k % 2 else 1]  # the longer of one group beside the shorter of another
+                place[rows] = containers + np.arange(times)
+                full += sizes[rows]
+                at[g] += times
+            held.append(full)
+            containers += times
+        if containers:
+            rooms = capacity - np.concatenate(held)
+            order = np.argsort(rooms, kind="stable")
+            number = np.empty_like(order)
+            number[order] = np.arange(containers)
+            rooms, placed = rooms[order], place >= 0
+            place[placed] = number[place[placed]]
+    rest = np.flatnonzero(place < 0)
+    place[rest], containers = best_fit(capacity, sizes[rest], rooms)
+    return place, containers
+
+
+def plan(capacity: int, sizes: np.ndarray) -> tuple[np.ndarray, int]:
+    """Container (from 0) of each of ``sizes``, which are from 1 to ``capacity``, longest first, and the number of containers."""
+    plain, grouped = best_fit(capacity, sizes, np.zeros(0, np.int64)), grouped_fit(capacity, sizes)
+    return grouped if grouped[1] <= plain[1] else plain
+
+
+def _packer(kinds: list[tuple[str, int, int]]) -> Callable[[tuple, pa.Table], pa.Table]:
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        kind, capacity, shards = kinds[key[0].as_py()]
+        rows = rows.sort_by([("tokens", "descending"), ("doc_id", "ascending"), ("piece_no", "ascending")])
+        sizes = rows["tokens"].to_numpy()
+        some = int(np.searchsorted(-sizes, 0))
+        place = np.zeros(len(sizes), np.int64)
+        place[:some] = plan(capacity, sizes[:some])[0]
+        number = pa.array(place * shards + key[1].as_py() + 1)
+        kept = [rows[c] for c in ("doc_id", "piece_no", "start_token", "tokens")]
+        return pa.table([pa.array([kind] * len(sizes), pa.string()), number, *kept], ["container_kind", "container_id", "doc_id", "piece_no", "start_token", "tokens"])
 
     return run
 
@@ -157,43 +226,36 @@ def _placer(keys: np.ndarray, firsts: np.ndarray, containers: np.ndarray, stride
 def pack(sizes: DataFrame, spec: DataFrame) -> DataFrame:
     """``container_kind, container_id, doc_id, piece_no, start_token, tokens`` of every piece.
 
-    ``sizes`` has ``doc_id, tokens`` (cut beforehand: it is read several times), ``spec`` has
-    ``container_kind, capacity_tokens``. Kinds without a positive capacity are left out, of a
-    kind given twice the greater capacity holds. Items without tokens go to the first container.
-    Repeated rows are items of their own. Without items or kinds the result is empty.
+    ``sizes`` has ``doc_id, tokens`` (cut beforehand: it is read twice, and pieces are dealt by their place in
+    it), ``spec`` has ``container_kind, capacity_tokens`` and is a parameter: its rows go to the driver. Kinds
+    without a positive capacity are left out, of a kind given twice the greater capacity holds. Items without
+    tokens go to the first container of their shard. Repeated rows are items of their own. Without items or
+    kinds the result is empty. Ids are positive and distinct within a kind, without gaps if it has one shard.
     """
     spark = sizes.sparkSession
-    kinds = [
-        (r["k"], min(r["c"], LARGEST))
-        for r in spec.where("capacity_tokens > 0 AND container_kind IS NOT NULL").groupBy(F.col("container_kind").alias("k")).agg(F.max("capacity_tokens").alias("c")).orderBy("k").limit(KINDS).collect()
-    ]
-    numbered = F.broadcast(spark.createDataFrame([(i, k) for i, (k, _) in enumerate(kinds)], "kind_no bigint, container_kind string"))
-    if not kinds:
-        return spark.createDataFrame([], "container_kind string, container_id bigint, doc_id bigint, piece_no int, start_token bigint, tokens bigint")
-    into = F.explode(F.array(*[F.struct(F.lit(i).cast("bigint").alias("kind_no"), F.lit(c).cast("bigint").alias("capacity")) for i, (_, c) in enumerate(kinds)]))
+    wanted = spec.where("capacity_tokens > 0 AND container_kind IS NOT NULL").groupBy(F.col("container_kind").alias("k")).agg(F.max("capacity_tokens").cast("bigint").alias("c"))
+    given = [(r["k"], r["c"]) for r in wanted.orderBy("k").collect()]
+    if not given:
+        return spark.createDataFrame([], PACKED)
+
+    def per_kind(*values: list[int]) -> DataFrame:
+        names = ("kind_no", "capacity", "shards")
+        kind = [F.struct(*[F.lit(x).cast("bigint").alias(n) for n, x in zip(names, v, strict=False)]) for v in zip(range(len(given)), [c for _, c in given], *values, strict=True)]
+        return sizes.select("doc_id", "tokens", F.explode(F.array(*kind)).alias("kind")).select("doc_id", "tokens", "kind.*")
+
     n, c = F.col("tokens"), F.col("capacity")
+    counted = per_kind().groupBy("kind_no").agg(F.sum(F.greatest(F.ceil(n / c), F.lit(1))).alias("pieces")).collect()
+    shards = [1] * len(given)
+    for r in counted:
+        shards[r["kind_no"]] = -(-r["pieces"] // SHARD)
+    i = F.col("piece_no")
     pieces = (
-        sizes.select("doc_id", "tokens", into.alias("kind"))  # a row for each of the few kinds
-        .select("doc_id", "tokens", "kind.*")
-        .select("kind_no", "doc_id", n.alias("whole"), "capacity", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(n / c) - 1, F.lit(0)).cast("int"))).alias("piece_no"))
-        .select("kind_no", "doc_id", "piece_no", (F.col("piece_no") * c).cast("bigint").alias("start_token"), F.least(c, F.col("whole") - F.col("piece_no") * c).cast("bigint").alias("tokens"))
+        per_kind(shards)
+        .withColumn("piece_no", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(n / c) - 1, F.lit(0)).cast("int"))))
+        .select("kind_no", F.floor(F.rand(SEED) * F.col("shards")).alias("shard"), "doc_id", "piece_no", (i * c).alias("start_token"), F.least(c, n - i * c).alias("tokens"))
     )
-    pieces = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece_no"), F.lit(PARTS)).cast("int"))
-    parts = cut(pieces.groupBy("kind_no", "tokens", "part").agg(F.count(F.lit(1)).alias("n")))
-    before = F.sum("n").over(Window.partitionBy("kind_no", "tokens").orderBy("part")) - F.col("n")
-    offsets = broadcast_if_small(cut(parts.select("kind_no", "tokens", "part", before.alias("before"))))
-    in_part = F.row_number().over(Window.partitionBy("kind_no", "tokens", "part").orderBy("doc_id", "piece_no"))
-    ranked = pieces.withColumn("r", in_part).join(offsets, ["kind_no", "tokens", "part"]).select("kind_no", "doc_id", "piece_no", "tokens", "start_token", (F.col("before") + F.col("r") - 1).alias("rank"))
-    # at most the sum of the capacities
-    counts: list[dict[int, int]] = [{} for _ in kinds]
-    for r in parts.groupBy("kind_no", "tokens").agg(F.sum("n").alias("n")).toLocalIterator():
-        counts[r["kind_no"]][r["tokens"]] = r["n"]
-    stride = max([c for _, c in kinds], default=0) + 1
-    rows = [((i * stride + s) * (1 << 40) + rank, rank, first) for i, (_, cap) in enumerate(kinds) for s, rank, _, first in plan(cap, {s: n for s, n in counts[i].items() if s > 0})[0]]
-    rows.sort()
-    keys, firsts, places = (np.array([r[j] for r in rows] or [0], np.int64) for j in range(3))
-    placed = ranked.mapInArrow(_placer(keys, firsts, places, stride), "kind_no bigint, doc_id bigint, piece_no int, tokens bigint, start_token bigint, container_id bigint")
-    return placed.join(numbered, "kind_no").select("container_kind", "container_id", "doc_id", "piece_no", "start_token", "tokens")
+    kinds = [(k, cap, s) for (k, cap), s in zip(given, shards, strict=True)]
+    return pieces.groupBy("kind_no", "shard").applyInArrow(_packer(kinds), PACKED)
 
 
 def pack_documents(documents: DataFrame, spec: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
@@ -202,9 +264,9 @@ def pack_documents(documents: DataFrame, spec: DataFrame, tokenizer: str = TOKEN
 
 def fill_rates(packed: DataFrame, spec: DataFrame) -> DataFrame:
     """``container_kind, capacity_tokens, containers, tokens, least_containers, fill`` of each kind."""
-    used = packed.groupBy("container_kind").agg(F.max("container_id").alias("containers"), F.sum("tokens").alias("tokens"))
+    used = packed.groupBy("container_kind").agg(F.countDistinct("container_id").alias("containers"), F.sum("tokens").alias("tokens"))
     cap = spec.groupBy("container_kind").agg(F.max("capacity_tokens").alias("capacity_tokens"))
-    return used.join(F.broadcast(cap), "container_kind").select(
+    return used.join(cap, "container_kind").select(
         "container_kind",
         "capacity_tokens",
         "containers",
@@ -212,3 +274,24 @@ def fill_rates(packed: DataFrame, spec: DataFrame) -> DataFrame:
         F.ceil(F.col("tokens") / F.col("capacity_tokens")).alias("least_containers"),
         (F.col("tokens") / (F.col("containers") * F.col("capacity_tokens"))).alias("fill"),
     )
+
+
+def faults(sizes: DataFrame, packed: DataFrame, spec: DataFrame) -> DataFrame:
+    """``container_kind, documents, incomplete, split, overfull`` of each kind: documents in containers, those whose
+    pieces are not the whole text one after the other, those split though they fit, and containers that hold too much."""
+    cap = spec.where("capacity_tokens > 0 AND container_kind IS NOT NULL").groupBy("container_kind").agg(F.max("capacity_tokens").cast("bigint").alias("capacity"))
+    per_container = packed.groupBy("container_kind", "container_id").agg(F.sum("tokens").alias("held")).join(cap, "container_kind")
+    over = per_container.groupBy("container_kind").agg(F.count_if(F.col("held") > F.col("capacity")).alias("overfull"))
+    last = F.col("start_token") + F.col("tokens")
+    per_doc = packed.groupBy("container_kind", "doc_id").agg(F.sum("tokens").alias("held"), F.max(last).alias("last"), F.count(F.lit(1)).alias("pieces"))
+    whole = sizes.groupBy("doc_id").agg(F.sum("tokens").alias("tokens"), F.max("tokens").alias("longest"), F.count(F.lit(1)).alias("times"))
+    d = per_doc.join(whole, "doc_id").join(cap, "container_kind")
+    broken = (F.col("held") != F.col("tokens")) | (F.col("last") != F.col("longest"))
+    split = (F.col("pieces") > F.col("times")) & (F.col("longest") <= F.col("capacity"))
+    per_kind = d.groupBy("container_kind").agg(F.count(F.lit(1)).alias("documents"), F.count_if(broken).alias("incomplete"), F.count_if(split).alias("split"))
+    return per_kind.join(over, "container_kind")
+
+
+def document_faults(documents: DataFrame, spec: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
+    sizes = cut(token_sizes(documents, tokenizer).select("doc_id", "tokens"))
+    return faults(sizes, cut(pack(sizes, spec)), spec)

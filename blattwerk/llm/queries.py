@@ -24,6 +24,7 @@ def queries() -> dict[str, Query]:
         "p5_stats": lambda s, d: quality.block_quality(table(s, d, "page_block"), table(s, d, "vocab")),
         "p6_pack": lambda s, d: packing.pack_documents(table(s, d, "documents"), table(s, d, "container_spec")),
         "p6_fill": lambda s, d: packing.fill_rates(packing.pack_documents(table(s, d, "documents"), table(s, d, "container_spec")), table(s, d, "container_spec")),
+        "p6_check": lambda s, d: packing.document_faults(table(s, d, "documents"), table(s, d, "container_spec")),
         "p7_mix": lambda s, d: mixing.mix_documents(table(s, d, "documents"), table(s, d, "mix_target")),
         "p7_shares": lambda s, d: mixing.document_shares(table(s, d, "documents"), table(s, d, "mix_target")),
         "p8_found": lambda s, d: truncation.truncated_documents(table(s, d, "documents")),
@@ -49,8 +50,11 @@ found AS (SELECT block_id, CAST(line_no AS INT) AS line_no FROM keys JOIN k USIN
 
 
 def oracle_sql() -> dict[str, str]:
-    """The exact shares of problem 3 in SQL; the operator's test for excess keeps all of these lines here."""
+    """The exact shares of problem 3 in SQL (the operator's test for excess keeps all of these lines here), and what
+    must hold of any packing."""
     return {
+        "p6_check": """SELECT container_kind, (SELECT count(DISTINCT doc_id) FROM documents) AS documents, CAST(0 AS BIGINT) AS incomplete, CAST(0 AS BIGINT) AS split, CAST(0 AS BIGINT) AS overfull
+FROM container_spec WHERE capacity_tokens > 0 AND container_kind IS NOT NULL GROUP BY container_kind""",
         "p3_found": f"WITH {_FOUND} SELECT block_id, line_no FROM found",
         "p3_clean": f"""WITH {_FOUND}, l AS (SELECT block_id, unnest(string_split(markdown, chr(10))) AS line, generate_subscripts(string_split(markdown, chr(10)), 1) AS line_no FROM blocks WHERE markdown IS NOT NULL),
 kept AS (SELECT block_id, string_agg(line, chr(10) ORDER BY line_no) AS markdown FROM l WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.block_id = l.block_id AND f.line_no = l.line_no) GROUP BY block_id),
