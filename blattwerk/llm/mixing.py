@@ -5,6 +5,10 @@ documents, then a fraction of one, drawn by weight without replacement after
 Efraimidis and Spirakis: documents in the order of exponential keys scaled by
 their quality weight, until the token budget is reached. The prefix sums are taken
 over buckets of the keys, so only one bucket of a source has to be sorted.
+
+The size of a mix is a choice: the ``FITTING`` total is the greatest for which no
+source falls short of its share, so all shares are met; the ``HELD`` total is what the
+sources hold once, and sources that cannot be repeated often enough fall short of it.
 """
 
 from __future__ import annotations
@@ -18,13 +22,16 @@ from blattwerk.plans import cut
 #: Buckets of the keys of one source.
 BUCKETS = 4_096
 SEED = 20_240_229
+#: Totals of a mix that depend on what its sources hold.
+FITTING, HELD = "fitting", "held"
 
 
-def source_budgets(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = None) -> DataFrame:
+def source_budgets(sizes: DataFrame, targets: DataFrame, total_tokens: int | str = FITTING) -> DataFrame:
     """``mix_name, source, target_share, max_repeats, available, take, epochs, rest, capped`` of each target.
 
-    ``total_tokens`` is the size of each mix; by default what the sources of the mix hold once.
-    ``take`` is the share of it, at most ``max_repeats`` times what the source holds.
+    ``total_tokens`` is the size of each mix, a number or ``FITTING`` or ``HELD``. ``take`` is the share of it, at
+    most ``max_repeats`` times what the source holds. Sources that hold nothing or may not be used have no say in
+    the fitting total; the others keep their proportions.
     """
     held = sizes.groupBy("source").agg(F.sum("tokens").alias("available"))
     wanted = (
@@ -33,17 +40,23 @@ def source_budgets(sizes: DataFrame, targets: DataFrame, total_tokens: int | Non
         .agg(F.sum("target_share").alias("target_share"), F.max(F.greatest(F.coalesce("max_repeats", F.lit(1)), F.lit(0))).alias("max_repeats"))
     )
     known = wanted.join(held, "source", "left").withColumn("available", F.coalesce("available", F.lit(0).cast("bigint")))
-    total = F.lit(float(total_tokens)) if total_tokens is not None else F.sum("available").over(Window.partitionBy("mix_name")).cast("double")
-    want = F.col("target_share") * total
     most = F.col("available") * F.col("max_repeats")
+    of_mix = Window.partitionBy("mix_name")
+    if total_tokens == FITTING:
+        total = F.coalesce(F.min(F.when(most > 0, most / F.col("target_share"))).over(of_mix), F.lit(0.0))
+    elif total_tokens == HELD:
+        total = F.sum("available").over(of_mix).cast("double")
+    else:
+        total = F.lit(float(total_tokens))
+    want = F.col("target_share") * total
     take = F.least(want, most)
     epochs = F.when(F.col("available") > 0, F.least(F.floor(take / F.col("available")), F.col("max_repeats"))).otherwise(F.lit(0)).cast("int")
-    return known.select("mix_name", "source", "target_share", "max_repeats", "available", take.alias("take"), epochs.alias("epochs"), (want > most).alias("capped")).withColumn(
+    return known.select("mix_name", "source", "target_share", "max_repeats", "available", take.alias("take"), epochs.alias("epochs"), (want > most + 0.5).alias("capped")).withColumn(
         "rest", F.greatest(F.col("take") - F.col("epochs") * F.col("available"), F.lit(0.0))
     )
 
 
-def mix(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = SEED) -> DataFrame:
+def mix(sizes: DataFrame, targets: DataFrame, total_tokens: int | str = FITTING, seed: int = SEED) -> DataFrame:
     """``mix_name, source, doc_id, copies, tokens`` of the documents used, ``tokens`` those of one copy.
 
     ``sizes`` (``doc_id, source, tokens, weight``; cut beforehand) may hold repeated rows, which are
@@ -70,7 +83,7 @@ def mix(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = None, s
     return both.where("copies > 0").select("mix_name", "source", "doc_id", "copies", "tokens")
 
 
-def shares(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = SEED) -> DataFrame:
+def shares(sizes: DataFrame, targets: DataFrame, total_tokens: int | str = FITTING, seed: int = SEED) -> DataFrame:
     """``mix_name, source, target_share, reached_share, tokens, documents, most_copies, capped``."""
     used = mix(sizes, targets, total_tokens, seed).groupBy("mix_name", "source").agg(
         F.sum(F.col("copies") * F.col("tokens")).alias("tokens"), F.count(F.lit(1)).alias("documents"), F.max("copies").alias("most_copies")
@@ -82,9 +95,12 @@ def shares(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = None
     return rows.withColumn("reached_share", F.when(all_tokens > 0, F.col("tokens") / all_tokens).otherwise(F.lit(0.0)))
 
 
-def mix_documents(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    return mix(cut(token_sizes(documents, tokenizer, weights=True)), targets)
+def mix_documents(documents: DataFrame, targets: DataFrame, vocab: DataFrame, tokenizer: str = TOKENIZER, total_tokens: int | str = FITTING) -> DataFrame:
+    return mix(cut(token_sizes(documents, tokenizer, vocab)), targets, total_tokens)
 
 
-def document_shares(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    return shares(cut(token_sizes(documents, tokenizer, weights=True)), targets)
+def document_shares(documents: DataFrame, targets: DataFrame, vocab: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
+    """:func:`shares` for both totals, which the column ``total`` names."""
+    sizes = cut(token_sizes(documents, tokenizer, vocab))
+    each = [shares(sizes, targets, t).withColumn("total", F.lit(t)) for t in (FITTING, HELD)]
+    return each[0].unionByName(each[1])

@@ -22,11 +22,12 @@ def queries() -> dict[str, Query]:
         "p3_clean": lambda s, d: boilerplate.without_source_lines(table(s, d, "page_block")),
         "p5_found": lambda s, d: quality.blocks_not_prose(table(s, d, "page_block"), table(s, d, "vocab"), table(s, d, "page_kind")),
         "p5_stats": lambda s, d: quality.block_quality(table(s, d, "page_block"), table(s, d, "vocab")),
+        "p5_plain": lambda s, d: quality.plain_statistics(table(s, d, "page_block"), "block_id", "markdown", table(s, d, "vocab")).withColumnRenamed("id", "block_id"),
         "p6_pack": lambda s, d: packing.pack_documents(table(s, d, "documents"), table(s, d, "container_spec")),
         "p6_fill": lambda s, d: packing.fill_rates(packing.pack_documents(table(s, d, "documents"), table(s, d, "container_spec")), table(s, d, "container_spec")),
         "p6_check": lambda s, d: packing.document_faults(table(s, d, "documents"), table(s, d, "container_spec")),
-        "p7_mix": lambda s, d: mixing.mix_documents(table(s, d, "documents"), table(s, d, "mix_target")),
-        "p7_shares": lambda s, d: mixing.document_shares(table(s, d, "documents"), table(s, d, "mix_target")),
+        "p7_mix": lambda s, d: mixing.mix_documents(table(s, d, "documents"), table(s, d, "mix_target"), table(s, d, "vocab")),
+        "p7_shares": lambda s, d: mixing.document_shares(table(s, d, "documents"), table(s, d, "mix_target"), table(s, d, "vocab")),
         "p8_found": lambda s, d: truncation.truncated_documents(table(s, d, "documents")),
         "p8_rates": lambda s, d: truncation.truncation_rates(table(s, d, "documents")),
     }
@@ -53,6 +54,15 @@ def oracle_sql() -> dict[str, str]:
     """The exact shares of problem 3 in SQL (the operator's test for excess keeps all of these lines here), and what
     must hold of any packing."""
     return {
+        "p5_plain": r"""WITH t AS (SELECT block_id, max(coalesce(markdown, '')) AS text FROM page_block WHERE block_id IS NOT NULL GROUP BY block_id),
+v AS (SELECT list(DISTINCT lower(word)) AS known FROM vocab WHERE freq_rank <= 50 AND word IS NOT NULL),
+w AS (SELECT block_id, text, regexp_extract_all(text, '\p{L}+') AS ws FROM t),
+c AS (SELECT block_id, CAST(len(ws) AS BIGINT) AS words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS letters, CAST(len(list_filter(ws, lambda x: list_contains(known, lower(x)))) AS BIGINT) AS common,
+  CAST(len(regexp_extract_all(text, '[^\p{L}\p{M}\p{Nd}\t\n\v\f\r .,;:!?()"''-]')) AS BIGINT) AS symbols, CAST(len(regexp_extract_all(text, '[^\t\n\v\f\r ]')) AS BIGINT) AS chars,
+  CAST(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\t\v\f\r ]'))) AS BIGINT) AS lines,
+  CAST(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[.!?:;][ \t]*$'))) AS BIGINT) AS lines_punct FROM w, v)
+SELECT *, CASE WHEN words > 0 THEN letters / words ELSE 0.0 END AS word_length, CASE WHEN words > 0 THEN common / words ELSE 0.0 END AS common_share,
+  CASE WHEN chars > 0 THEN symbols / chars ELSE 0.0 END AS symbol_ratio, CASE WHEN lines > 0 THEN lines_punct / lines ELSE 0.0 END AS punct_share FROM c""",
         "p6_check": """SELECT container_kind, (SELECT count(DISTINCT doc_id) FROM documents) AS documents, CAST(0 AS BIGINT) AS incomplete, CAST(0 AS BIGINT) AS split, CAST(0 AS BIGINT) AS overfull
 FROM container_spec WHERE capacity_tokens > 0 AND container_kind IS NOT NULL GROUP BY container_kind""",
         "p3_found": f"WITH {_FOUND} SELECT block_id, line_no FROM found",

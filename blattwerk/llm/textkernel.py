@@ -10,6 +10,7 @@ one dictionary lookup.
 from __future__ import annotations
 
 import re
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +36,7 @@ _MARKS = {b";": int(LINE), b"!": int(BLOCK)}
 
 
 def _table() -> bytes:
-    t = bytearray(b" " * 256)
+    t = bytearray(b" " * 128 + bytes(range(128, 256)))  # letters of other scripts stay as they are (see fold)
     for c in b"abcdefghijklmnopqrstuvwxyz0123456789;!":
         t[c] = c
     for group in GLYPH_CLASSES:
@@ -49,9 +50,45 @@ _TABLE = _table()
 _DIGITS = bytes.maketrans(b"1058", bytes(ord(next(g[0] for g in GLYPH_CLASSES if c in g)) for c in "1058"))
 _UMLAUTS = tuple((c.encode(), group[0].encode()) for group in GLYPH_CLASSES for c in group if ord(c) > 127)
 _WIDE = tuple((a.encode(), b.encode()) for a, b in WIDE_GLYPHS.items())
+_OWN = frozenset("äöüß")
+
+
+class _Folded(dict):
+    """Character beyond ASCII -> what it counts as: its base letter or digit, itself if it is a letter of another script, else a blank."""
+
+    def __missing__(self, c: str) -> str:
+        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)).lower()
+        if c.isalpha():
+            out = plain if plain.isascii() and plain.isalpha() else c
+        elif c.isdecimal():
+            out = str(unicodedata.decimal(c))
+        else:
+            out = c if unicodedata.category(c)[0] == "M" else " "
+        self[c] = out
+        return out
+
+
+_folded = _Folded()
+
+
+def composed(text: str) -> str:
+    """``text`` with letters and their marks as one character where there is one."""
+    return text if text.isascii() or unicodedata.is_normalized("NFC", text) else unicodedata.normalize("NFC", text)
+
+
+def fold(text: str) -> str:
+    """Lower-cased text without accents (German umlauts stay) and without symbols beyond ASCII."""
+    if text.isascii():
+        return text
+    for c in set(text) - _OWN:
+        if c > "\x7f" and (r := _folded[c]) != c:
+            text = text.replace(c, r)
+    return text
+
+
 def skeleton_bytes(text: str) -> bytes:
     """Skeleton of lower-cased text: letters and digits (as they are), the marks ``;!``, all else blank."""
-    b = text.encode("utf-8", "replace")
+    b = fold(text).encode("utf-8", "replace")
     for a, r in _UMLAUTS:
         b = b.replace(a, r)
     for a, r in _WIDE:
@@ -93,7 +130,8 @@ def word_hash(word: str) -> int:
 class Tokens:
     """Tokens of a batch: ``h`` without marks and single letters, with the line and block of each.
 
-    ``line_block`` has the block of each line, ``line_letters`` the number of single letters in it.
+    ``line_block`` has the block of each line, ``line_letters`` the number of single letters in it, ``goes_on``
+    whether it is a part of a long line whose rest follows.
     """
 
     h: np.ndarray
@@ -103,21 +141,43 @@ class Tokens:
     n_blocks: int
     line_block: np.ndarray
     line_letters: np.ndarray
+    goes_on: np.ndarray
     text: str
 
 
-def tokens(texts: list[str], join_hyphens: bool, drop: re.Pattern | None = None) -> Tokens:
-    """Tokens of ``texts``; ``join_hyphens`` puts words together that are parted at line ends,
-    ``drop`` (a pattern over lower-cased text, within lines) is left out first. ``text`` is what
-    was tokenised: lower-cased, texts parted by NUL, with the lines that ``line`` counts.
-    """
-    s = "\x00".join(t.replace("\x00", " ") if "\x00" in t else t for t in texts).lower()
+def prepare(texts: list[str], join_hyphens: bool, drop: re.Pattern | None = None, long_line: int = 0) -> str:
+    """``texts`` in lower case, parted by NUL; ``join_hyphens`` puts words together that are parted at line ends,
+    ``drop`` (a pattern over lower-cased text, within lines) is left out first. With ``long_line`` lines that are longer
+    are parted (by ``\\x01``) at the first blank after each so many characters, wherever the text is cut later."""
+    s = composed("\x00".join(t.replace("\x00", " ").replace("\x01", " ") if "\x00" in t or "\x01" in t else t for t in texts).lower())
     if drop is not None:
         s = drop.sub("", s)
     if join_hyphens:
         s = _JOIN.sub("", s)
-    text = s
-    s = s.replace(";", " ").replace("!", " ")
+    if long_line and len(s) > long_line and max(map(len, s.split("\n"))) > long_line:
+        s = "\x00".join("\n".join(_parted(x, long_line) for x in t.split("\n")) for t in s.split("\x00"))
+    return s
+
+
+def _parted(line: str, size: int) -> str:
+    out, at = [], 0
+    while len(line) - at > size:
+        cut = line.find(" ", at + size)
+        if cut < 0 or not line[cut:].strip():
+            break
+        out.append(line[at:cut])
+        at = cut + 1
+    return "\x01".join([*out, line[at:]])
+
+
+def tokens(texts: list[str], join_hyphens: bool, drop: re.Pattern | None = None, long_line: int = 0) -> Tokens:
+    """Tokens of ``texts`` (see :func:`prepare`)."""
+    return tokenised(prepare(texts, join_hyphens, drop, long_line), len(texts))
+
+
+def tokenised(text: str, n_blocks: int) -> Tokens:
+    """Tokens of prepared text, whose lines ``line`` counts."""
+    s = text.replace(";", " ").replace("!", " ").replace("\x01", "\n")
     s = f" {s} ".replace("\n", " ; ").replace("\x00", " ! ")
     for c in _WIDE_LETTERS * 2:  # a letter on its own is not what looks like it (rn); twice, for blanks that two share
         s = s.replace(f" {c} ", " x ")
@@ -127,12 +187,16 @@ def tokens(texts: list[str], join_hyphens: bool, drop: re.Pattern | None = None)
     new_line = (a == LINE) | new_block
     line_of = np.cumsum(new_line)
     block_of = np.cumsum(new_block)
-    n_lines, n_blocks = int(new_line.sum()) + 1, len(texts)
+    n_lines = int(new_line.sum()) + 1
     line_block = np.zeros(n_lines, np.int64)
     line_block[1:] = block_of[new_line]
     letters = np.bincount(line_of[a == 0], minlength=n_lines)
+    goes_on = np.zeros(n_lines, bool)
+    if "\x01" in text:
+        buf = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
+        goes_on[: n_lines - 1] = buf[(buf == 10) | (buf <= 1)] == 1
     keep = (a != 0) & ~new_line
-    return Tokens(a[keep], line_of[keep], block_of[keep], n_lines, n_blocks, line_block, letters, text)
+    return Tokens(a[keep], line_of[keep], block_of[keep], n_lines, n_blocks, line_block, letters, goes_on, text)
 
 
 def segment_sum(values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:

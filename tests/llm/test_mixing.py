@@ -24,6 +24,16 @@ def test_shares_within_what_repeats_allow(spark):
     assert math.isclose(sum(x.reached_share for x in r.values()), 1.0)
 
 
+def test_fitting_total_meets_all_shares(spark):
+    t = _target(spark, [("m", "gross", 0.6, 1), ("m", "klein", 0.2, 3), ("m", "fremd", 0.1, 9), ("m", "leer", 0.1, 2)])
+    fit, held = ({x.source: x for x in M.shares(_sizes(spark), t, total_tokens=n).collect()} for n in (M.FITTING, M.HELD))
+    # klein holds 400 tokens, so three times that is a fifth of the total
+    assert fit["klein"].tokens == 1200 and [s for s, x in fit.items() if x.capped] == ["leer"]
+    for s, want in (("gross", 0.6), ("klein", 0.2), ("fremd", 0.1)):
+        assert abs(fit[s].reached_share - want / 0.9) < 0.002
+    assert held["klein"].capped and held["klein"].reached_share < 0.1
+
+
 def test_complete_epochs_precede_the_draw(spark):
     t = _target(spark, [("m", "klein", 1.0, 5)])
     rows = M.mix(_sizes(spark), t, total_tokens=1000).collect()
@@ -63,7 +73,7 @@ def test_missing_sources_and_empty_tables(spark):
 
 def test_sizes_of_odd_texts(spark):
     df = spark.createDataFrame([(1, None, " A "), (2, "", None), (None, "x", "a"), (3, "ein Wort mehr", "A"), (3, "ein Wort mehr", "A"), (4, "lang " * 100_000, "a")], "doc_id bigint, text string, source string")
-    rows = sorted((r.doc_id, r.source, r.tokens) for r in Z.token_sizes(df, weights=True).collect())
+    rows = sorted((r.doc_id, r.source, r.tokens) for r in Z.token_sizes(df, vocab=spark.createDataFrame([('und', 1), (None, 2)], 'word string, freq_rank int')).collect())
     assert rows[0] == (1, "a", 0) and rows[1] == (2, "", 0) and rows[2] == rows[3] and rows[4][2] > 100_000
 
 
