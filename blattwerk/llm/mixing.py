@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from blattwerk.llm.sizes import TOKENIZER, token_sizes
-from blattwerk.plans import cut
+from blattwerk.plans import broadcast_if_small, cut
 
 #: Buckets of the keys of one source.
 BUCKETS = 4_096
@@ -64,18 +64,20 @@ def mix(sizes: DataFrame, targets: DataFrame, total_tokens: int | str = FITTING,
     An empty table of documents or targets gives an empty mix.
     """
     budgets = cut(source_budgets(sizes, targets, total_tokens))
+    wanted = broadcast_if_small(budgets.where("epochs > 0 OR rest > 0").select("mix_name", "source", "epochs", "rest"))
     u = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     keyed = sizes.where("tokens > 0").select("doc_id", "source", "tokens", (-F.ln(u) / F.greatest("weight", F.lit(1e-6))).alias("key"))
     keyed = keyed.withColumn("bucket", F.least(F.floor((1 - F.exp(-F.col("key"))) * BUCKETS), F.lit(BUCKETS - 1)).cast("int"))
-    sums = keyed.groupBy("source", "bucket").agg(F.sum("tokens").alias("in_bucket"))
-    before = F.sum("in_bucket").over(Window.partitionBy("source").orderBy("bucket")) - F.col("in_bucket")
-    sums = sums.select("source", "bucket", "in_bucket", before.alias("before"))
+    # a document that is longer than the whole budget has no place in the draw
+    each = keyed.join(wanted, "source").withColumn("fits", F.col("tokens") <= F.col("rest"))
+    sums = each.where("fits").groupBy("mix_name", "source", "bucket", "rest").agg(F.sum("tokens").alias("in_bucket"))
+    before = F.sum("in_bucket").over(Window.partitionBy("mix_name", "source").orderBy("bucket")) - F.col("in_bucket")
     # at most BUCKETS rows a source and mix
-    edges = budgets.join(sums, "source").select("mix_name", "source", "bucket", "epochs", "rest", "before", (F.col("before") + F.col("in_bucket") <= F.col("rest")).alias("whole"))
-    edges = cut(edges.where((F.col("epochs") > 0) | (F.col("before") < F.col("rest"))))
-    placed = keyed.join(edges, ["source", "bucket"])
-    inner = placed.where(F.col("whole") | (F.col("before") >= F.col("rest"))).withColumn("drawn", F.col("whole"))
-    edge = placed.where(~F.col("whole") & (F.col("before") < F.col("rest")))
+    edges = sums.withColumn("before", before).where(F.col("before") < F.col("rest")).select("mix_name", "source", "bucket", "before", (F.col("before") + F.col("in_bucket") <= F.col("rest")).alias("whole"))
+    placed = each.join(broadcast_if_small(cut(edges)), ["mix_name", "source", "bucket"], "left")
+    on_edge = F.col("fits") & F.coalesce(~F.col("whole"), F.lit(False))
+    inner = placed.where(~on_edge).withColumn("drawn", F.col("fits") & F.coalesce("whole", F.lit(False)))
+    edge = placed.where(on_edge)
     run = Window.partitionBy("mix_name", "source", "bucket").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     # a document belongs to the draw if more than half of it lies within the budget
     edge = edge.withColumn("drawn", F.col("before") + F.sum("tokens").over(run) - F.col("tokens") / 2 <= F.col("rest"))
