@@ -3,6 +3,7 @@ import json
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from blattwerk.llm import truncation as T
 
@@ -77,3 +78,62 @@ def test_odd_rows(spark):
 def test_fragment_of_a_longer_word(spark):
     rows = [(i, "Die Hafenbehörde entscheidet über den Lagerantrag.", "a", None) for i in range(5)] + [(10, "- Kauf\n- Miete\n- Hafenbeh", "a", None), (11, "- Kauf\n- Miete\n- Lagerantrag", "a", None)]
     assert [r.doc_id for r in T.truncated_documents(_df(spark, rows)).collect()] == [10]
+
+
+def test_lengths_decide_what_endings_leave_open(spark):
+    # lists in a field of 200 characters: some are cut within a word that is also a word by itself, and look whole
+    items = ["Hafen", "Lager", "Hafenrecht", "Lagerhaus", "Wasserrecht", "Wasser"]
+    rows = [(i, "\n".join(f"- {items[(i + 2 * j) % 6]}" for j in range(40))[: 120 + 3 * i], "frei", None) for i in range(60)]
+    full = ["\n".join(f"- {items[(i + j * (1 + i % 3)) % 6]}{'x' * (i % 4)}" for j in range(40)) for i in range(40)]
+    rows += [(100 + i, t[:200], "eng", None) for i, t in enumerate(full)]
+    j = {r.doc_id: r for r in T.judged(_df(spark, rows)).collect()}
+    opened = [j[i] for i in range(100, 140) if j[i].how == T.OPEN and j[i].begins and not j[i].fragment]
+    assert opened and all(r.at_limit and r.truncated for r in opened)
+    # the same ending in a source without a limit stays open
+    assert not any(r.truncated for i, r in j.items() if i < 60 and r.how == T.OPEN and not r.fragment)
+
+
+def test_announced_sizes_decide_what_endings_leave_open(spark):
+    text = lambda i: "\n".join(f"- {w}" for w in ("Hafen", "Lager", "Wasserrecht")[: 1 + i % 3])
+    rows = [(i, text(i), "meldet", len(text(i).encode()) + (400 if i < 3 else 0)) for i in range(30)]
+    assert {r.doc_id for r in T.truncated_documents(_df(spark, rows)).collect()} == {0, 1, 2}
+    r = T.truncation_rates(_df(spark, rows)).first()
+    assert (r.truncated, r.short, r.by_length, r.ending_only) == (3, 3, 3, 0)
+
+
+def test_a_pile_counts_in_its_best_encoding_only(spark):
+    rows = [(i, ("Der Käufer trägt die Gefahr, soweit " * 9)[: 200 + i % 9], "eng", None) for i in range(40)]
+    rows += [(100 + i, "Ä" * (i % 7) + "x" * (300 - 2 * (i % 7)), "bytes", None) for i in range(40)]
+    df = _df(spark, rows).select("doc_id", F.col("source"), F.lit(T.CUT).alias("how"), "text")
+    sized = df.select("doc_id", "source", "how", *[F.udf(lambda t, i=i: T.lengths(t)[i], "bigint")("text").alias(e) for i, e in enumerate(T.ENCODINGS)])
+    found = {(r.source, r.encoding, r.length) for r in T.storage_limits(sized).collect() if r.source == "bytes"}
+    assert found == {("bytes", "utf8", 300)}
+
+
+def test_fragments_by_ratio_and_words_by_use(spark):
+    # a fragment that other texts hold as well stays one, as long as longer words are far more frequent
+    many = [(i, "Die Hafenbehörde prüft den Antrag. " * 50, "a", None) for i in range(60)]
+    rows = [*many, (100, "Die Hafenbeh und der Rest.", "a", None), (101, "- Kauf\n- Miete\n- Hafenbeh", "a", None)]
+    assert [r.doc_id for r in T.truncated_documents(_df(spark, rows)).collect()] == [101]
+    words = T.word_counts(_df(spark, many).select("text"))
+    uses = T.word_uses(words)
+    assert {"die", "den", "prüft", "hafenbehörde"} <= uses.leading and "antrag" not in uses.leading and "the" in uses.leading
+    assert {(r.word, r.n) for r in words.collect() if r.word == "Hafenbehörde"} == {("Hafenbehörde", 3000)}
+
+
+def test_begun_words_equal_a_search(spark):
+    import itertools
+    import random
+
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choice("abü") for _ in range(rng.randrange(1, 7))) for _ in range(300)) for _ in range(5)]
+    words = T.word_counts(spark.createDataFrame([(t,) for t in texts], "text string"))
+    n = {r.word: r.n for r in words.collect()}
+    asked = ["".join(p) for k in range(1, 5) for p in itertools.product("abü", repeat=k)]
+    got = {r.word: r.fragment for r in T.word_beginnings(spark.createDataFrame([(w,) for w in asked], "word string"), words).collect()}
+    want = {}
+    for w in asked:
+        longer = sum(c for x, c in n.items() if len(x) > 3 and x.startswith(w) and x[len(w) :] not in ("", *T.INFLECTION))
+        if longer:
+            want[w] = n.get(w, 0) <= T.ALONE * longer
+    assert got == want
