@@ -4,8 +4,8 @@
    layer) and elsewhere, words parted at line ends put together.
 2. Forms are grouped by their glyph skeleton. A form that trusted text does not
    support is a misread one of a supported form of its group that differs in the
-   fewest letters. The result is a table of distinct forms; where several forms are
-   as near, all stay.
+   fewest letters. The groups are joined, not gathered. The result is a table of
+   distinct forms; where several forms are as near, all stay.
 3. Scanned blocks: stamped lines (numbers masked, counted over all blocks, see ``furniture``), words parted
    at line ends, and words that may be misread, by a filter of fixed size. The
    candidates are joined with the table of forms. Among several, the one that trusted
@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from blattwerk.llm.furniture import LineModel, fit_on_sample, is_page_number, recurring_lines, recurs, with_recurring
@@ -33,18 +33,18 @@ from blattwerk.plans import broadcast_if_small, cut, spread
 TRUSTED, SCANNED = "textlayer", "ocr"
 #: The right form must have this many times the support of the misread one, and this support at least.
 TIMES, LEAST = 3, 3
-#: Bits of the filter of misread forms.
-FILTER_BITS = 1 << 24
+#: Bits of the filter of misread forms: for each form, and for all of them.
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 26
 #: A line longer than this is a paragraph and not a printed line.
 PRINTED_LINE = 110
 #: A preview is printed if its lines end within sentences this many times as often as they are too long.
 PRINTED_TIMES = 3
-#: Distinct forms that a task holds before it passes them on.
-FLUSH = 100_000
+#: Distinct forms that a task holds before it passes them on, and their letters.
+FLUSH, FLUSH_LETTERS = 100_000, 4_000_000
 #: Mean length of words above which a page holds codes.
 LONG_WORDS = 25
-#: Letters of the longest form that is looked at; longer runs are no words.
-LONGEST = 60
+#: Letters of the longest form for which the rare glyphs are tried, and of the shortest in capitals that is a word.
+LONGEST, LEAST_CAPITALS = 60, 4
 
 _WORD = re.compile(r"[^\W_]+")
 _RUN = re.compile(r"[^\W\d_]{3,}")
@@ -79,7 +79,7 @@ def _count_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     votes: dict[str, list[int]] = {}
 
     def flush() -> pa.RecordBatch:
-        forms = [w for w in trusted.keys() | other.keys() if len(w) <= LONGEST]
+        forms = trusted.keys() | other.keys()
         rows = [(0, w, trusted[w], other[w]) for w in forms] + [(1, k, *v) for k, v in votes.items()]
         trusted.clear()
         other.clear()
@@ -96,6 +96,8 @@ def _count_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 v = votes.setdefault(name, [0, 0])
                 for n, x in enumerate(printed(text)):
                     v[n] += x
+            if len(text) > FLUSH_LETTERS:
+                yield flush()
         if len(trusted) + len(other) > FLUSH:
             yield flush()
     yield flush()
@@ -118,7 +120,7 @@ def _skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(s) < 2 or low.isdigit():
                 continue
             out.append((s, form, a, b, 0))
-            if a == 0 and len(low) > 3:
+            if a == 0 and 3 < len(low) <= LONGEST:
                 more = {low[:i] + r + low[i + len(x) :] for x, r in RARE_GLYPHS for i in range(len(low)) if low.startswith(x, i)}
                 out.extend((k, form, a, b, 1) for k in {skeleton(m) for m in more} - {s})
         cols = list(zip(*out, strict=True)) or [[], [], [], [], []]
@@ -126,64 +128,6 @@ def _skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["skeleton", "form", "trusted", "other", "tier"])
 
 
-def differing(a: str, b: str) -> int:
-    """Edits between two forms that share a skeleton or nearly do."""
-    if len(a) == len(b):
-        return sum(x != y for x, y in zip(a, b, strict=True))
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        prev, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            prev, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, prev + (x != y))
-    return row[-1]
-
-
-def right_forms(group: list[dict]) -> list[tuple[str, str, int, int, int]]:
-    """``form, right form, tier, edits, support`` for the misread forms of one skeleton, a row for each of
-    several right forms that are equally near."""
-    low: dict[str, list[int]] = {}
-    for g in group:
-        if g["tier"] == 0:
-            n = low.setdefault(g["form"].lower(), [0, 0])
-            n[0] += g["trusted"]
-            n[1] += g["other"]
-    support = {k: 10 * t + o for k, (t, o) in low.items()}
-    out = []
-    for g in group:
-        f = g["form"]
-        own, (t, o) = f.lower(), low.get(f.lower(), (0, 0))
-        if f.isupper() and len(f) > 1:
-            continue
-        # what trusted text holds as often as the rest does is no reading error
-        better = [k for k, s in support.items() if k != own and k.isalpha() and s >= LEAST and low[k][0] + low[k][1] >= TIMES * (t + o) and low[k][0] >= 20 * t and (t == 0 or o > 3 * t)]
-        edits = {k: differing(own, k) for k in better}
-        near = min(edits.values(), default=0)
-        for k in better:
-            if edits[k] == near <= 1 + len(k) // 3 and (right := _cased(f, k, group)):
-                out.append((f, right, g["tier"], near, support[k]))
-    return out
-
-
-def _cased(form: str, right: str, group: list[dict]) -> str | None:
-    """The spelling of ``right`` in the group that has the case of ``form``, if it has one."""
-    variants = sorted(((v["trusted"] * 10 + v["other"], v["form"]) for v in group if v["tier"] == 0 and v["form"].lower() == right and not (v["form"].isupper() and len(right) > 4)), reverse=True)
-    if not variants:
-        return None
-    usual = variants[0][1]
-    if form[0].lower() != right[0]:  # the first letter itself was misread
-        return usual
-    same = [v for _, v in variants if v[0].isupper() == form[0].isupper()]
-    return same[0] if same else (right[0].upper() if form[0].isupper() else right[0]) + usual[1:]
-
-
-def _choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = [x for g in batch.column(0).to_pylist() for x in right_forms(g)]
-        cols = list(zip(*out, strict=True)) or [[]] * 5
-        types = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["form", "right", "tier", "edits", "support"])
-
-
 def counted_forms(blocks: DataFrame) -> DataFrame:
     """Counts over all blocks: word forms (``what`` 0: trusted, other) and previews without origin (``what`` 1: wraps, long lines)."""
     rows = blocks.select(F.col("name").cast("string"), F.col("origin").cast("string"), F.col("markdown").cast("string"))
@@ -193,12 +137,42 @@ def counted_forms(blocks: DataFrame) -> DataFrame:
 
 def spelling(forms: DataFrame) -> DataFrame:
     """``form, options`` of the misread forms among ``forms`` (``form, trusted, other``): the right forms that
-    are nearest, as ``support, right``, the best supported first."""
+    are nearest, as ``support, right``, the best supported first.
+
+    A word is right if it has support enough, is far more frequent than the form and, unless trusted text lacks the
+    form, stands in trusted text twenty times as often. A form in capitals gets its right form in capitals.
+    """
     keyed = forms.mapInArrow(_skeletons, "skeleton string, form string, trusted bigint, other bigint, tier int")
-    groups = keyed.groupBy("skeleton").agg(F.collect_list(F.struct("form", "trusted", "other", "tier")).alias("group")).where(F.size("group") > 1)
-    chosen = groups.select("group").mapInArrow(_choose, "form string, right string, tier int, edits int, support bigint")
-    best = chosen.groupBy("form", "tier", "edits").agg(F.sort_array(F.collect_set(F.struct("support", "right")), asc=False).alias("options"))
-    return best.groupBy("form").agg(F.min_by("options", F.struct("tier", "edits")).alias("options"))
+    form, low = F.col("form"), F.lower("form")
+    capitals = (form == F.upper("form")) & (form != low)
+    begins_upper = F.substring("form", 1, 1) != F.lower(F.substring("form", 1, 1))
+    shown, rank = ~(capitals & (F.char_length("form") > 4)), F.struct(10 * F.col("trusted") + F.col("other"), "form")
+    words = cut(
+        keyed.where("tier = 0")
+        .groupBy("skeleton", low.alias("low"))
+        .agg(
+            F.sum("trusted").alias("t"),
+            F.sum("other").alias("o"),
+            F.max_by(F.when(shown, form), F.when(shown, rank)).alias("usual"),
+            F.max_by(F.when(shown & begins_upper, form), F.when(shown & begins_upper, rank)).alias("upper"),
+            F.max_by(F.when(shown & ~begins_upper, form), F.when(shown & ~begins_upper, rank)).alias("lower"),
+        )
+    )
+    support = 10 * F.col("t") + F.col("o")
+    right = words.where((support >= LEAST) & F.col("usual").isNotNull() & F.col("low").rlike(r"^\p{L}+$")).select(
+        "skeleton", F.col("low").alias("k"), F.col("t").alias("kt"), F.col("o").alias("ko"), support.alias("support"), "usual", "upper", "lower"
+    )
+    asked = keyed.where(~capitals | (F.char_length("form") >= LEAST_CAPITALS)).select("skeleton", "form", low.alias("low"), "tier")
+    asked = asked.join(words.select("low", "t", "o"), "low").where("t = 0 OR o > 3 * t")
+    k, t, o = F.col("k"), F.col("t"), F.col("o")
+    pairs = asked.join(right, "skeleton").where((k != F.col("low")) & (F.col("kt") + F.col("ko") >= TIMES * (t + o)) & (F.col("kt") >= 20 * t))
+    pairs = pairs.withColumn("edits", F.levenshtein("low", "k")).where(F.col("edits") <= 1 + F.floor(F.char_length("k") / 3))
+    same_case = F.when(begins_upper, F.col("upper")).otherwise(F.col("lower"))
+    first = F.when(begins_upper, F.upper(F.substring("k", 1, 1))).otherwise(F.substring("k", 1, 1))
+    cased = F.coalesce(same_case, F.concat(first, F.expr("substring(usual, 2)")))
+    spelt = F.when(capitals, F.upper("usual")).when(F.substring("low", 1, 1) != F.substring("k", 1, 1), F.col("usual")).otherwise(cased)
+    near = pairs.groupBy("form", "tier", "edits").agg(F.sort_array(F.collect_set(F.struct("support", spelt.alias("right"))), asc=False).alias("options"))
+    return near.groupBy("form").agg(F.min_by("options", F.struct("tier", "edits")).alias("options"))
 
 
 def _count_neighbours(bits: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -229,7 +203,7 @@ def in_context(found: DataFrame, blocks: DataFrame) -> DataFrame:
     """``found`` (``part, options, before, after``) with the ``right`` form of each: of several options the one that
     trusted text has most often between the same neighbours, then the best supported."""
     one = found.where(F.size("options") == 1).withColumn("right", F.col("options")[0]["right"])
-    open_ = found.where(F.size("options") > 1).withColumn("_row", F.xxhash64("block_id", "line_no", "word", "part", "before", "after"))
+    open_ = found.where(F.size("options") > 1).withColumn("_row", F.xxhash64("block_id", "line_no", "start", "part"))
     open_ = open_.select("*", F.explode("options").alias("o"))
     open_ = cut(open_.select(*found.columns, "_row", F.col("o.right").alias("right"), F.col("o.support").alias("support")))
     if open_.isEmpty():
@@ -244,21 +218,17 @@ def in_context(found: DataFrame, blocks: DataFrame) -> DataFrame:
     return one.unionByName(rows.join(best, "_row").drop("_row"))
 
 
-def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for batch in batches:
-        for f in batch.column(0).to_pylist():
-            h = xxhash.xxh3_64_intdigest(f) % FILTER_BITS
-            bits[h >> 3] |= 1 << (h & 7)
-    yield pa.RecordBatch.from_arrays([pa.array([bits.tobytes()])], ["bits"])
-
-
 def form_filter(forms: DataFrame) -> np.ndarray:
-    """Bits of the hashes of all ``form``; its size does not depend on their number."""
-    total = np.zeros(FILTER_BITS // 8, np.uint8)
-    for r in forms.select("form").coalesce(4).mapInArrow(_bits, "bits binary").toLocalIterator():
-        total |= np.frombuffer(r["bits"], np.uint8)
-    return total
+    """Bits of the hashes of all ``form``, in words of 64; it has at most ``MOST_BITS`` bits however many forms there are."""
+    bits = LEAST_BITS
+    n = forms.count()
+    while bits < BITS_EACH * n and bits < MOST_BITS:
+        bits *= 2
+    h = F.pmod(F.xxhash64("form"), F.lit(bits))
+    words = forms.select(h.alias("h")).selectExpr("shiftright(h, 6) AS at", "shiftleft(1L, CAST(h & 63 AS INT)) AS bit").groupBy("at").agg(F.bit_or("bit").alias("word"))
+    out, table = np.zeros(bits // 64, np.int64), words.toArrow()
+    out[table["at"].to_numpy()] = table["word"].to_numpy()
+    return out.view(np.uint64)
 
 
 class _Maybe(dict):
@@ -266,21 +236,21 @@ class _Maybe(dict):
 
     def __init__(self, bits: np.ndarray):
         super().__init__()
-        self.bits = bits
+        self.bits, self.mask = bits, 64 * len(bits) - 1
 
     def __missing__(self, form: str) -> bool:
-        h = xxhash.xxh3_64_intdigest(form) % FILTER_BITS
+        h = xxhash.xxh64_intdigest(form, seed=42) & self.mask  # as Spark's xxhash64
         if len(self) > FLUSH:
             self.clear()
-        self[form] = hit = bool(self.bits[h >> 3] >> (h & 7) & 1)
+        self[form] = hit = bool(int(self.bits[h >> 6]) >> (h & 63) & 1)
         return hit
 
 
-def defects(lines: list[str], stamped: list[bool], maybe: Callable[[str], bool]) -> list[tuple[int, str, str, str | None, str, str]]:
-    """``line_no, kind, word, part, before, after`` of one page: for ``misread`` a token, the part that may be misread
-    and the words beside it in its line."""
+def defects(lines: list[str], stamped: list[bool], maybe: Callable[[str], bool]) -> list[tuple[int, str, str, int | None, str | None, str, str]]:
+    """``line_no, kind, word, start, part, before, after`` of one page: for ``misread`` a token, its place in the line, the
+    part that may be misread and the words beside it."""
     off = [s or is_page_number(x) for x, s in zip(lines, stamped, strict=True)]
-    out: list[tuple[int, str, str, str | None, str, str]] = [(i + 1, "furniture", "", None, "", "") for i, f in enumerate(off) if f]
+    out: list[tuple[int, str, str, int | None, str | None, str, str]] = [(i + 1, "furniture", "", None, None, "", "") for i, f in enumerate(off) if f]
     own = [i for i, f in enumerate(off) if not f and lines[i].strip()]
     if is_junk([lines[i] for i in own]):
         return out
@@ -293,7 +263,7 @@ def defects(lines: list[str], stamped: list[bool], maybe: Callable[[str], bool])
         if line.rstrip()[-1:] in HYPHENS and k + 1 < len(own):
             parted, rest = _PARTED.search(line), _GOES_ON.match(lines[own[k + 1]])
             if parted and rest and parted.start() >= start and not _KEPT.match(rest.group(1)):
-                out.append((i + 1, "break", parted.group(1) + rest.group(1), None, "", ""))
+                out.append((i + 1, "break", parted.group(1) + rest.group(1), None, None, "", ""))
                 end, skip_first = parted.start(), True
         if not any(map(maybe, _WORD.findall(line, start, end))):
             continue
@@ -302,7 +272,7 @@ def defects(lines: list[str], stamped: list[bool], maybe: Callable[[str], bool])
             for part in token.split("-"):
                 if len(part) > 1 and maybe(part):
                     left, right = _WORD.findall(line[: m.start()]), _WORD.search(line, m.end())
-                    out.append((i + 1, "misread", token, part, left[-1].lower() if left else "", right.group().lower() if right else ""))
+                    out.append((i + 1, "misread", token, m.start(), part, left[-1].lower() if left else "", right.group().lower() if right else ""))
     return out
 
 
@@ -318,9 +288,9 @@ def _find(model: LineModel, bits: np.ndarray) -> Callable[[Iterator[pa.RecordBat
                 for i in range(a, b):
                     lines = texts[i].split("\n")
                     out.extend((ids[i], *d) for d in defects(lines, stamped[first[i - a] : first[i - a] + len(lines)], maybe))
-                cols = list(zip(*out, strict=True)) or [[]] * 7
-                types = (pa.int64(), pa.int32(), *[pa.string()] * 5)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["block_id", "line_no", "kind", "word", "part", "before", "after"])
+                cols = list(zip(*out, strict=True)) or [[]] * 8
+                types = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int32(), *[pa.string()] * 3)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["block_id", "line_no", "kind", "word", "start", "part", "before", "after"])
 
     return run
 
@@ -338,9 +308,9 @@ def scanned(blocks: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def scan_defects(blocks: DataFrame, counts: DataFrame | None = None) -> DataFrame:
-    """``block_id, line_no, kind, word, token`` of each defect of the scanned blocks, once.
+    """``block_id, line_no, kind, word, start, token`` of each defect of the scanned blocks, once.
 
-    ``token`` is the misread token as it stands. Rows with a null id, or null or empty
+    ``token`` is the misread token as it stands, ``start`` its place in the line (from 0). Rows with a null id, or null or empty
     ``markdown``, have no defects; repeated rows of a block count once; an empty table gives
     an empty result. Columns other than ``block_id, name, origin, markdown`` are ignored.
     ``counts`` are those of :func:`counted_forms`, if they are there already.
@@ -349,15 +319,15 @@ def scan_defects(blocks: DataFrame, counts: DataFrame | None = None) -> DataFram
     counts = counted_forms(blocks) if counts is None else counts
     right = cut(spelling(counts.where("what = 0").select(F.col("key").alias("form"), F.col("a").alias("trusted"), F.col("b").alias("other"))))
     scans = with_recurring(scanned(blocks, counts), recurring_lines(blocks), "name")
-    found = scans.mapInArrow(_find(model, form_filter(right)), "block_id bigint, line_no int, kind string, word string, part string, before string, after string").distinct()
+    found = scans.mapInArrow(_find(model, form_filter(right)), "block_id bigint, line_no int, kind string, word string, start int, part string, before string, after string").distinct()
     found = cut(found)
-    plain = found.where("kind <> 'misread'").select("block_id", "line_no", "kind", "word", F.lit(None).cast("string").alias("token"))
+    plain = found.where("kind <> 'misread'").select("block_id", "line_no", "kind", "word", F.lit(None).cast("int").alias("start"), F.lit(None).cast("string").alias("token"))
     misread = (
         in_context(found.where("kind = 'misread'").join(right.withColumnRenamed("form", "part"), "part"), blocks)
-        .groupBy("block_id", "line_no", "kind", F.col("word").alias("token"))
+        .groupBy("block_id", "line_no", "kind", "start", F.col("word").alias("token"))
         # a token of several parts may be misread in more than one
-        .agg(F.collect_set(F.struct("part", "right")).alias("fixes"))
-        .select("block_id", "line_no", "kind", F.aggregate("fixes", F.col("token"), lambda acc, x: F.replace(acc, x["part"], x["right"])).alias("word"), "token")
+        .agg(F.map_from_entries(F.collect_set(F.struct("part", "right"))).alias("fixes"))
+        .select("block_id", "line_no", "kind", F.array_join(F.transform(F.split("token", "-", -1), lambda x: F.coalesce(F.element_at("fixes", x), x)), "-").alias("word"), "start", "token")
     )
     return plain.unionByName(misread)
 
@@ -367,8 +337,15 @@ def found_defects(blocks: DataFrame) -> DataFrame:
     return scan_defects(blocks).select("block_id", "line_no", "kind", "word").distinct()
 
 
-def _fixed(line: str, fixes: str) -> str:
-    return f"aggregate(coalesce({fixes}, array()), {line}, (t, f) -> replace(t, f.token, f.word))"
+def _fixed(line: Column, fixes: Column) -> Column:
+    """``line`` with each of ``fixes`` (``start, token, word``, in the order of their places) at its place."""
+    begin = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
+
+    def step(acc: Column, x: Column) -> Column:
+        kept = F.substring(line, acc["at"] + 1, x["start"] - acc["at"])
+        return F.struct(F.concat(acc["done"], kept, x["word"]).alias("done"), (x["start"] + F.char_length(x["token"])).alias("at"))
+
+    return F.aggregate(fixes, begin, step, lambda acc: F.concat(acc["done"], F.substring(line, acc["at"] + 1, F.char_length(line))))
 
 
 def repaired(blocks: DataFrame) -> DataFrame:
@@ -377,18 +354,26 @@ def repaired(blocks: DataFrame) -> DataFrame:
 
     A paragraph ends at a blank line, before a heading, a list item or a table row, and after one. See
     :func:`scan_defects` for odd rows; a scanned block of nothing but furniture has no paragraphs.
+
+    Lines and their defects meet by block, and all that follows keeps that partitioning: texts are shuffled once.
     """
     counts = counted_forms(blocks)
     found = cut(scan_defects(blocks, counts))
-    scans = scanned(blocks, counts).groupBy("block_id").agg(F.max("markdown").alias("markdown"))
-    lines = scans.select("block_id", F.posexplode(F.split("markdown", "\n", -1)).alias("i", "line")).select("block_id", (F.col("i") + 1).alias("line_no"), "line")
-    per_line = found.groupBy("block_id", "line_no").agg(
-        F.max((F.col("kind") == "furniture").cast("int")).alias("off"),
-        F.max(F.when(F.col("kind") == "break", F.col("word"))).alias("parted"),
-        F.collect_list(F.when(F.col("kind") == "misread", F.struct("token", "word"))).alias("fixes"),
+    nothing = {"off": F.lit(None).cast("int"), "parted": F.lit(None).cast("string"), "fix": F.lit(None).cast("struct<start:int,token:string,word:string>")}
+    lines = scanned(blocks, counts).select("block_id", F.posexplode(F.split("markdown", "\n", -1)).alias("i", "line")).select("block_id", (F.col("i") + 1).alias("line_no"), "line").withColumns(nothing)
+    kind = F.col("kind")
+    marks = found.select(
+        "block_id",
+        "line_no",
+        F.lit(None).cast("string").alias("line"),
+        F.when(kind == "furniture", F.lit(1)).alias("off"),
+        F.when(kind == "break", F.col("word")).alias("parted"),
+        F.when(kind == "misread", F.struct("start", "token", "word")).alias("fix"),
     )
-    x = lines.join(per_line, ["block_id", "line_no"], "left").where(F.coalesce("off", F.lit(0)) == 0)
-    x = x.withColumn("line", F.expr(_fixed("line", "fixes").replace("array()", "cast(array() as array<struct<token:string,word:string>>)")))
+    met = lines.unionByName(marks).repartition("block_id")
+    # a block that was delivered twice has the same lines twice
+    x = met.groupBy("block_id", "line_no").agg(F.max("line").alias("line"), F.max("off").alias("off"), F.max("parted").alias("parted"), F.array_sort(F.collect_list("fix")).alias("fixes"))
+    x = x.where("off IS NULL AND line IS NOT NULL").withColumn("line", _fixed(F.col("line"), F.col("fixes")))
     page = Window.partitionBy("block_id").orderBy("line_no")
     text = F.trim(F.col("line"))
     mark = r"^(?:\*\*|#{1,6} |\||[-▪•] |\d{1,2}[.)] |[a-z]{1,2}\) |[FA]: |>)"

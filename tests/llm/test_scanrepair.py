@@ -57,15 +57,37 @@ def test_prose_and_tables_are_no_junk():
     assert not S.is_junk(["| a | b |", "| --- | --- |", "| Kauf | 3 |"])
 
 
-def test_right_form_is_supported_and_nearest():
-    def g(form, trusted, other, tier=0):
-        return {"form": form, "trusted": trusted, "other": other, "tier": tier}
+def _spelling(spark, rows):
+    df = spark.createDataFrame(rows, "form string, trusted bigint, other bigint")
+    return {r.form: {o.right for o in r.options} for r in S.spelling(df).collect()}
 
-    group = [g("nach", 900, 900), g("noch", 200, 200), g("uoch", 0, 2), g("nacb", 0, 3), g("Nacb", 0, 1), g("Nach", 50, 60)]
-    right = {f: r for f, r, *_ in S.right_forms(group)}
-    assert right == {"uoch": "noch", "nacb": "nach", "Nacb": "Nach"}
-    both = S.right_forms([*group, g("n0ch", 0, 1)])
-    assert {r for f, r, *_ in both if f == "n0ch"} == {"nach", "noch"}
+
+def test_right_form_is_supported_and_nearest(spark):
+    rows = [("nach", 900, 900), ("noch", 200, 200), ("uoch", 0, 2), ("nacb", 0, 3), ("Nacb", 0, 1), ("Nach", 50, 60)]
+    assert _spelling(spark, rows) == {"uoch": {"noch"}, "nacb": {"nach"}, "Nacb": {"Nach"}}
+    assert _spelling(spark, [*rows, ("n0ch", 0, 1)])["n0ch"] == {"nach", "noch"}
+
+
+def test_capitals_and_long_forms(spark):
+    long = "Donau" * 14 + "haftung"
+    rows = [("Genehmigung", 50, 10), ("GENEHM1GUNG", 0, 1), ("lll", 40, 0), ("III", 0, 2), (long, 9, 0), (long.replace("f", "t"), 0, 1), (None, 1, 1)]
+    assert _spelling(spark, [r for r in rows if r[0]]) == {"GENEHM1GUNG": {"GENEHMIGUNG"}, long.replace("f", "t"): {long}}
+
+
+def test_a_skeleton_with_thousands_of_forms(spark):
+    import itertools
+
+    forms = ["".join(p) for p in itertools.product("lir1", repeat=5)]
+    rows = [("lilli", 500, 0), *((f, 0, 1) for f in forms if f != "lilli")]
+    got = _spelling(spark, rows)
+    assert set().union(*got.values()) == {"lilli"} and len(got) > 100
+
+
+def test_filter_holds_every_form(spark):
+    forms = [f"wort{i}ä" for i in range(5000)]
+    maybe = S._Maybe(S.form_filter(spark.createDataFrame([(f,) for f in forms], "form string")))
+    assert all(maybe[f] for f in forms)
+    assert sum(maybe[f"anders{i}"] for i in range(5000)) < 100
 
 
 def test_neighbours_decide_between_right_forms(spark):
@@ -92,3 +114,45 @@ def test_lines_that_come_back_are_stamped_whatever_the_sample_holds(spark, monke
 def test_repaired_paragraphs(spark):
     got = {r.block_id: r.paragraphs for r in S.repaired(_df(spark, _rows())).collect()}
     assert got[100] == ["Der Vertrag wurde geprüft und die Genehmigung erteilt. Die Zustimmung des Gerichts fehlt, weil nichts bestimmt war. Kauf- und Mietrecht gelten."]
+
+
+def test_repair_keeps_to_the_token(spark):
+    clean = [(i, f"k{i}", "textlayer", "Die edle Frau und die alte Mühle. Er las die Zeitung.") for i in range(40)]
+    scan = [(100, "scan", "ocr", "Eine dle edle Frau, dle-dle und die alte\nMühle. Er las dle Zeitung.\n\nDie edle dle Mühle")]
+    rows = clean + scan + scan
+    want = ["Eine die edle Frau, die-die und die alte Mühle. Er las die Zeitung.", "Die edle die Mühle"]
+    assert {r.block_id: r.paragraphs for r in S.repaired(_df(spark, rows)).collect()} == {100: want}
+
+
+def _noisy(rng, text, width=40):
+    """Printed lines of a text with parted and misread words, a running header and a page number."""
+    lines, now = [], ""
+    for w in text.split():
+        if rng.random() < 0.06 and len(w) > 5:
+            w = w.replace("rn", "m", 1) if "rn" in w else w.replace("h", "b", 1) if "h" in w[1:] else w
+        if len(now) + len(w) + 1 > width:
+            if len(w) > 9 and w.isalpha() and w[5].islower() and rng.random() < 0.7:
+                lines.append((now + " " + w[:5] + "-").strip())
+                now = w[5:]
+                continue
+            lines.append(now)
+            now = w
+        else:
+            now = (now + " " + w).strip()
+    return [*lines, now]
+
+
+def test_planted_noise_is_undone(spark):
+    import random
+
+    rng = random.Random(11)
+    words = "Genehmigung Lieferung Verwaltung geprüft erteilt Zustimmung Gerichts Vertragspartner behauptet Versicherung gehört scheinbar Nachbarschaft erhebliche Lagerhaus Wahrheit".split()
+    texts = [" ".join(rng.choice(words) for _ in range(60)).capitalize() + "." for _ in range(30)]
+    clean = [(i, f"klar{i}", "textlayer", t) for i, t in enumerate(texts * 3)]
+    scans = []
+    for i in range(12):
+        lines = _noisy(rng, texts[i])
+        scans.append((500 + i, "band", "ocr", "\n".join([f"Handbuch der Hafenkunde Band {i + 1}", *lines, f"– {i + 7} –"])))
+    got = {r.block_id: r.paragraphs for r in S.repaired(_df(spark, clean + scans)).collect()}
+    right = sum(got[500 + i] == [texts[i]] for i in range(12))
+    assert right >= 11
