@@ -23,8 +23,8 @@ from blattwerk.plans import broadcast_if_small, cut, spread
 MIN_BLOCKS, MIN_SHARE = 4, 0.2
 #: Words of letters that a line must have.
 MIN_WORDS = 3
-#: False-discovery rate.
-FDR = 0.05
+#: False-discovery rate, and the greatest rate that the outside may lend: what many sources share is no less in excess.
+FDR, BACKGROUND = 0.05, 0.02
 #: Bins of one unit of ln p for the step-up procedure; beyond the last all p count as equal.
 P_BINS = 2_000
 
@@ -58,9 +58,9 @@ def block_lines(blocks: DataFrame) -> DataFrame:
 
 def _g2(k_in: Column, n_in: Column, k_out: Column, n_out: Column) -> Column:
     """G² of a 2x2 table, 0 if the line is not in excess within. With nothing outside, the
-    outside rate is taken for one in ``n_in + 1``."""
+    outside rate is taken for one in ``n_in + 1``; it counts as ``BACKGROUND`` if it is greater."""
     some = n_out > 0
-    ko, no = F.when(some, k_out).otherwise(F.lit(1.0)).cast("double"), F.when(some, n_out).otherwise(n_in + 1).cast("double")
+    ko, no = F.when(some, F.least(k_out.cast("double"), BACKGROUND * n_out)).otherwise(F.lit(1.0)).cast("double"), F.when(some, n_out).otherwise(n_in + 1).cast("double")
     ki, ni = k_in.cast("double"), n_in.cast("double")
     p, pi, po = (ki + ko) / (ni + no), ki / ni, ko / no
 
@@ -120,16 +120,40 @@ def source_lines(blocks: DataFrame) -> DataFrame:
     return rows.join(found, ["source", "key"], "left_semi").select("block_id", "line_no")
 
 
+def _all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [x or "" for x in batch.column(2).to_pylist()]
+        for a, b in slices(texts):
+            t = tokens(texts[a:b], join_hyphens=False)
+            words = np.bincount(t.line[t.h != NUMBER], minlength=t.n_lines)[: t.n_lines] + t.line_letters[: t.n_lines]
+            keys = np.where(words >= MIN_WORDS, line_keys(t), 0)
+            offsets = np.searchsorted(t.line_block, np.arange(b - a + 1)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in range(3)), lists], ["block_id", "source", "markdown", "keys"])
+
+
 def without_source_lines(blocks: DataFrame) -> DataFrame:
     """``block_id, markdown, removed``: each block (once) without the lines of :func:`source_lines`.
 
+    Lines are anti-joined with the significant ones of their source, and what is left is put together by position.
     A null ``markdown`` stays null; blocks without source come out as they are.
     """
-    gone = source_lines(blocks).groupBy("block_id").agg(F.collect_set("line_no").alias("gone"))
-    one = blocks.where(F.col("block_id").isNotNull()).groupBy(F.col("block_id").cast("bigint").alias("block_id")).agg(F.max("markdown").alias("markdown"))
-    kept = F.filter(F.split("markdown", "\n", -1), lambda _, i: ~F.array_contains("gone", i + 1))
-    return one.join(gone, "block_id", "left").select(
+    found = broadcast_if_small(cut(excess_lines(cut(block_lines(blocks)))))
+    narrow = blocks.where(F.col("block_id").isNotNull()).select(
+        F.col("block_id").cast("bigint").alias("block_id"), F.when(F.col("source_pdf").isNotNull(), F.xxhash64("source_pdf")).alias("source"), F.col("markdown").cast("string").alias("markdown")
+    )
+    keyed = spread(narrow).mapInArrow(_all_keys, "block_id bigint, source bigint, markdown string, keys array<bigint>")
+    line = F.struct(F.col("n").alias("line_no"), F.col("line"))
+    # each block has a line 0 of its own that no join takes: it holds whether there is a text, and how many lines
+    zero = F.array(F.struct(F.when(F.col("markdown").isNotNull(), F.size("keys").cast("string")).alias("line"), F.lit(0).cast("bigint").alias("key")))
+    own = F.when(F.col("markdown").isNotNull(), F.arrays_zip(F.split("markdown", "\n", -1).alias("line"), F.col("keys").alias("key")))
+    lines = keyed.select("block_id", "source", F.posexplode(F.concat(zero, F.coalesce(own, F.slice(zero, 1, 0)))).alias("n", "x")).select("block_id", "source", "n", "x.line", "x.key")
+    kept = lines.join(found, ["source", "key"], "left_anti")
+    # a block that was delivered twice has the same lines twice
+    one = kept.groupBy("block_id").agg(F.array_sort(F.collect_set(line)).alias("ls"))
+    head, rest = F.get("ls", F.lit(0))["line"], F.slice("ls", F.lit(2), F.greatest(F.size("ls") - 1, F.lit(0)))
+    return one.select(
         "block_id",
-        F.when(F.col("gone").isNull(), F.col("markdown")).otherwise(F.array_join(kept, "\n")).alias("markdown"),
-        F.coalesce(F.size("gone"), F.lit(0)).alias("removed"),
+        F.when(head.isNotNull(), F.array_join(F.transform(rest, lambda x: x["line"]), "\n")).alias("markdown"),
+        F.coalesce(head.cast("int") - F.size(rest), F.lit(0)).alias("removed"),
     )

@@ -19,7 +19,7 @@ def _corpus():
     rows = []
     for s in range(6):
         for b in range(10):
-            text = [f"Absatz {chr(97 + b)}{chr(97 + s)} handelt von Sache {chr(97 + (b * 7 + s) % 26)}x und mehr", "", "Nur eigene Zeile"]
+            text = [f"Absatz {chr(97 + b)}{chr(97 + s)} handelt von Sache {chr(97 + (b * 7 + s) % 26)}x und mehr", "", "Eigene Zeile"]
             if b < 3 + s:
                 text.append(f"**Alle Rechte bei Verlag {'akpxzg'[s] * 3}, Seite {b}**")
             rows.append((s * 100 + b, f"quelle{s}", "\n".join(text)))
@@ -42,6 +42,21 @@ def test_repeated_and_null_rows(spark):
     assert _found(df) == _found(_blocks(spark, rows))
 
 
+def test_lines_that_other_sources_share_are_in_excess_too(spark):
+    own = lambda s, b: f"Satz {chr(97 + b % 26)}{chr(97 + b // 26)} von {chr(97 + s)}x allein"
+    rows = [(s * 100 + b, f"q{s}", own(s, b) + ("\nBitte nicht ohne Erlaubnis weitergeben" if b < (4 if s == 0 else 2) else "")) for s in range(8) for b in range(20)]
+    assert _found(_blocks(spark, rows)) == [(b, 2) for b in range(4)]
+
+
+def test_chance_does_not_pass_among_many_lines(spark, monkeypatch):
+    # 4 of 20 blocks against the background are not enough among 4,000 lines of which next to none is in excess
+    monkeypatch.setattr(B, "MIN_SHARE", 0.004)
+    lines = [f"Zeile {''.join('akpxzgjs'[i >> 3 * k & 7] for k in range(4))} im Buch" for i in range(4000)]
+    rows = [(b, "gross", "\n".join(lines[(b * 20 + j) % 4000] for j in range(20))) for b in range(1000)]
+    rows += [(5000 + b, f"k{b % 40}", f"Anders {chr(97 + b % 26)}{chr(97 + b // 26)} gesagt worden") for b in range(400)]
+    assert _found(_blocks(spark, rows)) == []
+
+
 def test_misread_and_spaced_copies_count(spark):
     rows = [(i, "q", f"Text {chr(97 + i)}{chr(98 + i)}{chr(99 + i)} eigen hier\n" + t) for i, t in enumerate(["Bitte im Forum fragen", "BITTE IM FORUM FRAGEN.", "Bitte  im  Forurn fragen", "*Bitte im Forum frageu*", "x", "y"])]
     other = [(100 + i, "r", f"Ganz anderer Inhalt {chr(97 + i)}{chr(105 - i)}") for i in range(8)]
@@ -56,7 +71,7 @@ def test_empty_table(spark):
 
 def test_blocks_come_out_without_their_lines(spark):
     rows = {r.block_id: r for r in B.without_source_lines(_blocks(spark, [*_corpus(), (900, None, "bleibt"), (901, "quelle0", None)])).collect()}
-    assert rows[500].removed == 1 and "Rechte" not in rows[500].markdown and rows[500].markdown.endswith("Nur eigene Zeile")
+    assert rows[500].removed == 1 and "Rechte" not in rows[500].markdown and rows[500].markdown.endswith("Eigene Zeile")
     assert rows[0].removed == 0 and "Rechte" in rows[0].markdown
     assert rows[900].markdown == "bleibt" and rows[901].markdown is None
 
