@@ -91,6 +91,6 @@ def test_step_up_is_benjamini_hochberg():
 
 
 def test_hot_source_is_no_hot_task(spark):
-    df = spark.range(3000).select(F.col("id").alias("block_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 50).cast("string"))).alias("source_pdf"), F.concat(F.lit("Zeile von "), F.conv(F.col("id").cast("string"), 10, 26), F.lit(" allein hier\nHinweis des Hauses dazu")).alias("markdown"))
+    df = spark.range(3000).select(F.col("id").alias("block_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 50).cast("string"))).alias("source_pdf"), F.concat(F.lit("Zeile von "), F.translate(F.conv(F.col("id").cast("string"), 10, 8), "01234567", "akpxzgjs"), F.lit(" allein hier\nHinweis des Hauses dazu")).alias("markdown"))
     hot = df.withColumn("markdown", F.when(F.col("source_pdf") == "hot", F.col("markdown")).otherwise(F.substring_index("markdown", "\n", 1)))
     assert B.source_lines(hot).count() == 1000
