@@ -40,10 +40,7 @@ def boilerplate(text: Column, y: Column) -> Column:
     places = F.when(t.contains("-"), F.size(F.filter(F.array(*[F.lit(p) for p in PLACES]), lambda p: t.contains(p)))).otherwise(0)
 
     def any_of(patterns: tuple[str, ...]) -> Column:
-        out = F.lit(False)
-        for p in patterns:
-            out = out | t.rlike(p)
-        return out
+        return t.rlike("|".join(f"(?:{p})" for p in patterns))
 
     weak = any_of(WEAK)
     height = F.coalesce(y.cast("int"), F.lit(500))

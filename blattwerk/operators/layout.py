@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator, Sequence
-from statistics import median
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -214,18 +213,6 @@ def ruled_tables(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     return t.select(*keys, F.array_join(F.concat(F.array(line(F.get(F.col("rs"), F.lit(0))), rule), body), "\n").alias("markdown"))
 
 
-def _joined(rows: list[dict]) -> str:
-    """Lines as one cell: parted words joined."""
-    s = ""
-    for r in rows:
-        t = r["text"].strip()
-        if s.endswith("-") and t[:1].islower() and not re.match(rf"(?:{T.NO_JOIN})\b", t):
-            s = s[:-1] + t
-        else:
-            s = f"{s} {t}".strip()
-    return re.sub(r"\s{2,}", " ", s).replace("|", r"\|")
-
-
 def answer_tables(lines: DataFrame, page: str, tolerance: int = 3) -> DataFrame:
     """``page, part, text`` of pages whose right column (``side`` l or r) answers the left one, as tables.
 
@@ -234,48 +221,58 @@ def answer_tables(lines: DataFrame, page: str, tolerance: int = 3) -> DataFrame:
     beside one are asked for; other pages come out with no row. A bold line alone without an answer is a heading
     between tables.
     """
-    x = lines.withColumn("start", outline.line_start(F.col("text")))
-
-    def fold(rows: list[dict]) -> list[tuple]:
-        left, right = ([r for r in rows if r["side"] == s] for s in "lr")
-        starts = [r["y0"] for r in left if r["start"]]
-        if len(left) < 6 or len(right) < 6 or len(starts) < 4:
-            return []
-        tall = median(r["y1"] - r["y0"] for r in right) or 10
-        firsts = [b["y0"] for a, b in zip([None, *right], right, strict=False) if a is None or b["y0"] - a["y1"] > 0.8 * tall]
-        beside = sum(any(abs(y - s) <= tolerance for s in starts) for y in firsts)
-        if beside < 3 or beside < 0.75 * len(firsts):
-            return []
-        first = next(i for i, r in enumerate(left) if r["start"])
-        opened: list[list[dict]] = []
-        for r in left[first:]:
-            if r["start"]:
-                opened.append([])
-            opened[-1].append(r)
-        floor = opened[0][0]["y0"] - tolerance
-        parts = [r["text"] for r in left[:first]] + [r["text"] for r in right if r["y0"] < floor]
-        asked = sum(g[-1]["text"].rstrip().endswith("?") for g in opened) * 2 >= len(opened)
-        head = ["| Frage | Antwort |" if asked else "|  |  |", "| --- | --- |"]
-        table: list[str] = []
-        for g, after in zip(opened, [*opened[1:], None], strict=True):
-            top, end = g[0]["y0"] - tolerance, after[0]["y0"] - tolerance if after else float("inf")
-            answer = [r for r in right if top <= r["y0"] < end]
-            if not answer and len(g) == 1 and g[0]["text"].startswith("**"):
-                parts += ["\n".join(head + table)] * bool(table) + [_joined(g)]
-                table = []
-            else:
-                table.append(f"| {_joined(g)} | {_joined(answer)} |")
-        parts += ["\n".join(head + table)] * bool(table)
-        return list(enumerate(parts))
-
-    return per_page(x, page, ["side", "text", "y0", "y1", "start"], ["y0", "seq"], fold, "part int, text string")
+    x = lines.select(page, "seq", "side", "text", "y0", "y1").withColumn("start", (F.col("side") == "l") & outline.line_start(F.col("text")))
+    side = Window.partitionBy(page, "side").orderBy("y0", "seq")
+    whole = Window.partitionBy(page)
+    right = F.col("side") == "r"
+    tall = F.when(F.median(F.when(right, F.col("y1") - F.col("y0"))).over(whole) > 0, F.median(F.when(right, F.col("y1") - F.col("y0"))).over(whole)).otherwise(F.lit(10.0))
+    x = x.withColumn("_above", F.lag("y1").over(side)).withColumn("_first", right & (F.col("_above").isNull() | (F.col("y0") - F.col("_above") > 0.8 * tall)))
+    # the nearest beginnings above and below each line
+    start = F.when(F.col("start"), F.col("y0"))
+    up = Window.partitionBy(page).orderBy("y0").rangeBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy(page).orderBy("y0").rangeBetween(0, Window.unboundedFollowing)
+    near = F.least(F.col("y0") - F.max(start).over(up), F.min(start).over(down) - F.col("y0")) <= tolerance
+    x = x.withColumn("_beside", F.col("_first") & F.coalesce(near, F.lit(False)))
+    n = lambda c: F.count_if(c).over(whole)
+    x = x.withColumn("_blocks", n(F.col("_first")))
+    enough = (n(F.col("side") == "l") >= 6) & (n(right) >= 6) & (n(F.col("start")) >= 4) & (n(F.col("_beside")) >= 3) & (n(F.col("_beside")) >= 0.75 * F.col("_blocks"))
+    x = x.withColumn("_ok", enough).where("_ok")
+    left = x.where("side = 'l'").withColumn("row_no", F.sum(F.col("start").cast("int")).over(side))
+    bounds = left.where("start").select(page, "row_no", "y0")
+    answers = J.by_interval(x.where(right), bounds, page, "y0", "y0", "row_no", tolerance).withColumn("row_no", F.coalesce("row_no", F.lit(0)))
+    cells = left.unionByName(answers, allowMissingColumns=True)
+    # what stands above the first row: each line by itself, the left ones first
+    above = cells.where("row_no = 0").select(page, F.lit(0).alias("block"), "side", "y0", "seq", "text")
+    held = cells.where("row_no > 0")
+    joined = S.joined_lines(held, [page, "row_no", "side"], ["y0", "seq"], "text").withColumn("text", F.replace("text", F.lit("|"), F.lit("\\|")))
+    facts = held.groupBy(page, "row_no").agg(
+        F.count_if(F.col("side") == "l").alias("asked_in"),
+        F.count_if(right).alias("answers"),
+        F.min_by("text", F.when(F.col("side") == "l", F.struct("y0", "seq"))).alias("opening"),
+        F.max_by("text", F.when(F.col("side") == "l", F.struct("y0", "seq"))).alias("closing"),
+    )
+    pair = joined.groupBy(page, "row_no").agg(*[F.coalesce(F.max(F.when(F.col("side") == s, F.col("text"))), F.lit("")).alias(s) for s in "lr"])
+    rows = facts.join(pair, [page, "row_no"])
+    rows = rows.withColumn("head", (F.col("answers") == 0) & (F.col("asked_in") == 1) & F.col("opening").startswith("**"))
+    by_row = Window.partitionBy(page).orderBy("row_no")
+    question = F.count_if(F.rtrim("closing").endswith("?")).over(whole) * 2 >= F.count(F.lit(1)).over(whole)
+    # headings part tables: a block is a heading or the rows up to the next one
+    rows = rows.withColumn("_asked", question).withColumn("_new", F.col("head") | F.coalesce(F.lag("head").over(by_row), F.lit(True)))
+    rows = rows.withColumn("block", F.sum(F.col("_new").cast("int")).over(by_row))
+    line = F.concat(F.lit("| "), "l", F.lit(" | "), "r", F.lit(" |"))
+    tables = rows.groupBy(page, "block", "head", "_asked").agg(F.min("l").alias("l"), F.array_sort(F.collect_list(F.struct("row_no", line.alias("t")))).alias("ts"))
+    top = F.when(F.col("_asked"), "| Frage | Antwort |").otherwise("|  |  |")
+    table = F.concat_ws("\n", top, F.lit("| --- | --- |"), F.array_join(F.transform("ts", lambda t: t["t"]), "\n"))
+    made = tables.select(page, "block", F.lit("").alias("side"), F.lit(0).alias("y0"), F.lit(0).alias("seq"), F.when(F.col("head"), F.col("l")).otherwise(table).alias("text"))
+    order = Window.partitionBy(page).orderBy("block", "side", "y0", "seq")
+    return above.unionByName(made).select(page, (F.row_number().over(order) - 1).alias("part"), "text")
 
 
 # --- lines that move ------------------------------------------------------------------
 
 _ALONE = re.compile(r"^(?:\*\*)?\s*(?:[-•·▪○●⇒⇨→➢✔o]|\(?\d{1,2}[.)]|\(?[a-z]{1,3}\)|[IVXL]{1,5}\.)\s*(?:\*\*)?$")
-_NOTE_NUMBER = re.compile(r"^\**\s*(\d{1,2})\s*\**$")
-_NOTE_TEXT = re.compile(r"^\**\s*[A-ZÄÖÜ„»§]")
+# A number alone, and what the text of a note begins with.
+NOTE_NUMBER, NOTE_TEXT = r"^\**\s*(\d{1,2})\s*\**$", r"^\**\s*[A-ZÄÖÜ„»§]"
 _LINE = "text string, x0 double, y0 double, x1 double, y1 double"
 
 
@@ -311,57 +308,45 @@ def joined_fragments(lines: DataFrame, page: str, width: float, gap: float = 0.1
 
 
 def numbered_notes(lines: DataFrame, page: str, foot: int = 900, near: int = 40) -> DataFrame:
-    """``page, i, text, x0, y0, x1, y1``: numbers of footnotes that stand out on the left joined with their text."""
-
-    def fold(rows: list[dict]) -> list[tuple]:
-        out: list[tuple] = []
-        skip = False
-        for r, n in zip(rows, [*rows[1:], None], strict=True):
-            if skip:
-                skip = False
-                continue
-            m = _NOTE_NUMBER.match(r["text"].strip())
-            boxed = n is not None and r["x0"] is not None and n["x0"] is not None
-            if m and boxed and r["y0"] >= foot and r["x0"] <= n["x0"] and abs(n["y0"] - r["y0"]) <= near and _NOTE_TEXT.match(n["text"]):
-                box = (min(r["x0"], n["x0"]), min(r["y0"], n["y0"]), max(r["x1"], n["x1"]), max(r["y1"], n["y1"]))
-                out.append((len(out), f"{m.group(1)} {n['text'].lstrip()}", *map(float, box)))
-                skip = True
-            else:
-                out.append((len(out), r["text"], *(None if r[c] is None else float(r[c]) for c in ("x0", "y0", "x1", "y1"))))
-        return out
-
-    return per_page(lines, page, ["text", "x0", "y0", "x1", "y1"], ["seq"], fold, f"i int, {_LINE}")
+    """``lines`` (``seq, text, x0, y0, x1, y1`` and what else they have) with the numbers of footnotes that stand out on
+    the left joined with their text, which stands in the next line."""
+    w = Window.partitionBy(page).orderBy("seq")
+    x = lines.withColumn("_next", F.lead(F.struct(*lines.columns)).over(w))
+    number, then = F.regexp_extract(F.trim("text"), NOTE_NUMBER, 1), F.col("_next")
+    pair = (number != "") & (F.col("y0") >= foot) & (F.col("x0") <= then["x0"]) & (F.abs(then["y0"] - F.col("y0")) <= near) & then["text"].rlike(NOTE_TEXT)
+    x = x.withColumn("_pair", F.coalesce(pair, F.lit(False)))
+    x = x.withColumn("_gone", F.coalesce(F.lag("_pair").over(w), F.lit(False))).where("NOT _gone")
+    made = {"text": F.concat(number, F.lit(" "), F.ltrim(then["text"])), **{c: f(c, then[c]) for c, f in (("x0", F.least), ("y0", F.least), ("x1", F.greatest), ("y1", F.greatest))}}
+    return x.select(*[F.when(F.col("_pair"), made.get(c, F.col(c) if c in (page, "seq") else then[c])).otherwise(F.col(c)).alias(c) for c in lines.columns])
 
 
 def margin_labels_first(lines: DataFrame, page: str, out_by: int = 25, reach: int = 8, least: int = 4, gap: float = 1.6) -> DataFrame:
-    """``page, i, seq``: the lines in the order in which labels in the margin stand before the block they belong to.
+    """``lines`` with ``ord``, in whose order labels in the margin stand before the block they belong to.
 
-    A label stands ``out_by`` left of the median beginning of the lines about it; its block goes up to a gap, a
-    list item or a line that stands out as well. A label that moved is where later ones look for neighbours.
+    A label stands ``out_by`` left of the median beginning of the lines about it. The other lines are parted into blocks:
+    a list item and a line without a place stand by themselves, and a gap parts. A label goes to the beginning of the
+    block that it follows, behind the last line of it that stands out as well.
     """
-    x = lines.withColumn("label", outline.margin_label(F.col("text"))).withColumn("item", outline.enumeration(F.col("text"))).join(S.pitch(lines, page, "y0", "seq"), page, "left")
-
-    def fold(rows: list[dict]) -> list[tuple]:
-        order = list(rows)
-        pitch = rows[0]["pitch"]
-        if pitch and len(order) >= 4:
-            for i in range(1, len(order)):
-                z = order[i]
-                if not z["label"] or z["x0"] is None:
-                    continue
-                about = [r["x0"] for j, r in enumerate(order[max(0, i - reach) : i + reach + 1], max(0, i - reach)) if j != i and r["x0"] is not None]
-                body = median(about) if len(about) >= least else None
-                if body is None or z["x0"] > body - out_by:
-                    continue
-                j, top = i, None
-                for r in reversed(order[:i]):
-                    if r["x0"] is None or r["x0"] < body - out_by or r["item"] or (top is not None and r["y1"] < top - gap * pitch):
-                        break
-                    j, top = j - 1, r["y0"]
-                order.insert(j, order.pop(i))
-        return [(i, r["seq"]) for i, r in enumerate(order)]
-
-    return per_page(x, page, ["seq", "x0", "y0", "y1", "label", "item", "pitch"], ["seq"], fold, "i int, seq int")
+    w = Window.partitionBy(page).orderBy("seq")
+    x = S.neighbour_median(lines, page, "x0", "seq", reach, least, "_body").join(S.pitch(lines, page, "y0", "seq"), page, "left")
+    x = x.withColumns({"_at": F.row_number().over(w), "_n": F.count(F.lit(1)).over(Window.partitionBy(page))})
+    out = outline.margin_label(F.col("text")) & (F.col("x0") <= F.col("_body") - out_by) & F.col("pitch").isNotNull() & (F.col("_n") >= 4) & (F.col("_at") > 1)
+    x = x.withColumn("_out", F.coalesce(out, F.lit(False)))
+    lone = ~F.col("_out") & (F.col("x0").isNull() | outline.enumeration(F.col("text")))
+    rest = Window.partitionBy(page, "_out").orderBy("seq")
+    x = x.withColumn("_lone", F.coalesce(lone, F.lit(False)))
+    far = F.lag("y1").over(rest) < F.col("y0") - gap * F.col("pitch")
+    opens = ~F.col("_out") & (F.col("_lone") | F.coalesce(F.lag("_lone").over(rest), F.lit(False)) | F.coalesce(far, F.lit(False)))
+    x = x.withColumn("_block", F.sum(opens.cast("int")).over(w))
+    first = F.min(F.when(~F.col("_out"), F.col("_at"))).over(Window.partitionBy(page, "_block"))
+    single = F.max(F.when(~F.col("_out"), F.col("_lone"))).over(Window.partitionBy(page, "_block"))
+    x = x.withColumns({"_first": first, "_single": F.coalesce(single, F.lit(True))})
+    labels = x.where("_out AND NOT _single AND _first < _at").select(page, "_block", F.col("_at").alias("_label"), (F.col("_body") - out_by).alias("_edge"), "_first")
+    own = x.where("NOT _out").select(page, "_block", "_at", "x0")
+    behind = labels.join(own, [page, "_block"]).groupBy(page, "_label").agg((F.coalesce(F.max(F.when((F.col("_at") < F.col("_label")) & (F.col("x0") < F.col("_edge")), F.col("_at"))), F.min("_first") - 1) + 1).alias("_target"))
+    moved = x.join(behind.withColumnRenamed("_label", "_at"), [page, "_at"], "left")
+    place = Window.partitionBy(page).orderBy(F.coalesce("_target", "_at"), F.col("_target").isNull(), "_at")
+    return moved.select(*lines.columns, F.row_number().over(place).alias("ord"))
 
 
 def retried(work: DataFrame, attempt: Callable[[DataFrame, int], DataFrame], failed: Column, key: str, penalty: str, rounds: int = 1) -> DataFrame:

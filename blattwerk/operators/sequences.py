@@ -10,11 +10,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from blattwerk.functions.text import NO_JOIN
+
 
 def pitch(lines: DataFrame, page: str, y: str, order: str, least: int = 0, most: int = 200) -> DataFrame:
-    """``page, pitch``: the median distance of successive lines, without jumps."""
+    """``page, pitch``: the median distance of successive lines that have a place, without jumps."""
     w = Window.partitionBy(page).orderBy(order)
-    d = lines.withColumn("_d", F.lead(y).over(w) - F.col(y)).where((F.col("_d") > least) & (F.col("_d") < most))
+    d = lines.where(F.col(y).isNotNull()).withColumn("_d", F.lead(y).over(w) - F.col(y)).where((F.col("_d") > least) & (F.col("_d") < most))
     return d.groupBy(page).agg(F.median("_d").alias("pitch"))
 
 
@@ -29,26 +31,28 @@ def neighbour_median(lines: DataFrame, page: str, value: str, order: str, reach:
     return lines.withColumn(out, F.when(n >= least, mid))
 
 
-def short_lines(lines: DataFrame, page: str, order: str, text: str, reach: int = 15, slack: float = 0.08, block: float = 0.55) -> DataFrame:
+def short_lines(lines: DataFrame, page: str, order: str, text: str, reach: int = 15, slack: float = 0.08, block: float = 0.55, ratio: float = 0.95, least: int = 6) -> DataFrame:
     """``lines`` (with ``x0, x1``) with ``block`` (set in full measure) and ``short`` (ends well before the margin).
 
-    The margin is the median of the widest fifth (three at least) of the lines about it; a line before a
-    lower-case beginning is not short.
+    The margin is the median of the widest fifth (three at least) of the lines about it that have a place. Lines without
+    one, if a page has ``least`` of them, are short against ``ratio`` of their median length. A line before a lower-case
+    beginning is not short.
     """
-    w = Window.partitionBy(page).orderBy(order)
-    near = F.collect_list(F.struct("x0", "x1")).over(w.rowsBetween(-reach, reach))
-    x = lines.withColumn("_near", near)
-    rights = F.sort_array(F.transform("_near", lambda s: s["x1"]), asc=False)
-    k = F.least(F.greatest(F.lit(3), F.floor(F.size("_near") / 5).cast("int")), F.size("_near"))
-    top = F.reverse(F.slice(rights, F.lit(1), k))
-    h = F.floor(k / 2).cast("int")
-    x = x.withColumn("_margin", F.when(k % 2 == 1, F.get(top, h).cast("double")).otherwise((F.get(top, h - 1) + F.get(top, h)) / 2.0))
-    x = x.withColumn("_width", F.col("_margin") - F.array_min(F.transform("_near", lambda s: s["x0"])))
-    full = F.size(F.filter("_near", lambda s: s["x1"] >= F.col("_margin") - 0.02 * F.col("_width")))
-    x = x.withColumn("block", (F.col("_width") > 0) & (full >= block * F.size("_near")))
-    x = x.withColumn("_short", F.col("block") & (F.col("x1") < F.col("_margin") - slack * F.col("_width")))
-    lower = F.coalesce(F.lead(F.regexp_replace(F.col(text), r"^[*\s]+", "")).over(w).rlike(r"^\p{Ll}"), F.lit(False))
-    return x.withColumn("short", F.col("_short") & ~lower).drop("_near", "_margin", "_width", "_short")
+    placed = F.col("x1").isNotNull()
+    x = lines.withColumn("_placed", placed)
+    near = Window.partitionBy(page, "_placed").orderBy(order).rowsBetween(-reach, reach)
+    x = x.withColumns({"_rights": F.sort_array(F.collect_list("x1").over(near)), "_left": F.min("x0").over(near)})
+    n = F.size("_rights")
+    k = F.least(F.greatest(F.lit(3), F.floor(n / 5).cast("int")), n)
+    x = x.withColumn("_margin", F.when(placed, (F.get("_rights", n - F.floor(k / 2).cast("int") - 1) + F.get("_rights", n - F.floor((k + 1) / 2).cast("int"))) / 2.0))
+    x = x.withColumn("_width", F.col("_margin") - F.col("_left"))
+    full = F.size(F.filter("_rights", lambda r: r >= F.col("_margin") - 0.02 * F.col("_width")))
+    x = x.withColumn("block", F.coalesce((F.col("_width") > 0) & (full >= block * n), F.lit(False)))
+    chars, others = F.char_length(F.trim(text)), Window.partitionBy(page, "_placed")
+    brief = ~placed & (F.count(F.lit(1)).over(others) >= least) & (chars < ratio * F.greatest(F.median(chars).over(others), F.lit(1.0)))
+    x = x.withColumn("_short", F.coalesce(F.col("block") & (F.col("x1") < F.col("_margin") - slack * F.col("_width")), F.lit(False)) | F.coalesce(brief, F.lit(False)))
+    lower = F.coalesce(F.lead(F.regexp_replace(F.col(text), r"^[*\s]+", "")).over(Window.partitionBy(page).orderBy(order)).rlike(r"^\p{Ll}"), F.lit(False))
+    return x.withColumn("short", F.col("_short") & ~lower).drop("_placed", "_rights", "_left", "_margin", "_width", "_short")
 
 
 def short_texts(lines: DataFrame, page: str, text: str, ratio: float = 0.95, least: int = 6) -> DataFrame:
@@ -166,3 +170,20 @@ def edge_ratio(lines: DataFrame, page: str, gutter: Column, width: int = 1000, l
     at = F.col("x1") / width
     near = at.between(gutter - 0.15, gutter + 0.10).cast("double")
     return lines.groupBy(page).agg(F.when(F.count(F.lit(1)) >= least, F.round(F.avg(near), 9)).alias("ratio"))
+
+
+def joined_lines(lines: DataFrame, keys: Sequence[str], order: Sequence[str], text: str) -> DataFrame:
+    """``keys, text``: the lines of each group as one, words that are parted at line ends joined."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    x = lines.withColumn("_t", F.trim(text))
+    x = x.withColumn("_on", F.coalesce(parted(F.lag("_t").over(w), F.col("_t")), F.lit(False)))
+    x = x.withColumn("_cut", F.coalesce(F.lead("_on").over(w), F.lit(False)))
+    body = F.when(F.col("_cut"), F.expr("left(_t, char_length(_t) - 1)")).otherwise(F.col("_t"))
+    piece = F.when(F.col("_on"), body).otherwise(F.concat(F.lit(" "), body))
+    g = x.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*order, piece.alias("_p")))).alias("_ps"))
+    return g.select(*keys, F.trim(F.regexp_replace(F.array_join(F.transform("_ps", lambda r: r["_p"]), ""), r"\s{2,}", " ")).alias(text))
+
+
+def parted(before: Column, after: Column) -> Column:
+    """Whether a word goes on from one line to the next: a hyphen, and a small letter that begins no conjunction."""
+    return before.endswith("-") & after.rlike(r"^\p{Ll}") & ~after.rlike(rf"^(?:{NO_JOIN})\b")

@@ -71,4 +71,4 @@ register("ruled_tables", lambda s, d: L.ruled_tables(_cells(s, d), ["block_id"])
 register("answer_tables", lambda s, d: L.answer_tables(_boxed(s, d).withColumn("side", F.when(F.col("seq") % 2 == 0, "l").otherwise("r")), "block_id"))
 register("joined_fragments", lambda s, d: L.joined_fragments(_boxed(s, d), "block_id", 1000.0))
 register("numbered_notes", lambda s, d: L.numbered_notes(_boxed(s, d).withColumns({"y0": F.col("y0") + 600, "y1": F.col("y1") + 600}), "block_id"))
-register("margin_labels_first", lambda s, d: L.margin_labels_first(_boxed(s, d), "block_id"))
+register("margin_labels_first", lambda s, d: L.margin_labels_first(_boxed(s, d), "block_id").select("block_id", "seq", "ord"))

@@ -119,9 +119,80 @@ def test_seams(spark):
     assert {r.o: r.cut for r in P.seam_overlaps(df, "k", "o", "t").collect()} == {2: 13, 3: 0}
 
 
-def test_footnotes():
-    got = P.link_footnotes(["Das gilt.1 Nach § 2 auch hier2 so.", "| 1 | Tabelle |", "1 Erste Note.", "2 Zweite Note. 3 Dritte Note."])
-    assert got == ["Das gilt.[^1] Nach § 2 auch hier[^2] so.", "| 1 | Tabelle |", "", "[^1]: Erste Note.", "[^2]: Zweite Note.", "[^3]: Dritte Note."]
+def test_footnotes(spark):
+    rows = ["Das gilt.1 Nach § 2 auch hier2 so.", "| 1 | Tabelle |", "1 Erste Note.", "**2 Zweite** Note. 3 Dritte Note.", "Vgl. Abs.1 und x1 sowie x1; y3"]
+    df = spark.createDataFrame([("p", i, t) for i, t in enumerate(rows)] + [("q", 0, "ohne1 Note"), ("q", 1, None)], "page string, par_no int, text string")
+    got = {}
+    for r in P.footnotes(df, "page").orderBy("page", "par_no").collect():
+        got.setdefault(r.page, []).append(r.text)
+    assert got["p"] == ["Das gilt.[^1] Nach § 2 auch hier[^2] so.", "| 1 | Tabelle |", "Vgl. Abs.1 und x[^1] sowie x1; y[^3]", "", "[^1]: Erste Note.", "[^2]: Zweite Note.", "[^3]: Dritte Note."]
+    assert got["q"] == ["ohne1 Note", ""]
+
+
+def test_tables_are_paragraphs_of_their_own(spark):
+    rows = [("Davor steht ein Satz und", 80, 100, 900, None), ("| a | b |\n| 1 | 2 |", 80, 120, 900, "tabelle"), ("| c | d |", 80, 140, 900, "tabelle"), ("danach geht es weiter.", 80, 200, 500, None)]
+    assert _assembled(spark, rows) == ["Davor steht ein Satz und", "| a | b |\n| 1 | 2 |", "| c | d |", "danach geht es weiter."]
+
+
+def test_lines_without_a_place_and_running_lines_of_their_document(spark):
+    text = [("Der Satz beginnt hier und", 100), ("geht ohne Platz weiter", None), ("bis zu seinem Ende.", 140), ("Kopf der Zeitschrift", 20), ("Neuer Satz nach der Lücke.", 300)]
+    rows = [(d, p, i, t, None if y is None else 80, y, None if y is None else 900, None if y is None else y + 14, None) for d, p in (("a", 1), ("b", 2)) for i, (t, y) in enumerate(text)]
+    df = spark.createDataFrame(rows, "doc string, page int, seq int, text string, x0 int, y0 int, x1 int, y1 int, marker string")
+    running = spark.createDataFrame([("a", "Kopf der Zeitschrift")], "doc string, line string")
+    got = {}
+    for r in P.assemble(df, "page", running, "doc").orderBy("page", "par_no").collect():
+        got.setdefault(r.page, []).append(r.text)
+    assert got[1] == ["Der Satz beginnt hier und geht ohne Platz weiter bis zu seinem Ende.", "Neuer Satz nach der Lücke."]
+    assert got[2] == ["Der Satz beginnt hier und geht ohne Platz weiter bis zu seinem Ende.", "Kopf der Zeitschrift", "Neuer Satz nach der Lücke."]
+    assert P.assemble(df.where("false"), "page", running, "doc").count() == 0
+
+
+def test_labels_and_notes_take_their_place(spark):
+    body = [(f"zeile {i} des Textes", 130, 60 + 20 * i, 900, None) for i in range(5)]
+    rows = [*body[:3], ("**Hinweis:**", 80, 120, 110, None), *body[3:], ("1", 60, 940, 70, None), ("Vgl. dazu oben.", 90, 942, 900, None)]
+    got = _assembled(spark, rows)
+    assert got[0].startswith("**Hinweis:**") and got[-1] == "[^1]: Vgl. dazu oben." and got[-2] == ""
+
+
+def _sequential(lines):
+    """Boundaries one line after the other, from the same flags."""
+    begins, first, cover, bold = [], None, 0, True
+    for i, r in enumerate(lines):
+        if r["free"]:
+            b = True
+        elif r["joins"]:
+            b = False
+        else:
+            p = lines[i - 1]
+            title = (p["heading"] and begins[-1] and not p["full"]) or (p["short"] and first["level"] is not None and (cover <= 90 or bold))
+            inside = r["x0"] is not None and first["x0"] is not None and r["x0"] > first["x0"] + 8
+            b = r["parts"] or (r["heading"] and not (r["goes_on"] or inside)) or title or r["otherwise"]
+        begins.append(b)
+        if b:
+            first, cover, bold = r, r["chars"], r["bold"]
+        else:
+            cover, bold = cover + r["cover"], bold and r["bold"]
+    return begins
+
+
+def test_boundaries_equal_one_line_after_the_other(spark):
+    import random
+
+    rng = random.Random(4)
+    flag = lambda p: rng.random() < p
+    rows = []
+    for page in range(60):
+        for at in range(rng.randrange(1, 40)):
+            heading = flag(0.5)
+            rows.append((page, at, at == 0 or flag(0.03), flag(0.1), flag(0.1), heading, flag(0.3), flag(0.3), rng.choice([None, 80, 85, 100]), flag(0.5), rng.choice([None, None, 2, 4]), rng.randrange(5, 60), heading or flag(0.1), flag(0.2), 0))
+    cols = "page int, at int, free boolean, joins boolean, parts boolean, heading boolean, goes_on boolean, otherwise boolean, x0 int, short boolean, level int, chars int, bold boolean, full boolean, cover int"
+    df = spark.createDataFrame(rows, cols).withColumn("cover", F.when(F.col("joins"), F.col("chars") - 1).otherwise(F.col("chars") + 1)).withColumn("parts", F.col("parts") | F.col("free"))
+    pages = {}
+    for r in P.boundaries(df, "page").orderBy("page", "at").collect():
+        pages.setdefault(r.page, []).append(r.asDict())
+    assert len(pages) == 60
+    for lines in pages.values():
+        assert [r["begins"] for r in lines] == _sequential(lines)
 
 
 FILES = "name string, path string, location string, frontmatter map<string,string>"

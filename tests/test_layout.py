@@ -108,16 +108,16 @@ def test_marks_join_what_follows(spark):
 
 def test_note_numbers_join_their_text(spark):
     got = L.numbered_notes(_lines(spark, [("Text", 80, 100, 900), ("3", 60, 920, 70), ("Vgl. dazu", 90, 922, 900), ("4", 60, 100, 70), ("Oben", 90, 100, 900)]), "page")
-    assert [r.text for r in got.orderBy("i").collect()] == ["Text", "3 Vgl. dazu", "4", "Oben"]
+    assert [r.text for r in got.orderBy("seq").collect()] == ["Text", "3 Vgl. dazu", "4", "Oben"]
 
 
 def test_margin_labels_move_before_their_block(spark):
     rows = [(f"zeile {i}", 130, 60 + 20 * i, 900) for i in range(6)]
     rows[3:3] = [("**Hinweis:**", 80, 120, 120)]
-    got = [r.seq for r in L.margin_labels_first(_lines(spark, rows), "page").orderBy("i").collect()]
+    got = [r.seq for r in L.margin_labels_first(_lines(spark, rows), "page").orderBy("ord").collect()]
     assert got[0] == 3 and sorted(got) == list(range(7))
     same = [(t, 130, y, x1) for t, _, y, x1 in rows]
-    assert [r.seq for r in L.margin_labels_first(_lines(spark, same), "page").orderBy("i").collect()] == list(range(7))
+    assert [r.seq for r in L.margin_labels_first(_lines(spark, same), "page").orderBy("ord").collect()] == list(range(7))
 
 
 def test_failing_rows_are_tried_again(spark):
