@@ -111,21 +111,26 @@ def printed(text: str) -> tuple[int, int]:
     return wraps, long
 
 
-def _skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for form, a, b in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            low = form.lower()
-            s = skeleton(low)
-            if len(s) < 2 or low.isdigit():
-                continue
-            out.append((s, form, a, b, 0))
-            if a == 0 and 3 < len(low) <= LONGEST:
-                more = {low[:i] + r + low[i + len(x) :] for x, r in RARE_GLYPHS for i in range(len(low)) if low.startswith(x, i)}
-                out.extend((k, form, a, b, 1) for k in {skeleton(m) for m in more} - {s})
-        cols = list(zip(*out, strict=True)) or [[], [], [], [], []]
-        types = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["skeleton", "form", "trusted", "other", "tier"])
+def _skeletons(rare: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds the skeleton of the first column as the last two, ``skeleton, tier``; with ``rare`` also (tier 1) those that
+    a rare misreading may have had. Forms without two glyphs are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for i, low in enumerate(batch.column(0).to_pylist()):
+                s = skeleton(low)
+                if len(s) < 2 or low.isdigit():
+                    continue
+                out.append((i, s, 0))
+                if rare and 3 < len(low) <= LONGEST:
+                    more = {low[:k] + r + low[k + len(x) :] for x, r in RARE_GLYPHS if x in low for k in range(len(low)) if low.startswith(x, k)}
+                    out.extend((i, k, 1) for k in {skeleton(m) for m in more} - {s})
+            at, skeletons, tiers = zip(*out, strict=True) if out else ([], [], [])
+            kept = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(skeletons, pa.string()), pa.array(tiers, pa.int32())], [*batch.schema.names, "skeleton", "tier"])
+
+    return run
 
 
 def counted_forms(blocks: DataFrame) -> DataFrame:
@@ -140,38 +145,36 @@ def spelling(forms: DataFrame) -> DataFrame:
     are nearest, as ``support, right``, the best supported first.
 
     A word is right if it has support enough, is far more frequent than the form and, unless trusted text lacks the
-    form, stands in trusted text twenty times as often. A form in capitals gets its right form in capitals.
+    form, stands in trusted text twenty times as often. A form in capitals gets its right form in capitals. Rare
+    misreadings are tried for forms that trusted text lacks.
     """
-    keyed = forms.mapInArrow(_skeletons, "skeleton string, form string, trusted bigint, other bigint, tier int")
-    form, low = F.col("form"), F.lower("form")
+    form, low = F.col("form"), F.col("low")
     capitals = (form == F.upper("form")) & (form != low)
-    begins_upper = F.substring("form", 1, 1) != F.lower(F.substring("form", 1, 1))
+    begins_upper = F.substring("form", 1, 1) != F.substring("low", 1, 1)
     shown, rank = ~(capitals & (F.char_length("form") > 4)), F.struct(10 * F.col("trusted") + F.col("other"), "form")
-    words = cut(
-        keyed.where("tier = 0")
-        .groupBy("skeleton", low.alias("low"))
-        .agg(
-            F.sum("trusted").alias("t"),
-            F.sum("other").alias("o"),
-            F.max_by(F.when(shown, form), F.when(shown, rank)).alias("usual"),
-            F.max_by(F.when(shown & begins_upper, form), F.when(shown & begins_upper, rank)).alias("upper"),
-            F.max_by(F.when(shown & ~begins_upper, form), F.when(shown & ~begins_upper, rank)).alias("lower"),
-        )
-    )
+    # one exchange: the forms of a word meet
+    of_word = Window.partitionBy("low")
+    met = forms.withColumn("low", F.lower("form")).withColumns({"t": F.sum("trusted").over(of_word), "o": F.sum("other").over(of_word)})
     support = 10 * F.col("t") + F.col("o")
-    right = words.where((support >= LEAST) & F.col("usual").isNotNull() & F.col("low").rlike(r"^\p{L}+$")).select(
-        "skeleton", F.col("low").alias("k"), F.col("t").alias("kt"), F.col("o").alias("ko"), support.alias("support"), "usual", "upper", "lower"
+    right = (
+        met.where((support >= LEAST) & low.rlike(r"^\p{L}+$"))
+        .groupBy("low", "t", "o")
+        .agg(*[F.max_by(F.when(shown & c, form), F.when(shown & c, rank)).alias(n) for n, c in (("usual", F.lit(True)), ("upper", begins_upper), ("lower", ~begins_upper))])
+        .where("usual IS NOT NULL")
+        .select(F.col("low").alias("k"), F.col("t").alias("kt"), F.col("o").alias("ko"), "usual", "upper", "lower")
+        .mapInArrow(_skeletons(rare=False), "k string, kt bigint, ko bigint, usual string, upper string, lower string, skeleton string, tier int")
+        .drop("tier")
     )
-    asked = keyed.where(~capitals | (F.char_length("form") >= LEAST_CAPITALS)).select("skeleton", "form", low.alias("low"), "tier")
-    asked = asked.join(words.select("low", "t", "o"), "low").where("t = 0 OR o > 3 * t")
+    asked = met.where("t = 0 OR o > 3 * t").where(~capitals | (F.char_length("form") >= LEAST_CAPITALS)).select("low", "form", "trusted", "t", "o")
+    keyed = asked.mapInArrow(_skeletons(rare=True), "low string, form string, trusted bigint, t bigint, o bigint, skeleton string, tier int").where("tier = 0 OR trusted = 0")
     k, t, o = F.col("k"), F.col("t"), F.col("o")
-    pairs = asked.join(right, "skeleton").where((k != F.col("low")) & (F.col("kt") + F.col("ko") >= TIMES * (t + o)) & (F.col("kt") >= 20 * t))
+    pairs = keyed.join(right, "skeleton").where((k != low) & (F.col("kt") + F.col("ko") >= TIMES * (t + o)) & (F.col("kt") >= 20 * t))
     pairs = pairs.withColumn("edits", F.levenshtein("low", "k")).where(F.col("edits") <= 1 + F.floor(F.char_length("k") / 3))
     same_case = F.when(begins_upper, F.col("upper")).otherwise(F.col("lower"))
     first = F.when(begins_upper, F.upper(F.substring("k", 1, 1))).otherwise(F.substring("k", 1, 1))
     cased = F.coalesce(same_case, F.concat(first, F.expr("substring(usual, 2)")))
     spelt = F.when(capitals, F.upper("usual")).when(F.substring("low", 1, 1) != F.substring("k", 1, 1), F.col("usual")).otherwise(cased)
-    near = pairs.groupBy("form", "tier", "edits").agg(F.sort_array(F.collect_set(F.struct("support", spelt.alias("right"))), asc=False).alias("options"))
+    near = pairs.groupBy("form", "tier", "edits").agg(F.sort_array(F.collect_set(F.struct((10 * F.col("kt") + F.col("ko")).alias("support"), spelt.alias("right"))), asc=False).alias("options"))
     return near.groupBy("form").agg(F.min_by("options", F.struct("tier", "edits")).alias("options"))
 
 

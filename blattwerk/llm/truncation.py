@@ -199,10 +199,11 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if p:
                 p.pop()  # the last word may be cut
             every.update(p)
-            ends.update(a for a, b in zip(p, p[1:], strict=False) if b in _ENDS)
-            after = [(a, c) for a, b, c in zip(p, p[1:], p[2:], strict=False) if b == "."]
-            stops.update(a for a, _ in after)
-            on.update(a for a, c in after if c[0].isdigit() or c[0].islower())
+            marks = [i for i, x in enumerate(p) if x in _ENDS]
+            ends.update([p[i - 1] for i in marks if i])
+            stopped = [(p[i - 1], p[i + 1]) for i in marks if i and p[i] == "." and i + 1 < len(p)]
+            stops.update([a for a, _ in stopped])
+            on.update([a for a, c in stopped if c[0].isdigit() or c[0].islower()])
             for line in (text or "").split("\n")[:-1]:
                 line = line.rstrip()
                 if line and line[-1] not in '.!?:;,"“”':
