@@ -73,7 +73,31 @@ register(
     f"""WITH {_OCR_WORDS}, {_CANDIDATES}, k AS (SELECT word, count(*) AS k, min(candidate) AS suggestion FROM c WHERE candidate <> word AND lower(candidate) IN (SELECT low FROM v WHERE low IS NOT NULL) GROUP BY word)
 SELECT word, count, suggestion FROM u LEFT JOIN (SELECT * FROM k WHERE k = 1) USING (word)""",
 )
-register("known_forms", lambda s, d: vocabulary.known_forms(_words(s, d), table(s, d, "vocab")))
+_V = vocabulary
+# Words taken apart into segments, the segments reduced to forms of the vocabulary, heads followed from place to place.
+_KNOWN = f"""v0 AS (SELECT DISTINCT lower(word) AS low FROM vocab WHERE word IS NOT NULL),
+endings(e) AS (VALUES {", ".join(f"('{e}')" for e in sorted(set(_V.ENDINGS)))}), suffixes(x) AS (VALUES {", ".join(f"('{x}')" for x in _V.STEM_SUFFIXES)}), joints(j) AS (VALUES {", ".join(f"('{j}')" for j in _V.JOINTS)}),
+forms AS (SELECT DISTINCT word, lower(word) AS w, true AS own FROM asked UNION SELECT DISTINCT word, substr(lower(word), 3), false FROM asked WHERE lower(word) LIKE 'un%' AND length(word) >= 6),
+items AS (SELECT DISTINCT w, length(w) AS n FROM forms),
+segs AS (SELECT DISTINCT w, n, a, b, substr(w, a + 1, b - a) AS part FROM (SELECT w, n, unnest(range(0, greatest(n - 2, 1))) AS a FROM items) i, LATERAL (SELECT unnest(range(least(a + 3, n), n + 1)) AS b) WHERE a = 0 OR a >= 4),
+parts AS (SELECT DISTINCT part FROM segs),
+s1 AS (SELECT part, substr(part, 1, length(part) - length(e)) AS stem FROM parts, endings WHERE ends_with(part, e) AND length(part) - length(e) >= 3),
+s2 AS (SELECT part, substr(stem, 1, length(stem) - length(e)) AS stem FROM s1, endings WHERE ends_with(stem, e) AND length(stem) - length(e) >= 3),
+good AS (SELECT part FROM parts JOIN v0 ON part = low UNION SELECT part FROM (SELECT part, stem || x AS base FROM (SELECT * FROM s1 UNION SELECT * FROM s2), suffixes) JOIN v0 ON base = low),
+hits AS (SELECT w, n, a, b FROM segs JOIN good USING (part)),
+edges AS (SELECT DISTINCT w, n, a, b + length(j) AS t FROM hits, joints WHERE b - a >= 4 AND substr(w, b + 1, length(j)) = j AND b + length(j) <= n - 3),
+r1 AS (SELECT w, t FROM edges WHERE a = 0), r2 AS (SELECT DISTINCT e.w, e.t FROM r1 JOIN edges e ON e.w = r1.w AND e.a = r1.t), r3 AS (SELECT DISTINCT e.w, e.t FROM r2 JOIN edges e ON e.w = r2.w AND e.a = r2.t),
+ok AS (SELECT DISTINCT w FROM hits WHERE a = 0 AND b = n UNION SELECT h.w FROM hits h JOIN (SELECT * FROM r1 UNION SELECT * FROM r2 UNION SELECT * FROM r3) r ON h.w = r.w AND h.a = r.t AND h.b = h.n),
+judged AS (SELECT word, bool_or(w IN (SELECT w FROM ok)) AS known, bool_or(own AND w IN (SELECT w FROM hits WHERE a = 0 AND b = n)) AS direct FROM forms GROUP BY word)"""
+register("known_forms", lambda s, d: vocabulary.known_forms(_words(s, d), table(s, d, "vocab")), f"WITH {_OCR_WORDS}, asked AS (SELECT word FROM ocr), {_KNOWN} SELECT word, known, direct FROM judged")
+
+
+def _checked(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return vocabulary.checked_text(blocks(s, d).where(F.col("origin") == "ocr").select("block_id", "markdown"), "block_id", "markdown", table(s, d, "vocab"))
+
+
+register("dictionary_findings", lambda s, d: _checked(s, d)[0])
+register("dictionary_text", lambda s, d: _checked(s, d)[1].select("block_id", F.md5("markdown").alias("text_md5")))
 register("ranked_findings", lambda s, d: vocabulary.ranked(vocabulary.unknown(_words(s, d), table(s, d, "vocab"))), f"WITH {_OCR_WORDS}, r AS (SELECT word, count, row_number() OVER (ORDER BY count DESC, word) AS rank FROM u) SELECT * FROM r WHERE rank <= 12")
 
 

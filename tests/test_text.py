@@ -56,9 +56,55 @@ def test_hyphens(spark):
 VOCAB = {"vertrag", "kaufen", "kauf", "haftung", "einigen", "erklären", "ordnung", "recht", "möglich", "liegen"}
 
 
-@pytest.mark.parametrize(("word", "want"), [("Vertrag", True), ("liegt", True), ("Kaufvertrag", True), ("Rechtsordnung", True), ("unmöglich", True), ("Vertrogs", False), ("Kaufvertrages", True), ("qwertz", False)])
-def test_inflection_and_compounds(word, want):
-    assert vocabulary.recognised([word], VOCAB) == [want]
+def _vocab(spark, words=VOCAB):
+    return spark.createDataFrame([(w,) for w in sorted(words)], "word string")
+
+
+def test_inflection_and_compounds(spark):
+    want = {"Vertrag": True, "liegt": True, "Kaufvertrag": True, "Rechtsordnung": True, "unmöglich": True, "Unvertrag": True, "Vertrogs": False, "Kaufvertrages": True, "qwertz": False, "ab": False, "Kaufrechtsordnung": True}
+    words = spark.createDataFrame([(w,) for w in [*want, *want, None]], "word string")
+    got = {r.word: r for r in vocabulary.known_forms(words, _vocab(spark)).collect()}
+    assert {w: r.known for w, r in got.items()} == want
+    assert got["liegt"].direct and not got["Kaufvertrag"].direct and not got["unmöglich"].direct
+    assert vocabulary.known_forms(words.where("false"), _vocab(spark)).count() == 0
+
+
+def test_compounds_equal_a_search(spark):
+    import itertools
+    import random
+
+    rng = random.Random(3)
+    vocab = {"".join(rng.choice("abn") for _ in range(rng.randrange(3, 6))) for _ in range(25)}
+    words = sorted({"".join(rng.choice("abn") for _ in range(rng.randrange(1, 16))) for _ in range(250)} | {"".join(p) + x for p in itertools.product(sorted(vocab)[:5], repeat=3) for x in ("", "s", "en")} | {"un" + v for v in vocab})
+    stems = lambda w: {w[: len(w) - len(e)] for e in vocabulary.ENDINGS if w.endswith(e) and len(w) - len(e) >= 3}
+
+    def base(w):
+        once = stems(w)
+        return w in vocab or any(s + x in vocab for s in once | {t for o in once for t in stems(o)} for x in ("", "en", "n"))
+
+    def whole(w):
+        # every way to part a word into one to three heads and a rest
+        for k in (1, 2, 3):
+            for cuts in itertools.combinations(range(4, len(w) - 2), k):
+                heads = [w[a:b] for a, b in zip((0, *cuts), cuts, strict=False)]
+                if base(w[cuts[-1] :]) and all(any(h.endswith(j) and len(h) - len(j) >= 4 and base(h[: len(h) - len(j)]) for j in vocabulary.JOINTS) for h in heads):
+                    return True
+        return base(w)
+
+    want = {w: whole(w) or (w.startswith("un") and len(w) >= 6 and whole(w[2:])) for w in words}
+    got = {r.word: r.known for r in vocabulary.known_forms(spark.createDataFrame([(w,) for w in words], "word string"), _vocab(spark, vocab)).collect()}
+    assert got == want and 20 < sum(want.values()) < len(want)
+
+
+def test_text_is_checked_and_mended(spark):
+    text = "Der Verfrag nach § Verfrag 12 liegt [[Verfrag]] `Verfrag` im Kaufverfrag. Verfr. und HGBVerfrag,\nein Verfrag1 unmöqlich"
+    df = spark.createDataFrame([(1, text), (2, "| Verfrag |"), (3, None), (4, ""), (5, "Vertrag")], "id int, t string")
+    assert "".join(x.before + x.word for x in df.where("id = 1").select(vocabulary.text_words(F.col("t"))).first()[0]) == text
+    found, fixed = vocabulary.checked_text(df, "id", "t", _vocab(spark))
+    assert {(r.word, r["count"], r.suggestion) for r in found.collect()} == {("Verfrag", 2, "Vertrag"), ("Kaufverfrag", 1, "Kaufvertrag"), ("unmöqlich", 1, "unmöglich"), ("nach", 1, None)}
+    got = {r.id: r.t for r in fixed.collect()}
+    assert got[1] == "Der Vertrag nach § Vertrag 12 liegt [[Verfrag]] `Verfrag` im Kaufvertrag. Verfr. und HGBVerfrag,\nein Verfrag1 unmöglich"
+    assert got[2] == "| Verfrag |" and got[3] is None and got[4] == "" and got[5] == "Vertrag"
 
 
 def test_unique_correction(spark):
@@ -67,8 +113,6 @@ def test_unique_correction(spark):
     got = {r.word: r.suggestion for r in vocabulary.corrections(words, vocab).collect()}
     assert got == {"Vcrtrag": "Vertrag", "Rccht": "Recht"}
     assert {r.word: r.known for r in vocabulary.known_forms(words, vocab).collect()} == {"Vcrtrag": False, "Rccht": False, "vertrag": True}
-    with pytest.raises(ValueError, match="at most"):
-        vocabulary.known_forms(words, vocab, most=1)
 
 
 def test_gate_of_null_and_empty_text(spark):
