@@ -14,16 +14,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from blattwerk.plans import broadcast_if_small, cut
+from blattwerk.sources.manifest import STATUS
+
 OPEN_END = "9999-12-31T00:00:00"
 
-# Old names of the status and what they are called now.
-STATUS_NAMES = {
-    "offen": "open",
-    "akzeptiert": "accepted",
-    "abgelehnt": "rejected",
-    "neu-erzeugt": "re-created",
-    "uebernommen": "adopted",
-}
+#: Rows of an entity in one chunk above which it is parted by the second (a prefix of this length).
+DENSE, SECOND = 5_000, 19
 
 
 def blank_to_null(c: Column) -> Column:
@@ -32,7 +29,7 @@ def blank_to_null(c: Column) -> Column:
 
 def canonical_status(c: Column) -> Column:
     """Today's name of a status; unknown names stay, blanks become null."""
-    names = F.create_map(*[F.lit(x) for pair in STATUS_NAMES.items() for x in pair])
+    names = F.create_map(*[F.lit(x) for pair in STATUS.items() for x in pair])
     s = blank_to_null(c)
     return F.coalesce(F.try_element_at(names, s), s)
 
@@ -59,7 +56,7 @@ def entity_versions(
 
     ``at`` is an ISO string that sorts by time, ``state`` the canonical tracked
     values (its struct comes out as column ``state``), ``chunk`` the length of the prefix of ``at`` that
-    names a chunk (10: a day). Of several rows for one (key, at) the one with
+    names a chunk (10: a day); where an entity has more than ``DENSE`` rows in one, it is parted by the second. Of several rows for one (key, at) the one with
     the latest ``loaded`` holds (null loads first), ties go to the greater state.
 
     Rows with a null key or a null or blank ``at`` have no place in a history and
@@ -77,7 +74,10 @@ def entity_versions(
     )
     # the nested "previous" of a state is a struct of nullable fields, so states compare null-safe
     step = F.struct(F.col("_at").alias("at"), F.col("w._state").alias("state"))
-    chunks = latest.groupBy("_key", F.substring("_at", 1, chunk).alias("_chunk")).agg(F.array_sort(F.collect_list(step)).alias("steps"))
+    at_chunk = F.substring("_at", 1, chunk)
+    dense = broadcast_if_small(cut(rows.groupBy("_key", at_chunk.alias("_chunk")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > DENSE).select("_key", "_chunk", F.lit(True).alias("_dense"))))
+    placed = latest.withColumn("_chunk", at_chunk).join(dense, ["_key", "_chunk"], "left").withColumn("_chunk", F.when(F.col("_dense"), F.substring("_at", 1, SECOND)).otherwise(F.col("_chunk")))
+    chunks = placed.groupBy("_key", "_chunk").agg(F.array_sort(F.collect_list(step)).alias("steps"))
 
     def append(versions: Column, s: Column) -> Column:
         changed = (F.size(versions) == 0) | ~F.element_at(versions, -1)["state"].eqNullSafe(s["state"])

@@ -119,12 +119,26 @@ def parts(names: DataFrame, col: str = "name") -> DataFrame:
 
 
 def free_names(wanted: DataFrame, taken: DataFrame, name: str, date: str) -> DataFrame:
-    """``wanted`` with ``target``: name and date, with a running number where several ask for it or it is taken."""
+    """``wanted`` with ``target``: name and date, with the first running number (from 2) that neither a taken name has nor
+    one of those that ask before it. Equal rows are requests of their own."""
     t = F.concat_ws("-", F.col(name), F.coalesce(F.col(date), F.lit("old")))
-    w = wanted.withColumn("_t", t)
-    n = taken.select(F.col("target").alias("_t")).groupBy("_t").agg(F.count(F.lit(1)).alias("_n"))
-    r = F.row_number().over(Window.partitionBy("_t").orderBy(name)) + F.coalesce("_n", F.lit(0))
-    return w.join(n, "_t", "left").withColumn("_r", r).select(*wanted.columns, F.when(F.col("_r") > 1, F.concat(F.col("_t"), F.lit("-"), F.col("_r").cast("string"))).otherwise(F.col("_t")).alias("target"))
+    w = wanted.withColumn("_t", t).withColumn("_r", F.row_number().over(Window.partitionBy("_t").orderBy(name, *[c for c in wanted.columns if c != name])))
+    # a taken name is the first of its own kind, and maybe the k-th of a shorter one
+    k = F.regexp_extract("target", r"-([1-9]\d{0,8})$", 1).try_cast("int")
+    known = taken.select("target").where("target IS NOT NULL").distinct()
+    firsts = known.unionByName(w.select(F.col("_t").alias("target")).distinct())  # what others ask for is taken, too
+    slots = known.select(F.col("target").alias("_t"), F.lit(1).alias("_k")).unionByName(firsts.where(k >= 2).select(F.regexp_replace("target", r"-\d+$", "").alias("_t"), k.alias("_k"))).distinct()
+    asked = w.groupBy("_t").agg(F.max("_r").alias("_m"))
+    held = asked.join(slots, "_t").groupBy("_t", "_m").agg(F.count(F.lit(1)).alias("_n"))
+    places = asked.join(held, ["_t", "_m"], "left").select("_t", F.explode(F.expr("sequence(1, _m + CAST(coalesce(_n, 0) AS INT))")).alias("_k")).join(slots, ["_t", "_k"], "left_anti")
+    free = places.withColumn("_r", F.row_number().over(Window.partitionBy("_t").orderBy("_k")))
+    made = F.when(F.col("_k") > 1, F.concat(F.col("_t"), F.lit("-"), F.col("_k").cast("string"))).otherwise(F.col("_t"))
+    return w.join(free, ["_t", "_r"]).select(*wanted.columns, made.alias("target"))
+
+
+def folder_of(status: Column, open_folder: str, accepted: str, rejected: str) -> Column:
+    """The folder in which a file of a status stands; null for one that stands elsewhere."""
+    return F.when(status == "accepted", accepted).when(status == "rejected", rejected).when(status.isin("open", "re-created"), open_folder)
 
 
 def marker_fields(marker: Column) -> dict[str, Column]:

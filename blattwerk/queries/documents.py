@@ -39,12 +39,39 @@ register(
     """SELECT name, '---' || chr(10) || 'titel: ' || coalesce(name, 'null') || chr(10) || 'quelle-pdf: ' || coalesce('"' || replace(replace(source_pdf, '\\', '\\\\'), '"', '\\"') || '"', 'null') || chr(10) || 'seiten: ' || coalesce(CAST(pages AS VARCHAR), 'null')
   || chr(10) || 'vorschau-format: 1' || chr(10) || '---' || chr(10) AS head FROM preview""",
 )
-register("preview_blocks", lambda s, d: parse.preview_blocks(_documents(s, d), "name", "document").select("name", "block", "page", "origin", "layout", F.md5("markdown").alias("markdown_md5")))
-register("plain_pages", lambda s, d: parse.plain_pages(_documents(s, d), "name", "document").select("name", "page", F.char_length("markdown").alias("chars")))
+_BUILT = f"""{BLOCKS}, built AS (SELECT name, CAST((page_no - 1) // 2000 AS INT) AS part, string_agg({_MARK} || chr(10) || chr(10) || coalesce(markdown, ''), chr(10) || chr(10) ORDER BY page_no, {_MARK} || chr(10) || chr(10) || coalesce(markdown, '')) || chr(10) AS document FROM blocks WHERE name IS NOT NULL GROUP BY ALL)"""
+register(
+    "preview_blocks",
+    lambda s, d: parse.preview_blocks(_documents(s, d), "name", "document").select("name", "block", "page", "origin", "layout", F.md5("markdown").alias("markdown_md5")),
+    # what was put together comes apart again: the blocks themselves in their order
+    f"""WITH {BLOCKS}, o AS (SELECT *, CASE WHEN origin IN ('textlayer', 'ocr') THEN origin WHEN origin IN ('diagram', 'diagramm') THEN 'diagram' END AS known FROM blocks WHERE name IS NOT NULL)
+SELECT name, CAST(row_number() OVER (PARTITION BY name, (page_no - 1) // 2000 ORDER BY page_no, {_MARK} || chr(10) || chr(10) || coalesce(markdown, '')) AS INT) AS block, page_no AS page, known AS origin,
+  nullif(concat_ws(' | ', CASE WHEN known IS NULL THEN trim(origin) END, trim(layout)), '') AS layout, md5(regexp_replace(coalesce(markdown, ''), '^[\\t\\n\\f\\r\\v ]+|[\\t\\n\\f\\r\\v ]+$', '', 'g')) AS markdown_md5 FROM o""",
+)
+register(
+    "plain_pages",
+    lambda s, d: parse.plain_pages(_documents(s, d), "name", "document").select("name", "page", F.char_length("markdown").alias("chars")),
+    f"""WITH {_BUILT}, p AS (SELECT name, regexp_extract_all(document, '%% S\\. ([0-9]+)(?: \\|[^\n]*)?%%\\n*', 1) AS ns, string_split_regex(document, '%% S\\. [0-9]+(?: \\|[^\n]*)?%%\\n*') AS bs FROM built),
+q AS (SELECT name, unnest(ns) AS n, unnest(bs[2:]) AS b FROM p) SELECT name, CAST(n AS INT) AS page, CAST(length(b) AS INT) AS chars FROM q""",
+)
 register("paragraphs", lambda s, d: P.assemble(boxed(lines_of(blocks(s, d))).withColumn("marker", F.lit(None).cast("string")), "block_id"))
 register("footnote_links", lambda s, d: P.footnotes(lines_of(blocks(s, d)), "block_id", "text", "seq"))
 register("trim_loops", lambda s, d: P.trim_loops(lines_of(blocks(s, d))).select("block_id", "seq", "text"))
-register("seam_overlaps", lambda s, d: P.seam_overlaps(blocks(s, d), "name", "page_no", "markdown"))
+_SEAMS = f"""{BLOCKS}, k AS (SELECT block_id, name, page_no, markdown, list_filter(list_transform(string_split_regex(coalesce(markdown, ''), '[\\t\\n\\f\\r\\v ]+'), lambda w: regexp_replace(lower(w), '[^0-9a-zäöüß]+', '', 'g')), lambda w: w <> '') AS ws FROM blocks),
+h AS (SELECT *, ws[1:150] AS head, lag(ws[greatest(len(ws) - 149, 1):]) OVER (PARTITION BY name ORDER BY page_no) AS tail FROM k),
+seams AS (SELECT *, coalesce(list_max(list_filter(range(0, least(len(tail), len(head)) + 1), lambda n: n >= 6 AND tail[len(tail) - n + 1:] = head[1:n] AND length(array_to_string(head[1:n], '')) >= 30)), 0) AS cut FROM h)"""
+register(
+    "seam_overlaps",
+    lambda s, d: P.seam_overlaps(blocks(s, d), "name", "page_no", "markdown"),
+    f"WITH {_SEAMS} SELECT name, page_no, CAST(cut AS INT) AS cut FROM seams WHERE tail IS NOT NULL",
+)
+register(
+    "trim_seams",
+    lambda s, d: P.trim_seams(blocks(s, d), "name", "page_no", "markdown").select("block_id", F.md5("markdown").alias("text_md5")),
+    f"""WITH {_SEAMS}, p AS (SELECT *, regexp_extract_all(markdown, '[^\\t\\n\\f\\r\\v ]+[\\t\\n\\f\\r\\v ]*') AS pieces FROM seams),
+c AS (SELECT *, list_filter(range(1, len(pieces) + 1), lambda i: regexp_replace(lower(pieces[i]), '[^0-9a-zäöüß]+', '', 'g') <> '') AS places FROM p)
+SELECT block_id, md5(CASE WHEN cut > 0 AND tail IS NOT NULL AND name IS NOT NULL AND page_no IS NOT NULL THEN array_to_string(pieces[places[cut] + 1:], '') ELSE markdown END) AS text_md5 FROM c""",
+)
 register(
     "parted_words",
     lambda s, d: _joined(s, d),

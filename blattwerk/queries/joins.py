@@ -1,6 +1,6 @@
 """Queries with joins by nearness, on the boxed lines of pages.
 
-The boxes of a page are every fifth of its lines, made wider; frames every ninth.
+The tables hold no boxes: those of a page are its lines with a number, made wider; frames those with the sign of a section.
 """
 
 from __future__ import annotations
@@ -16,33 +16,40 @@ from blattwerk.queries.registry import register
 from blattwerk.sources.pages import blocks, boxed, lines_of
 
 
+NUMBERED, SECTIONED, BEGINNING = "[0-9]", "§", "^[A-ZÄÖÜ]"
+
+
+def _texts(s: SparkSession, d: str) -> DataFrame:
+    return boxed(lines_of(blocks(s, d))).select("block_id", "seq", "text", "x0", "y0", "x1", "y1")
+
+
 def _lines(s: SparkSession, d: str) -> DataFrame:
-    return boxed(lines_of(blocks(s, d))).select("block_id", "seq", "x0", "y0", "x1", "y1")
+    return _texts(s, d).drop("text")
 
 
 def _side(s: SparkSession, d: str, right: bool) -> DataFrame:
-    return _lines(s, d).where(F.col("seq") % 2 == int(right))
+    return _lines(s, d).where((F.col("x0") >= 500) == right)
 
 
-def _boxes(s: SparkSession, d: str, every: int = 5) -> DataFrame:
-    r = _lines(s, d).where(F.col("seq") % every == 0)
+def _boxes(s: SparkSession, d: str, of: str = NUMBERED) -> DataFrame:
+    r = _texts(s, d).where(F.col("text").rlike(of))
     return r.select("block_id", F.col("seq").alias("box_id"), (F.col("x0") - 20).alias("x0"), (F.col("y0") - 5).alias("y0"), (F.col("x1") + 20).alias("x1"), (F.col("y1") + 30).alias("y1"))
 
 
-_BOX = "SELECT block_id, seq AS box_id, x0 - 20 AS x0, y0 - 5 AS y0, x1 + 20 AS x1, y1 + 30 AS y1 FROM boxed WHERE seq % {} = 0"
-_BOXES = BOXED + f", box AS ({_BOX.format(5)})"
+_BOX = "SELECT block_id, seq AS box_id, x0 - 20 AS x0, y0 - 5 AS y0, x1 + 20 AS x1, y1 + 30 AS y1 FROM boxed WHERE regexp_matches(text, '{}')"
+_BOXES = BOXED + f", box AS ({_BOX.format(NUMBERED)})"
 
 register(
     "nearest_row",
     lambda s, d: J.nearest(_side(s, d, False).select("block_id", "seq", "y0"), _side(s, d, True), "block_id", "y0", "y0", "seq", 25.0),
-    f"""WITH {BOXED}, n AS (SELECT l.block_id, l.seq, l.y0, r.seq AS near_id, abs(r.y0 - l.y0) AS distance FROM boxed l JOIN boxed r USING (block_id) WHERE l.seq % 2 = 0 AND r.seq % 2 = 1 AND abs(r.y0 - l.y0) <= 25)
+    f"""WITH {BOXED}, n AS (SELECT l.block_id, l.seq, l.y0, r.seq AS near_id, abs(r.y0 - l.y0) AS distance FROM boxed l JOIN boxed r USING (block_id) WHERE l.x0 < 500 AND r.x0 >= 500 AND abs(r.y0 - l.y0) <= 25)
 SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY block_id, seq ORDER BY distance, near_id) = 1""",
 )
 register(
     "interval_assign",
-    lambda s, d: J.by_interval(_side(s, d, True).select("block_id", "seq", "y0"), _lines(s, d).where("seq % 6 = 0").select("block_id", "y0", F.col("seq").alias("row_id")), "block_id", "y0", "y0", "row_id", 3),
-    f"""WITH {BOXED}, q AS (SELECT block_id, seq AS row_id, y0 - 3 AS f, coalesce(lead(y0) OVER (PARTITION BY block_id ORDER BY y0, seq) - 3, 1000000) AS t FROM boxed WHERE seq % 6 = 0)
-SELECT b.block_id, b.seq, b.y0, q.row_id FROM (SELECT * FROM boxed WHERE seq % 2 = 1) b LEFT JOIN q ON b.block_id = q.block_id AND b.y0 >= q.f AND b.y0 < q.t""",
+    lambda s, d: J.by_interval(_side(s, d, True).select("block_id", "seq", "y0"), _texts(s, d).where(F.col("text").rlike(BEGINNING)).select("block_id", "y0", F.col("seq").alias("row_id")), "block_id", "y0", "y0", "row_id", 3),
+    f"""WITH {BOXED}, q AS (SELECT block_id, seq AS row_id, y0 - 3 AS f, coalesce(lead(y0) OVER (PARTITION BY block_id ORDER BY y0, seq) - 3, 1000000) AS t FROM boxed WHERE regexp_matches(text, '{BEGINNING}'))
+SELECT b.block_id, b.seq, b.y0, q.row_id FROM (SELECT * FROM boxed WHERE x0 >= 500) b LEFT JOIN q ON b.block_id = q.block_id AND b.y0 >= q.f AND b.y0 < q.t""",
 )
 register(
     "box_first_match",
@@ -52,8 +59,8 @@ SELECT b.block_id, b.seq, m.box_id FROM boxed b LEFT JOIN m USING (block_id, seq
 )
 register(
     "frame_anti",
-    lambda s, d: J.outside_frames(_lines(s, d), _boxes(s, d, 9), "block_id").select("block_id", "seq"),
-    f"""WITH {BOXED}, f AS ({_BOX.format(9)}) SELECT block_id, seq FROM boxed b WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.block_id = b.block_id AND (b.x0 + b.x1) / 2 BETWEEN f.x0 AND f.x1 AND (b.y0 + b.y1) / 2 BETWEEN f.y0 AND f.y1)""",
+    lambda s, d: J.outside_frames(_lines(s, d), _boxes(s, d, SECTIONED), "block_id").select("block_id", "seq"),
+    f"""WITH {BOXED}, f AS ({_BOX.format(SECTIONED)}) SELECT block_id, seq FROM boxed b WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.block_id = b.block_id AND (b.x0 + b.x1) / 2 BETWEEN f.x0 AND f.x1 AND (b.y0 + b.y1) / 2 BETWEEN f.y0 AND f.y1)""",
 )
 register(
     "box_line_counts",
@@ -67,8 +74,8 @@ register(
 )
 register(
     "band_semi",
-    lambda s, d: J.band_semi(_lines(s, d).where("seq % 4 = 1"), _lines(s, d).where("seq % 3 = 0"), "block_id", "x0", 3).select("block_id", "seq"),
-    f"WITH {BOXED} SELECT a.block_id, a.seq FROM boxed a WHERE a.seq % 4 = 1 AND EXISTS (SELECT 1 FROM boxed b WHERE b.block_id = a.block_id AND b.seq % 3 = 0 AND abs(a.x0 - b.x0) <= 3)",
+    lambda s, d: J.band_semi(_lines(s, d), _texts(s, d).where(F.col("text").rlike(NUMBERED)), "block_id", "x0", 3).select("block_id", "seq"),
+    f"WITH {BOXED} SELECT a.block_id, a.seq FROM boxed a WHERE EXISTS (SELECT 1 FROM boxed b WHERE b.block_id = a.block_id AND regexp_matches(b.text, '{NUMBERED}') AND abs(a.x0 - b.x0) <= 3)",
 )
 register(
     "page_asof",
@@ -99,7 +106,18 @@ def _visual(s: SparkSession, d: str) -> DataFrame:
     return g.groupBy("block_id", "session").agg(F.min("x0").alias("x_min"), F.max("x1").alias("x_max"), F.min("y").alias("y_min"), (F.max("y") + 14).alias("y_max"))
 
 
-register("two_column_verdict", lambda s, d: J.two_columns(_visual(s, d), "block_id"))
+register(
+    "two_column_verdict",
+    lambda s, d: J.two_columns(_visual(s, d), "block_id"),
+    # the lines of a row keep apart by five units, those of the next row by twenty, so a visual line is a height
+    f"""WITH {BOXED}, v AS (SELECT block_id, min(x0) AS x_min, max(x1) AS x_max, y0 + CASE WHEN x0 >= 500 THEN 5 ELSE 0 END + 7 AS y FROM boxed GROUP BY block_id, y0, x0 >= 500),
+v2 AS (SELECT *, CASE WHEN x_max <= 540 THEN 'left' WHEN x_min >= 460 THEN 'right' ELSE 'full' END AS side FROM v),
+c AS (SELECT block_id, count(*) AS n, count(*) FILTER (side = 'left') AS l, count(*) FILTER (side = 'right') AS r FROM v2 GROUP BY block_id),
+p AS (SELECT a.block_id, a.y, a.x_max, b.x_min, abs(b.y - a.y) AS d FROM v2 a JOIN v2 b USING (block_id) WHERE a.side = 'left' AND b.side = 'right' QUALIFY row_number() OVER (PARTITION BY a.block_id, a.y ORDER BY abs(b.y - a.y), b.y) = 1),
+g AS (SELECT block_id, count(*) AS pairs, count(*) FILTER (x_min - x_max BETWEEN 30 AND 150) AS valid, median((x_max + x_min) / 2) FILTER (x_min - x_max BETWEEN 30 AND 150) AS m FROM p WHERE d <= 8 GROUP BY block_id),
+t AS (SELECT c.block_id, coalesce(n >= 6 AND l >= 3 AND r >= 3 AND l + r >= 0.4 * n AND coalesce(pairs, 0) >= 5 AND valid >= 0.3 * pairs, false) AS two_columns, m FROM c LEFT JOIN g USING (block_id))
+SELECT block_id, two_columns, CASE WHEN two_columns THEN round_even(m, 1) ELSE 500.0 END AS split_x FROM t""",
+)
 register(
     "bounding_boxes",
     lambda s, d: _lines(s, d).groupBy("block_id").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")),

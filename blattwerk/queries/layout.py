@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from blattwerk.operators import layout as L
 from blattwerk.operators import sequences as S
-from blattwerk.queries.joins import _boxes, _lines
+from blattwerk.queries.joins import _BOX, BEGINNING, NUMBERED, SECTIONED, _boxes, _lines
 from blattwerk.queries.lines import BOXED
+from blattwerk.queries.quality import LINES
 from blattwerk.queries.registry import register
 from blattwerk.sources.pages import blocks, boxed, lines_of
 
@@ -45,13 +46,36 @@ SELECT block_id, two AS two_columns, CASE WHEN two THEN center END AS gutter FRO
 )
 register(
     "region_columns",
-    lambda s, d: L.region_columns(_lines(s, d).withColumn("class", F.when(F.col("seq") % 11 == 0, "head").otherwise("text")), "block_id", ["text"]).select("block_id", "two_columns"),
+    lambda s, d: L.region_columns(_boxed(s, d).withColumn("class", F.when(F.col("text").rlike(NUMBERED), "head").otherwise("text")), "block_id", ["text"]).select("block_id", "two_columns"),
+    f"""WITH {BOXED}, r AS (SELECT block_id, x0, x1, max(x1) OVER p - min(x0) OVER p AS span FROM boxed WHERE NOT regexp_matches(text, '{NUMBERED}') WINDOW p AS (PARTITION BY block_id)),
+n AS (SELECT *, count(*) OVER (PARTITION BY block_id) AS n FROM (SELECT * FROM r WHERE x1 - x0 <= 0.6 * span AND span > 0)),
+u AS (SELECT block_id, x0 AS a, x1 AS b FROM n WHERE n >= 2 UNION ALL SELECT DISTINCT block_id, 700, 700 FROM n WHERE n >= 2),
+g AS (SELECT block_id, greatest(coalesce(max(b) OVER (PARTITION BY block_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 300), 300) AS f, least(a, 700) AS t FROM u),
+m AS (SELECT block_id, (f + t) // 2 AS mid FROM g WHERE t - f >= 15 QUALIFY row_number() OVER (PARTITION BY block_id ORDER BY t - f DESC, f) = 1),
+k AS (SELECT block_id FROM n JOIN m USING (block_id) WHERE n >= 2 GROUP BY block_id, n HAVING least(count(*) FILTER (x1 <= mid), count(*) FILTER (x0 >= mid)) / n >= 0.25)
+SELECT block_id, block_id IN (SELECT block_id FROM k) AS two_columns FROM (SELECT DISTINCT block_id FROM boxed)""",
 )
 register("reading_order", lambda s, d: L.reading_order(_boxed(s, d), "block_id").select("block_id", "seq", "ord"))
-register("distinct_boxes", lambda s, d: L.distinct_boxes(_boxes(s, d, 2), "block_id"))
-register("stacked_boxes", lambda s, d: L.stacked_boxes(_boxes(s, d, 2), "block_id"))
-register("detected_boxes", lambda s, d: L.detected_boxes(_boxes(s, d), _lines(s, d), _boxes(s, d, 9), "block_id")[0].select("block_id", "box_id", "lines"))
-register("drawings", lambda s, d: L.detected_boxes(_boxes(s, d), _lines(s, d), _boxes(s, d, 9), "block_id")[1])
+register("distinct_boxes", lambda s, d: L.distinct_boxes(_boxes(s, d, BEGINNING), "block_id"))
+register("stacked_boxes", lambda s, d: L.stacked_boxes(_boxes(s, d, BEGINNING), "block_id"))
+_DETECTED = f"""{BOXED}, raw AS ({_BOX.format(NUMBERED)}), frames AS ({_BOX.format(SECTIONED)}),
+kb AS (SELECT block_id, x0, y0, x1, y1, row_number() OVER (PARTITION BY block_id ORDER BY y0, x0, y1, x1) AS box_id FROM raw r WHERE (x1 - x0) * (y1 - y0) < 750000 AND y1 - y0 < 850 AND x1 - x0 < 920
+  AND NOT EXISTS (SELECT 1 FROM frames f WHERE f.block_id = r.block_id AND (r.x0 + r.x1) / 2 BETWEEN f.x0 AND f.x1 AND (r.y0 + r.y1) / 2 BETWEEN f.y0 AND f.y1)),
+held AS (SELECT k.block_id, k.box_id, count(*) AS lines FROM kb k JOIN boxed l ON l.block_id = k.block_id AND (l.x0 + l.x1) / 2 BETWEEN k.x0 AND k.x1 AND (l.y0 + l.y1) / 2 BETWEEN k.y0 AND k.y1 GROUP BY ALL),
+kept AS (SELECT kb.*, lines FROM kb JOIN held USING (block_id, box_id)), multi AS (SELECT * FROM kept WHERE lines >= 2)"""
+register(
+    "detected_boxes",
+    lambda s, d: L.detected_boxes(_boxes(s, d), _lines(s, d), _boxes(s, d, SECTIONED), "block_id")[0].select("block_id", "box_id", "lines"),
+    f"WITH {_DETECTED} SELECT block_id, CAST(box_id AS INT) AS box_id, lines FROM multi",
+)
+register(
+    "drawings",
+    lambda s, d: L.detected_boxes(_boxes(s, d), _lines(s, d), _boxes(s, d, SECTIONED), "block_id")[1],
+    f"""WITH {_DETECTED}, w AS (SELECT block_id, (x1 - x0) / 1000 AS width FROM kept), g AS (SELECT *, width - lag(width) OVER (PARTITION BY block_id ORDER BY width) > 0.05 AS fresh FROM w),
+s AS (SELECT block_id, count(*) >= 3 AND count(*) FILTER (fresh) >= 2 AND round(stddev_pop(width), 9) >= 0.05 AS spread FROM g GROUP BY block_id),
+t AS (SELECT DISTINCT p.block_id FROM multi p JOIN multi q ON p.block_id = q.block_id AND p.box_id < q.box_id WHERE least(p.y1, q.y1) - greatest(p.y0, q.y0) > 0.4 * least(p.y1 - p.y0, q.y1 - q.y0) AND (p.x1 <= q.x0 + 8 OR q.x1 <= p.x0 + 8))
+SELECT block_id, coalesce(spread, false) OR block_id IN (SELECT block_id FROM t) AS diagram FROM (SELECT DISTINCT block_id FROM boxed) LEFT JOIN s USING (block_id)""",
+)
 register(
     "bold_lines_by_ink",
     lambda s, d: L.bold_lines(_boxed(s, d).withColumns({"density": ((F.col("seq") * 7) % 13).cast("double"), "height": F.col("y1") - F.col("y0")}), "block_id").select("block_id", "seq", "text"),
@@ -67,8 +91,27 @@ def _cells(s: SparkSession, d: str) -> DataFrame:
     return rows.select("block_id", F.col("seq").alias("row"), F.posexplode(cut).alias("col", "text"), F.lit(False).alias("bold"))
 
 
-register("ruled_tables", lambda s, d: L.ruled_tables(_cells(s, d), ["block_id"]))
-register("answer_tables", lambda s, d: L.answer_tables(_boxed(s, d).withColumn("side", F.when(F.col("seq") % 2 == 0, "l").otherwise("r")), "block_id"))
+register(
+    "ruled_tables",
+    lambda s, d: L.ruled_tables(_cells(s, d), ["block_id"]),
+    f"""WITH {LINES}, r AS (SELECT block_id, seq AS row, string_split_regex(regexp_replace(trim(text), '^\\|[\t\n\f\r\v ]*|[\t\n\f\r\v ]*\\|$', '', 'g'), '[\t\n\f\r\v ]*\\|[\t\n\f\r\v ]*') AS cs
+  FROM lines WHERE starts_with(text, '|') AND NOT regexp_full_match(text, '[|\t\n\f\r\v -]+')),
+c AS (SELECT block_id, row, unnest(range(len(cs))) AS col, regexp_replace(replace(trim(unnest(cs)), '|', '\\|'), '[\t\n\f\r\v ]+', ' ', 'g') AS text FROM r),
+f AS (SELECT *, max(CASE WHEN text <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY block_id, row) AS rf, max(CASE WHEN text <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY block_id, col) AS cf FROM c),
+l AS (SELECT block_id, row, '| ' || string_agg(text, ' | ' ORDER BY col, text) || ' |' AS line, count(*) FILTER (text <> '') AS filled, count(*) AS wide FROM f WHERE rf = 1 AND cf = 1 GROUP BY ALL),
+t AS (SELECT block_id, list(line ORDER BY row) AS ls, max(wide) AS w FROM l GROUP BY block_id HAVING count(*) >= 2 AND max(wide) >= 2 AND count(*) FILTER (filled >= 2) >= 2)
+SELECT block_id, ls[1] || chr(10) || '|' || repeat(' --- |', CAST(w AS INT)) || chr(10) || array_to_string(ls[2:], chr(10)) AS markdown FROM t""",
+)
+register("answer_tables", lambda s, d: L.answer_tables(_boxed(s, d).withColumn("side", F.when(F.col("x0") < 500, "l").otherwise("r")), "block_id"))
 register("joined_fragments", lambda s, d: L.joined_fragments(_boxed(s, d), "block_id", 1000.0))
-register("numbered_notes", lambda s, d: L.numbered_notes(_boxed(s, d).withColumns({"y0": F.col("y0") + 600, "y1": F.col("y1") + 600}), "block_id"))
+register(
+    "numbered_notes",
+    lambda s, d: L.numbered_notes(_boxed(s, d).withColumns({"y0": F.col("y0") + 600, "y1": F.col("y1") + 600}), "block_id"),
+    f"""WITH {BOXED}, n AS (SELECT block_id, seq, text, x0, y0 + 600 AS y0, x1, y1 + 600 AS y1, regexp_extract(trim(text), '^\\**[\t\n\f\r\v ]*([0-9]{{1,2}})[\t\n\f\r\v ]*\\**$', 1) AS no FROM boxed),
+p AS (SELECT *, coalesce(no <> '' AND y0 >= 900 AND x0 <= lead(x0) OVER w AND abs(lead(y0) OVER w - y0) <= 40 AND regexp_matches(lead(text) OVER w, '^\\**[\t\n\f\r\v ]*[A-ZÄÖÜ„»§]'), false) AS pair,
+  lead(text) OVER w AS t2, lead(x0) OVER w AS a2, lead(y0) OVER w AS b2, lead(x1) OVER w AS c2, lead(y1) OVER w AS d2 FROM n WINDOW w AS (PARTITION BY block_id ORDER BY seq)),
+q AS (SELECT *, coalesce(lag(pair) OVER (PARTITION BY block_id ORDER BY seq), false) AS gone FROM p)
+SELECT block_id, seq, CASE WHEN pair THEN no || ' ' || ltrim(t2) ELSE text END AS text, CASE WHEN pair THEN least(x0, a2) ELSE x0 END AS x0, CASE WHEN pair THEN least(y0, b2) ELSE y0 END AS y0,
+  CASE WHEN pair THEN greatest(x1, c2) ELSE x1 END AS x1, CASE WHEN pair THEN greatest(y1, d2) ELSE y1 END AS y1 FROM q WHERE NOT gone""",
+)
 register("margin_labels_first", lambda s, d: L.margin_labels_first(_boxed(s, d), "block_id").select("block_id", "seq", "ord"))

@@ -155,7 +155,8 @@ def _mid_pages(s: SparkSession, d: str) -> DataFrame:
 
 register(
     "seeded_sample",
-    lambda s, d: blocks(s, d).where(F.pmod(F.xxhash64("block_id", F.lit(7)), F.lit(100)) < 10).select("block_id", "name", "page_no"),
+    lambda s, d: blocks(s, d).where(F.conv(F.substring(F.md5(F.concat_ws("-", F.lit("7"), F.col("block_id").cast("string"))), 1, 8), 16, 10).cast("bigint") % 100 < 10).select("block_id", "name", "page_no"),
+    f"WITH {BLOCKS} SELECT block_id, name, page_no FROM blocks WHERE CAST('0x' || substr(md5('7-' || block_id), 1, 8) AS BIGINT) % 100 < 10",
 )
 register(
     "status_chips",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blattwerk.operators import review as R
@@ -69,10 +70,25 @@ register(
     """WITH p AS (SELECT DISTINCT regexp_replace(name, ' Teil [0-9]+$', '') AS base, coalesce(TRY_CAST(regexp_extract(name, ' Teil ([0-9]+)$', 1) AS INT), 0) AS no, name FROM preview)
 SELECT base, name, CAST(row_number() OVER (PARTITION BY base ORDER BY no, name) AS INT) AS part FROM p""",
 )
+_STEM = "regexp_replace(name, ' [0-9]+.*$', '')"
 register(
     "free_names",
-    lambda s, d: R.free_names(table(s, d, "found_file").select(F.regexp_replace("name", r" \d+.*$", "").alias("stem"), "path", F.lit(None).cast("string").alias("date")), s.createDataFrame([("Hafenrecht Fall-old",)], "target string"), "stem", "date").groupBy("target").count(),
+    # every file asks for the name of its series; the names of all entries are taken
+    lambda s, d: R.free_names(table(s, d, "found_file").where("name IS NOT NULL").select(F.regexp_replace("name", r" \d+.*$", "").alias("stem"), "path", F.lit("2").alias("date")), _taken(s, d), "stem", "date").groupBy("target").count(),
+    f"""WITH w AS (SELECT {_STEM} || '-2' AS t, row_number() OVER (PARTITION BY {_STEM} ORDER BY path) AS r FROM found_file WHERE name IS NOT NULL),
+k AS (SELECT DISTINCT {_STEM} || CASE WHEN length(name) % 2 = 0 THEN '-2' ELSE '-2-' || length(name) END AS target FROM manifest WHERE name IS NOT NULL),
+s AS (SELECT target AS t, 1 AS k FROM k UNION SELECT regexp_replace(target, '-[0-9]+$', ''), CAST(regexp_extract(target, '-([1-9][0-9]{{0,8}})$', 1) AS INT) FROM (SELECT target FROM k UNION SELECT t FROM w) WHERE regexp_matches(target, '-[1-9][0-9]{{0,8}}$') AND CAST(regexp_extract(target, '-([1-9][0-9]{{0,8}})$', 1) AS INT) >= 2),
+p AS (SELECT t, unnest(range(1, max(r) + (SELECT count(*) FROM s) + 1)) AS k FROM w GROUP BY t),
+f AS (SELECT t, k, row_number() OVER (PARTITION BY t ORDER BY k) AS r FROM p WHERE (t, k) NOT IN (SELECT t, k FROM s))
+SELECT CASE WHEN k > 1 THEN t || '-' || k ELSE t END AS target, count(*) AS count FROM w JOIN f USING (t, r) GROUP BY ALL""",
 )
+
+
+def _taken(s: SparkSession, d: str) -> DataFrame:
+    stem, n = F.regexp_replace("name", r" \d+.*$", ""), F.char_length("name")
+    return table(s, d, "manifest").where("name IS NOT NULL").select(F.concat(stem, F.when(n % 2 == 0, F.lit("-2")).otherwise(F.concat(F.lit("-2-"), n.cast("string")))).alias("target")).distinct()
+
+
 register(
     "marker_fields",
     lambda s, d: blocks(s, d).select("block_id", *[c.alias(k) for k, c in R.marker_fields(F.coalesce("marker_line", F.lit(""))).items()]),

@@ -107,6 +107,10 @@ def _directions(s: SparkSession, d: str) -> DataFrame:
 register(
     "rule_regression",
     lambda s, d: boundary.compare_rules(blocks(s, d).where("markdown IS NOT NULL"), "block_id", F.col("markdown"), F.regexp_replace("markdown", r"(\p{L})-\n(\p{Ll})", "$1$2")),
+    f"""WITH {BLOCKS}, r AS (SELECT markdown AS a, regexp_replace(markdown, '(\\p{{L}})-\\n(\\p{{Ll}})', '\\1\\2', 'g') AS b FROM blocks WHERE markdown IS NOT NULL),
+w AS (SELECT a, b, list_sort(list_filter(string_split_regex(a, '[\\t\\n\\f\\r\\v ]+'), lambda x: x <> '')) AS wa, list_sort(list_filter(string_split_regex(b, '[\\t\\n\\f\\r\\v ]+'), lambda x: x <> '')) AS wb,
+  list_sort(string_split(regexp_replace(a, '[\\t\\n\\f\\r\\v *#>|-]+', '', 'g'), '')) AS ca, list_sort(string_split(regexp_replace(b, '[\\t\\n\\f\\r\\v *#>|-]+', '', 'g'), '')) AS cb FROM r)
+SELECT CASE WHEN a = b THEN 'unchanged' WHEN wa = wb THEN 'reordered' WHEN ca = cb THEN 'hyphens resolved' ELSE 'changed' END AS change, count(*) AS n FROM w GROUP BY ALL""",
 )
 register(
     "evicted_buffers",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from blattwerk.functions import text as T
 from blattwerk.operators import accuracy, boilerplate, outline, vocabulary
+from blattwerk.queries.lines import BOXED
 from blattwerk.queries.quality import BLOCKS, LINES
 from blattwerk.queries.registry import register
 from blattwerk.sources.pages import blocks, boxed, lines_of
@@ -179,13 +180,58 @@ m AS (SELECT *, CASE WHEN regexp_matches(t, '^\\((?:[0-9]{{1,2}}|[a-h]{{1,2}})\\
   WHEN regexp_matches(t, '^[A-H][.)][\\t ]') THEN 2 END AS level FROM b)
 SELECT block_id, CAST(seq AS INT) AS seq, level FROM m WHERE level IS NOT NULL AND NOT regexp_matches(regexp_replace(t, '^\\S+[\\t ]+', ''), '^[A-Za-zÄÖÜ]{{1,2}}\\.')""",
 )
-register("headings", lambda s, d: lines_of(blocks(s, d)).where(outline.level(F.col("text")).isNotNull()).select("block_id", "seq", outline.format_heading(F.col("text")).alias("formatted"), outline.heading(F.col("text")).alias("heading")))
+_SP = "[\\t\\n\\f\\r\\v ]"
+_BARE = f"regexp_replace(regexp_replace({{}}, '\\*+', '', 'g'), '^{_SP}+', '')"
+_LEVELS = f"""CASE WHEN regexp_matches({{0}}, '^\\((?:[0-9]{{{{1,2}}}}|[a-h]{{{{1,2}}}})\\){_SP}') THEN 6 WHEN regexp_matches({{0}}, '^(?:(?:aa|bb|cc|dd|ee|gg|hh)[.)]|ff\\)){_SP}') THEN 6
+  WHEN regexp_matches({{0}}, '^(?:[a-eg-h][.)]|f\\)){_SP}') THEN 5 WHEN regexp_matches({{0}}, '^[0-9]{{{{1,2}}}}[.)]{_SP}') THEN 4 WHEN regexp_matches({{0}}, '^[IVX]{{{{1,5}}}}\\.{_SP}') THEN 3 WHEN regexp_matches({{0}}, '^[A-H][.)]{_SP}') THEN 2 END"""
+_ONE = "(starts_with(text, '**') AND ends_with(text, '**') AND length(text) - length(replace(text, '**', '')) = 4)"
+_LABEL = f"regexp_matches(trim(text), '(?i)^\\**{_SP}*(?:{outline.LABELS}){_SP}*:?{_SP}*\\**$')"
+_SHORT = f"(length(regexp_replace(text, '^\\*+{_SP}*', '')) <= {outline.LONGEST_HEADING})"
+_ITEM = f"regexp_matches({_BARE.format('text')}, '^{_SP}*(?:[-•·▪○●⇒⇨→➢✔]|\\(?[0-9]{{1,2}}[.)]|[a-z]{{1,3}}[.)]|[IVXL]{{1,5}}\\.)(?:{_SP}|$)')"
+register(
+    "headings",
+    lambda s, d: lines_of(blocks(s, d)).where(outline.level(F.col("text")).isNotNull()).select("block_id", "seq", outline.format_heading(F.col("text")).alias("formatted"), outline.heading(F.col("text")).alias("heading")),
+    f"""WITH {LINES}, a AS (SELECT block_id, seq, text, {_BARE.format('text')} AS bare, regexp_replace(text, '^{_SP}+', '') AS raw FROM lines),
+b AS (SELECT *, {_LEVELS.format('bare')} AS lvl, trim(replace(raw, '**', '')) AS blank FROM a),
+c AS (SELECT *, length(blank) <= {outline.LONGEST_HEADING} OR (trim(raw) <> '' AND trim(regexp_replace(raw, '(?s)\\*\\*.*?\\*\\*', '', 'g')) = '') AS short, NOT regexp_matches(blank, '[.!?]["“»)\\]]?$') OR contains(raw, '**') AS open,
+  regexp_extract(raw, '^([^\\t\\n\\f\\r\\v ]+)', 1) AS mark FROM b WHERE lvl IS NOT NULL AND NOT regexp_matches(regexp_replace(bare, '^[^\\t\\n\\f\\r\\v ]+{_SP}+', ''), '^[A-Za-zÄÖÜ]{{1,2}}\\.'))
+SELECT block_id, CAST(seq AS INT) AS seq, CASE WHEN regexp_matches(raw, '^[|>\\[]') THEN text WHEN short AND open THEN repeat('#', CAST(lvl AS INT)) || ' ' || blank
+  WHEN NOT starts_with(raw, '**') AND NOT regexp_matches(mark, '^[0-9]') THEN '**' || mark || '** ' || regexp_replace(raw, '^[^\\t\\n\\f\\r\\v ]+{_SP}*', '') ELSE text END AS formatted, {_ONE} AND {_SHORT} AND NOT {_LABEL} AS heading FROM c""",
+)
 register(
     "labels",
     lambda s, d: lines_of(blocks(s, d)).where(outline.enumeration(F.col("text")) | outline.keyword(F.col("text")) | outline.margin_label(F.col("text"))).select("block_id", "seq", outline.enumeration(F.col("text")).alias("item"), outline.line_start(F.col("text")).alias("start")),
+    f"""WITH {LINES}, a AS (SELECT *, {_ITEM} AS item, regexp_matches({_BARE.format('text')}, '(?i)^(?:{outline.LABELS}){_SP}*:') AS keyword, {_LABEL} AS label FROM lines)
+SELECT block_id, CAST(seq AS INT) AS seq, item, item OR ({_ONE} AND {_SHORT}) AS start FROM a WHERE item OR keyword OR label""",
+)
+
+
+def _clean_sql() -> str:
+    """The steps of a cleaned line; what Java looks ahead for is taken along and put back."""
+    c = "translate(text, '" + "".join(T.PRIVATE_GLYPHS) + "', '" + "".join(T.PRIVATE_GLYPHS.values()) + "')"
+    c = f"regexp_replace({c}, '[\ue000-\uf8ff]', '▪', 'g')"
+    steps = [(rf"\$?\\{name}\$?([^A-Za-z]|$)", rf"{arrow}\1") for name, arrow in T.ARROWS.items()]
+    steps += [
+        (r"\\\(\\underline\{\\text\{(.*?)\}\}\\\)", r"\1"), (r"\\underline\{(.*?)\}", r"\1"), (r"\\text\{(.*?)\}", r"\1"), (r"\\\(|\\\)", ""), (r"\^\{([0-9]{1,2})\}", r"[^\1]"),
+        (rf"\${_SP}*([0-9])", r"§ \1"), (rf"§{_SP}*§{_SP}*", "§§ "), (rf"§{_SP}+([0-9])", r"§ \1"), (rf"(§+{_SP}*[0-9]+[a-z]?{_SP}*)\|", r"\1I"), (rf"\|{_SP}+((?:{T.STATUTES})\b)", r"I \1"),
+        (rf"\*\*({_SP}*)\*\*", r"\1"), (rf"{_SP}+$", ""),
+    ]
+    for pattern, by in steps:
+        c = f"regexp_replace({c}, '{pattern}', '{by}', 'g')"
+    return c
+
+
+register("clean_lines", lambda s, d: lines_of(blocks(s, d)).select("block_id", "seq", T.clean_line(F.col("text")).alias("clean")), f"WITH {LINES} SELECT block_id, CAST(seq AS INT) AS seq, {_clean_sql()} AS clean FROM lines")
+_RE2 = lambda patterns: "(?:" + "|".join(p if p.startswith("(?i)") is False else f"(?i:{p[4:]})" for p in patterns).replace(r"\s", _SP).replace(r"\d", "[0-9]") + ")"
+register(
+    "boilerplate_lines",
+    lambda s, d: boxed(lines_of(blocks(s, d))).where(boilerplate.boilerplate(F.col("text"), F.col("y0"))).select("block_id", "seq", "text"),
+    f"""WITH {BOXED}, t AS (SELECT *, trim(regexp_replace(trim(text), '^\\*+|\\*+$', '', 'g')) AS t FROM boxed),
+p AS (SELECT *, len(list_filter([{", ".join(f"'{x}'" for x in boilerplate.PLACES)}], lambda x: contains(t, x) AND contains(t, '-'))) AS places, regexp_matches(t, '{_RE2(boilerplate.WEAK)}') AS weak, y0 <= {boilerplate.HEAD} OR y0 >= {boilerplate.FOOT} AS zone FROM t)
+SELECT block_id, seq, text FROM p WHERE t <> '' AND (regexp_matches(t, '{_RE2(boilerplate.HARD)}') OR (len(regexp_extract_all(t, ' - ')) >= 2 AND places >= 2)
+  OR regexp_matches(t, '^(?:{"|".join(boilerplate.PLACES)}){_SP}*[-–]{_SP}*(?:[A-ZÄÖÜ][A-Za-zäöüß]{{0,12}}\\.?)?$') OR (length(t) <= {boilerplate.SHORT} AND weak)
+  OR ((y0 <= {boilerplate.NUMBER_HEAD} OR y0 >= {boilerplate.NUMBER_FOOT}) AND regexp_matches(t, '^[0-9]{{1,4}}$')) OR (zone AND (weak OR (length(t) <= {boilerplate.SHORT_PLACE} AND places >= 1 AND contains(t, '-')))))""",
 )
-register("clean_lines", lambda s, d: lines_of(blocks(s, d)).select("block_id", "seq", T.clean_line(F.col("text")).alias("clean")))
-register("boilerplate_lines", lambda s, d: boxed(lines_of(blocks(s, d))).where(boilerplate.boilerplate(F.col("text"), F.col("y0"))).select("block_id", "seq", "text"))
 register(
     "callouts",
     lambda s, d: blocks(s, d).where(F.col("origin").isin("diagram", "diagramm")).select("block_id", T.callout(F.coalesce("markdown", F.lit("")), F.col("name")).alias("note")),

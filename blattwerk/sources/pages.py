@@ -20,7 +20,7 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Which blocks came more than once is found from ids and times alone. They are few, so their list is
     broadcast (after it was counted) and the texts of all others are not shuffled; a list beyond the bound
-    is joined by shuffle. Rows that are alike in their time as well are dropped by id.
+    is joined by shuffle. Of rows that are alike in their time as well only those are shuffled.
     """
     return once(spread(table(spark, sf_dir, "page_block")), "block_id", "loaded_at")
 
@@ -29,10 +29,11 @@ def once(rows: DataFrame, key: str, at: str) -> DataFrame:
     """``rows`` with each key once, its earliest row; rows without a key stay."""
     times = rows.where(F.col(key).isNotNull()).groupBy(key, at).agg(F.count(F.lit(1)).alias("n"))
     many = cut(times.groupBy(key).agg(F.sum("n").alias("n"), F.min(F.struct(at, "n")).alias("first")).where("n > 1").select(key, F.col(f"first.{at}").alias("_first"), (F.col("first.n") > 1).alias("_alike")))
-    if not many.where("_alike OR _first IS NULL").isEmpty():
-        return rows.where(F.col(key).isNull()).unionByName(rows.where(F.col(key).isNotNull()).dropDuplicates([key]))
-    kept = rows.join(broadcast_if_small(many.drop("_alike")), key, "left").where(F.col("_first").isNull() | (F.col("_first") == F.col(at)))
-    return kept.select(*rows.columns)
+    met = rows.join(broadcast_if_small(many), key, "left").where(F.col("_alike").isNull() | F.col("_first").eqNullSafe(F.col(at)))
+    if many.where("_alike").isEmpty():
+        return met.select(*rows.columns)
+    alike = F.coalesce("_alike", F.lit(False))
+    return met.where(~alike).select(*rows.columns).unionByName(met.where(alike).select(*rows.columns).dropDuplicates([key]))
 
 
 def lines_of(pages: DataFrame) -> DataFrame:
