@@ -27,7 +27,7 @@ from blattwerk.llm.textkernel import NUMBER, Tokens, line_keys, line_starts, seg
 from blattwerk.plans import broadcast_if_small, cut, spread
 
 #: Most blocks that the sample holds, and the longest text in it.
-SAMPLE_BLOCKS, SAMPLE_CHARS = 24_000, 20_000
+SAMPLE_BLOCKS, SAMPLE_CHARS = 24_000, 4_000
 #: A stamped line stands in this many blocks and this share of the blocks of its preview, and has this many words.
 MIN_BLOCKS, MIN_SHARE, MIN_WORDS = 3, 0.04, 3
 BUCKETS = 1 << 19
@@ -39,8 +39,11 @@ _PAIR = np.int64(0x5851F42D4C957F2D)
 PAGE_WORDS = ("seite", "blatt", "page", "pag", "von", "of", "s", "p", "bl", "sheet")
 def is_page_number(line: str) -> bool:
     """Whether a line is nothing but a page number, with or without its words and marks."""
-    t = line.strip().lower()
-    if not t or len(t) > 40 or t[0] == ">" or t.startswith("[^") or t[-1] in ".,;:" or t[-1] == ")" and t[0] != "(" or not (any(c.isdigit() for c in t) or any(w in t for w in ("seite", "blatt"))):
+    t = line.strip()
+    if not t or len(t) > 40:
+        return False
+    t = t.lower()
+    if t[0] == ">" or t.startswith("[^") or t[-1] in ".,;:" or t[-1] == ")" and t[0] != "(" or not (any(c.isdigit() for c in t) or any(w in t for w in ("seite", "blatt"))):
         return False
     parts = re.findall(r"[^\W_]+", t)
     numbers = [p for p in parts if re.fullmatch(r"[\dlioqzsb]{1,5}", p) and (any(c.isdigit() for c in p) or len(parts) > 1 and p not in PAGE_WORDS)]

@@ -64,7 +64,10 @@ def is_junk(lines: list[str]) -> bool:
         return False
     words = " ".join(full).split()
     size = sum(map(len, words))
-    lettered = sum(map(len, _RUN.findall(" ".join(words))))
+    # whole words are counted first: they are enough nearly everywhere
+    lettered = sum([len(w) for w in words if len(w) > 2 and w.isalpha()])
+    if lettered < 0.5 * size:
+        lettered = sum(map(len, _RUN.findall(" ".join(words))))
     if lettered < 0.5 * size or size > LONG_WORDS * len(words):
         table = sum(x.lstrip().startswith("|") or "\t" in x or "   " in x.strip() for x in full)
         if table < 2 or sum(len(w) == 1 for w in words) > 0.6 * len(words) and len(words) > 20:
@@ -257,6 +260,7 @@ def defects(lines: list[str], stamped: list[bool], maybe: Callable[[str], bool])
     own = [i for i, f in enumerate(off) if not f and lines[i].strip()]
     if is_junk([lines[i] for i in own]):
         return out
+    hits = [w for w in set(_WORD.findall("\n".join([lines[i] for i in own]))) if maybe(w)]
     skip_first = False
     for k, i in enumerate(own):
         line = lines[i]
@@ -268,7 +272,7 @@ def defects(lines: list[str], stamped: list[bool], maybe: Callable[[str], bool])
             if parted and rest and parted.start() >= start and not _KEPT.match(rest.group(1)):
                 out.append((i + 1, "break", parted.group(1) + rest.group(1), None, None, "", ""))
                 end, skip_first = parted.start(), True
-        if not any(map(maybe, _WORD.findall(line, start, end))):
+        if not any(w in line for w in hits):
             continue
         for m in _TOKEN.finditer(line, start, end):
             token = m.group()

@@ -50,7 +50,7 @@ _TABLE = _table()
 _DIGITS = bytes.maketrans(b"1058", bytes(ord(next(g[0] for g in GLYPH_CLASSES if c in g)) for c in "1058"))
 _UMLAUTS = tuple((c.encode(), group[0].encode()) for group in GLYPH_CLASSES for c in group if ord(c) > 127)
 _WIDE = tuple((a.encode(), b.encode()) for a, b in WIDE_GLYPHS.items())
-_OWN = frozenset("äöüß")
+_ODD = re.compile(r"[^\x00-\x7fäöüß]")
 
 
 class _Folded(dict):
@@ -80,8 +80,8 @@ def fold(text: str) -> str:
     """Lower-cased text without accents (German umlauts stay) and without symbols beyond ASCII."""
     if text.isascii():
         return text
-    for c in set(text) - _OWN:
-        if c > "\x7f" and (r := _folded[c]) != c:
+    for c in set(_ODD.findall(text)):
+        if (r := _folded[c]) != c:
             text = text.replace(c, r)
     return text
 
@@ -147,15 +147,16 @@ class Tokens:
 
 def prepare(texts: list[str], join_hyphens: bool, drop: re.Pattern | None = None, long_line: int = 0) -> str:
     """``texts`` in lower case, parted by NUL; ``join_hyphens`` puts words together that are parted at line ends,
-    ``drop`` (a pattern over lower-cased text, within lines) is left out first. With ``long_line`` lines that are longer
-    are parted (by ``\\x01``) at the first blank after each so many characters, wherever the text is cut later."""
-    s = composed("\x00".join(t.replace("\x00", " ").replace("\x01", " ") if "\x00" in t or "\x01" in t else t for t in texts).lower())
+    ``drop`` (a pattern over lower-cased text, within lines, that has a bracket) is left out first. With ``long_line`` lines
+    that are longer are parted (by ``\\x01``) at the first blank after each so many characters, wherever the text is cut later."""
+    texts = [t.replace("\x00", " ").replace("\x01", " ") if "\x00" in t or "\x01" in t else t for t in texts]
     if drop is not None:
-        s = drop.sub("", s)
+        texts = [drop.sub("", t.lower()) if "[" in t else t for t in texts]
+    s = composed("\x00".join(texts).lower())
     if join_hyphens:
         s = _JOIN.sub("", s)
-    if long_line and len(s) > long_line and max(map(len, s.split("\n"))) > long_line:
-        s = "\x00".join("\n".join(_parted(x, long_line) for x in t.split("\n")) for t in s.split("\x00"))
+    if long_line and max(map(len, texts), default=0) > long_line:
+        s = "\x00".join("\n".join(_parted(x, long_line) for x in t.split("\n")) if len(t) > long_line else t for t in s.split("\x00"))
     return s
 
 
