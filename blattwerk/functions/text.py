@@ -19,6 +19,9 @@ STATUTES = "BGB|StGB|GG|VwGO|VwVfG|ZPO|HGB"
 #: A citation of a statute: sign, number, letter.
 CITATION = r"(?:§{1,2}|Art\.)\s*\d+[a-z]?"
 WORD = r"[\p{L}\p{N}_§€%]+"
+# A place in a statute, and a citation with all its places and the name of the statute, which has two capitals.
+NORM = r"\d+[a-z]?(?:\s*[IVXlivx]+)?(?:\s*(?:Abs|S|Satz|Alt|Nr|HS|Hs|Var|lit)\.?\s*\d+[a-z]?)*"
+NAMED_CITATION = rf"(?:§{{1,2}}|Art\.)\s*{NORM}(?:\s*,\s*{NORM})*(?:\s+(?=[A-ZÄÖÜ\w]*[A-ZÄÖÜ][A-ZÄÖÜ\w]*[A-ZÄÖÜ])[A-ZÄÖÜ][A-Za-zÄÖÜäöü]{{1,8}})?"
 
 
 def squeeze(c: Column) -> Column:
@@ -42,6 +45,11 @@ def citations(c: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(f"({CITATION})"), F.lit(1))
 
 
+def named_citations(c: Column) -> Column:
+    """Citations with their statutes, blanks squeezed."""
+    return F.transform(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(f"({NAMED_CITATION})"), F.lit(1)), squeeze)
+
+
 def word_list(c: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(f"({WORD})"), F.lit(1))
 

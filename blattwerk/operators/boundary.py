@@ -68,9 +68,12 @@ def checked(words: DataFrame, load: Callable[[], Callable[[list[str]], set[str]]
 
 
 def compare_rules(rows: DataFrame, key: str, old: Column, new: Column) -> DataFrame:
-    """``change, n``: what a new rule does to texts against the old one: unchanged, reordered words, resolved
-    hyphens, or lost characters."""
+    """``change, n``: what a new rule does to texts against the old one: unchanged, lost letters, other words but no letter
+    lost (hyphens resolved), or the same words in another order."""
     words = lambda c: F.array_sort(F.filter(F.split(c, r"\s+"), lambda w: w != ""))
-    chars = lambda c: F.array_sort(F.split(F.regexp_replace(c, r"[\s*#>|-]+", ""), ""))
-    kind = F.when(old.eqNullSafe(new), "unchanged").when(words(old) == words(new), "reordered").when(chars(old) == chars(new), "hyphens resolved").otherwise("changed")
-    return rows.select(key, kind.alias("change")).groupBy("change").agg(F.count(F.lit(1)).alias("n"))
+    letters = lambda c: F.regexp_replace(c, r"[\s*#>|-]+", "")
+    x = rows.select(key, old.alias("_a"), new.alias("_b")).withColumns({"_la": letters(F.col("_a")), "_lb": letters(F.col("_b"))})
+    count = lambda t, c: F.char_length(t) - F.char_length(F.replace(F.col(t), c, F.lit("")))
+    less = F.exists(F.array_distinct(F.split("_la", "")), lambda c: (c != "") & (count("_la", c) > count("_lb", c)))
+    kind = F.when(F.col("_a").eqNullSafe(F.col("_b")), "unchanged").when(less, "lost").when(words(F.col("_a")) != words(F.col("_b")), "hyphens resolved").otherwise("reordered")
+    return x.select(key, kind.alias("change")).groupBy("change").agg(F.count(F.lit(1)).alias("n"))

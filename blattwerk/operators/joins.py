@@ -84,10 +84,14 @@ def band_semi(left: DataFrame, right: DataFrame, key: str, at: str, tolerance: i
 
 
 def latest_at_or_before(asked: DataFrame, known: DataFrame, key: str, at: str) -> DataFrame:
-    """``asked`` with the greatest known position at or before each, else the least known one."""
-    k = known.select(F.col(key), F.col(at).alias("_k")).groupBy(key).agg(F.array_sort(F.collect_set("_k")).alias("_ks"))
-    before = F.filter("_ks", lambda x: x <= F.col(at))
-    return asked.join(k, key).select(*asked.columns, F.when(F.size(before) > 0, F.element_at(before, -1)).otherwise(F.get(F.col("_ks"), F.lit(0))).alias("follows"))
+    """``asked`` with the greatest known position at or before each, else the least known one, as ``follows``; rows of a key
+    without any known position go. One sort of the union by key and position, as in :func:`by_interval`."""
+    a = asked.select(F.col(key), F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.struct(*asked.columns).alias("_row"))
+    k = known.where(F.col(at).isNotNull()).select(F.col(key), F.col(at).alias("_at"), F.lit(0).alias("_kind"), F.lit(None).cast(a.schema["_row"].dataType).alias("_row")).distinct()
+    here = F.when(F.col("_kind") == 0, F.col("_at"))
+    so_far = Window.partitionBy(key).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    u = a.unionByName(k).withColumn("follows", F.coalesce(F.last(here, ignorenulls=True).over(so_far), F.min(here).over(Window.partitionBy(key))))
+    return u.where((F.col("_kind") == 1) & F.col("follows").isNotNull() & F.col(key).isNotNull()).select("_row.*", "follows")
 
 
 def reading_position(pages: DataFrame, key: str, page: str, top: str, height: str, scroll: Column) -> DataFrame:

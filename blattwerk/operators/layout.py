@@ -67,6 +67,49 @@ def gutter(profile: DataFrame, page: str, width: int) -> DataFrame:
     return best.select(page, (F.floor((F.col("t.a") + F.col("t.b")) / 2) / width).alias("center"), ((F.col("t.b") - F.col("t.a")) / width).alias("wide"))
 
 
+def single_valley(profile: DataFrame, page: str, width: int, trough: float = 0.25, least: float = 0.010) -> DataFrame:
+    """``page, center, wide`` by the older rule: the widest stretch in the middle that holds less than ``trough`` of the
+    *median* ink, without bridges and without a look at what is beside it."""
+    inner = profile.where((F.col("x") >= int(width * 0.10)) & (F.col("x") < int(width * 0.90)))
+    ref = inner.groupBy(page).agg(F.median("ink").alias("ref")).where("ref > 0")
+    low = profile.join(ref, page).where((F.col("x") >= int(width * BAND[0])) & (F.col("x") < int(width * BAND[1])) & (F.col("ink") < F.col("ref") * trough))
+    place = F.col("x") - F.row_number().over(Window.partitionBy(page).orderBy("x"))
+    runs = low.withColumn("_g", place).groupBy(page, "_g").agg(F.min("x").alias("a"), (F.max("x") + 1).alias("b"))
+    best = runs.groupBy(page).agg(F.max_by(F.struct("a", "b"), F.struct(F.col("b") - F.col("a"), -F.col("a"))).alias("t")).where((F.col("t.b") - F.col("t.a")) / width >= least)
+    return best.select(page, (F.floor((F.col("t.a") + F.col("t.b")) / 2) / width).alias("center"), ((F.col("t.b") - F.col("t.a")) / width).alias("wide"))
+
+
+def edge_valley(edges: DataFrame, page: str, width: int, window: float = 0.03, ratio: float = 0.4) -> DataFrame:
+    """``page, two_columns``: whether sums of ``window`` of a profile (``page, x, edges``, every x) are in the middle fifth
+    somewhere less than ``ratio`` of the most in the left two fifths."""
+    win = max(1, int(width * window))
+    lo, hi = int(width * 0.4), int(width * 0.6) - win + 1
+    s = S.sliding_sum(edges, [page], "x", "edges", win)
+    x = F.col("x")
+    g = s.groupBy(page).agg(F.min(F.when((x >= lo) & (x < hi), F.col("total"))).alias("c"), F.max(F.when(x < lo, F.col("total"))).alias("l"))
+    return g.select(page, F.coalesce(F.col("c") / F.greatest("l", F.lit(1)) < ratio, F.lit(False)).alias("two_columns"))
+
+
+def slanted(segments: DataFrame, page: str, drawing: str, least: float = 10) -> DataFrame:
+    """``page, slanted``: drawings with a segment (``x0, y0, x1, y1``) that goes more than ``least`` both ways."""
+    diagonal = (F.abs(F.col("x1") - F.col("x0")) > least) & (F.abs(F.col("y1") - F.col("y0")) > least)
+    return segments.where(diagonal).groupBy(page).agg(F.countDistinct(drawing).alias("slanted"))
+
+
+def gridded(rules: DataFrame, page: str) -> DataFrame:
+    """``page, grid``: three rules across and one along make a grid (``rules``: ``page, across, at``)."""
+    return rules.groupBy(page).agg(((F.count_if(F.col("across")) >= 3) & (F.count_if(~F.col("across")) >= 1)).alias("grid"))
+
+
+def cells_of_rules(rules: DataFrame, page: str, width: float, height: float, least: tuple[float, float] = (0.08, 0.02)) -> DataFrame:
+    """``page, x0, y0, x1, y1``: the boxes between successive rules, if they are ``least`` of the page wide and high."""
+    w = Window.partitionBy(page, "across").orderBy("at")
+    gaps = rules.select(page, "across", "at", F.lead("at").over(w).alias("to")).where("to IS NOT NULL")
+    rows = gaps.where(F.col("across") & (F.col("to") - F.col("at") >= height * least[1])).select(page, F.col("at").alias("y0"), F.col("to").alias("y1"))
+    cols = gaps.where(~F.col("across") & (F.col("to") - F.col("at") >= width * least[0])).select(page, F.col("at").alias("x0"), F.col("to").alias("x1"))
+    return rows.join(cols, page).select(page, "x0", "y0", "x1", "y1")
+
+
 def layouts(pages: DataFrame, gutters: DataFrame, ratios: DataFrame, page: str) -> DataFrame:
     """``page, two_columns, gutter``: a gutter counts if 30 % of the lines end at it, or without lines if it is 1 % wide."""
     j = pages.select(page).join(gutters, page, "left").join(ratios, page, "left")

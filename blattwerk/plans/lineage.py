@@ -15,7 +15,8 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read again.
 
     The folder is the session's ``spark.checkpoint.dir``. Only a local session
-    without that setting (as in tests) gets a folder of its own.
+    without that setting (as in tests) gets a folder of its own. The files go when
+    nothing refers to the frame any more, so a long session does not fill the disk.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
@@ -26,6 +27,7 @@ def cut(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="blattwerk-")
         sc.setCheckpointDir(folder)
+    sc._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     return df.checkpoint(eager=True)
 
 

@@ -1,6 +1,6 @@
 """Registered queries of the core."""
 
-from blattwerk.queries import documents, history, joins, layout, lines, quality, review, tables, text  # noqa: F401
+from blattwerk.queries import documents, history, joins, layout, lines, parsing, quality, review, tables, text  # noqa: F401
 from blattwerk.queries.registry import ORACLE, QUERIES, Query
 
 

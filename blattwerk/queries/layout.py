@@ -37,6 +37,61 @@ register(
     lambda s, d: L.gutter(_profile(s, d), "block_id", 100).select("block_id", F.round("center", 6).alias("center"), F.round("wide", 6).alias("wide")),
     f"WITH {_GUTTER} SELECT block_id, round(center, 6) AS center, round(wide, 6) AS wide FROM gut",
 )
+register(
+    "single_valley",
+    lambda s, d: L.single_valley(_profile(s, d), "block_id", 100).select("block_id", F.round("center", 6).alias("center"), F.round("wide", 6).alias("wide")),
+    f"""WITH {_PROFILE}, ref AS (SELECT block_id, median(ink) AS ref FROM profile WHERE x >= 10 AND x < 90 GROUP BY block_id HAVING median(ink) > 0),
+low AS (SELECT block_id, x, x - row_number() OVER (PARTITION BY block_id ORDER BY x) AS g FROM profile JOIN ref USING (block_id) WHERE x >= 30 AND x < 70 AND ink < ref * 0.25),
+t AS (SELECT block_id, min(x) AS a, max(x) + 1 AS b FROM low GROUP BY block_id, g)
+SELECT block_id, round(((a + b) // 2) / 100, 6) AS center, round((b - a) / 100, 6) AS wide FROM (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY block_id ORDER BY b - a DESC, a) = 1) WHERE (b - a) / 100 >= 0.01""",
+)
+_EDGES = BOXED + ", m AS (SELECT block_id, unnest(range(100)) AS x FROM (SELECT DISTINCT block_id FROM boxed)), edges AS (SELECT m.block_id, m.x, count(b.seq) AS edges FROM m LEFT JOIN boxed b ON b.block_id = m.block_id AND b.x0 // 10 = m.x GROUP BY ALL)"
+
+
+def _edges(s: SparkSession, d: str) -> DataFrame:
+    """Beginnings of lines over each column of a hundred, those without any too."""
+    x = _lines(s, d)
+    every = x.select("block_id").distinct().select("block_id", F.explode(F.sequence(F.lit(0), F.lit(99))).alias("x"))
+    n = x.groupBy("block_id", F.floor(F.col("x0") / 10).cast("int").alias("x")).agg(F.count(F.lit(1)).alias("edges"))
+    return every.join(n, ["block_id", "x"], "left").withColumn("edges", F.coalesce("edges", F.lit(0)))
+
+
+register(
+    "edge_valley",
+    lambda s, d: L.edge_valley(_edges(s, d), "block_id", 100),
+    f"""WITH {_EDGES}, w AS (SELECT block_id, x, sum(edges) OVER (PARTITION BY block_id ORDER BY x ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS total FROM edges)
+SELECT block_id, coalesce(min(total) FILTER (x >= 40 AND x < 58) / greatest(max(total) FILTER (x < 40), 1) < 0.4, false) AS two_columns FROM w WHERE x <= 97 GROUP BY block_id""",
+)
+register(
+    "slanted_drawings",
+    # the stroke from the beginning of a line to the end of the next one; a drawing is the lines of a row
+    lambda s, d: L.slanted(_strokes(s, d), "block_id", "drawing"),
+    f"""WITH {BOXED}, s AS (SELECT block_id, y0 AS drawing, x0, y0, lead(x1) OVER w AS x1, lead(y1) OVER w AS y1 FROM boxed WINDOW w AS (PARTITION BY block_id ORDER BY seq))
+SELECT block_id, count(DISTINCT drawing) AS slanted FROM s WHERE abs(x1 - x0) > 10 AND abs(y1 - y0) > 10 GROUP BY block_id""",
+)
+
+
+def _strokes(s: SparkSession, d: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("block_id").orderBy("seq")
+    return _lines(s, d).select("block_id", F.col("y0").alias("drawing"), "x0", "y0", F.lead("x1").over(w).alias("x1"), F.lead("y1").over(w).alias("y1"))
+
+
+def _rules(s: SparkSession, d: str) -> DataFrame:
+    """A rule under every numbered line, and one along each edge at which lines begin."""
+    across = _boxes(s, d).select("block_id", F.lit(True).alias("across"), F.col("y1").cast("double").alias("at"))
+    return across.unionByName(_lines(s, d).select("block_id", F.lit(False).alias("across"), (F.floor(F.col("x0") / 100) * 100).cast("double").alias("at"))).distinct()
+
+
+_RULES = f"{BOXED}, rules AS (SELECT block_id, true AS across, CAST(y1 + 30 AS DOUBLE) AS place FROM boxed WHERE regexp_matches(text, '{NUMBERED}') UNION SELECT block_id, false, CAST(x0 // 100 * 100 AS DOUBLE) FROM boxed)"
+register("gridded_pages", lambda s, d: L.gridded(_rules(s, d), "block_id"), f"WITH {_RULES} SELECT block_id, count(*) FILTER (across) >= 3 AND count(*) FILTER (NOT across) >= 1 AS grid FROM rules GROUP BY block_id")
+register(
+    "cells_of_rules",
+    lambda s, d: L.cells_of_rules(_rules(s, d), "block_id", 1000.0, 1000.0),
+    f"""WITH {_RULES}, g AS (SELECT block_id, across, place, lead(place) OVER (PARTITION BY block_id, across ORDER BY place) AS upto FROM rules)
+SELECT r.block_id, c.place AS x0, r.place AS y0, c.upto AS x1, r.upto AS y1 FROM g r JOIN g c USING (block_id) WHERE r.across AND NOT c.across AND r.upto - r.place >= 20 AND c.upto - c.place >= 80""",
+)
 register(
     "layouts",
     lambda s, d: L.layouts(blocks(s, d).select("block_id"), L.gutter(_profile(s, d), "block_id", 100), S.edge_ratio(_lines(s, d), "block_id", F.lit(0.5)), "block_id"),

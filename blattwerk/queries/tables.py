@@ -110,7 +110,7 @@ register(
     f"""WITH {BLOCKS}, r AS (SELECT markdown AS a, regexp_replace(markdown, '(\\p{{L}})-\\n(\\p{{Ll}})', '\\1\\2', 'g') AS b FROM blocks WHERE markdown IS NOT NULL),
 w AS (SELECT a, b, list_sort(list_filter(string_split_regex(a, '[\\t\\n\\f\\r\\v ]+'), lambda x: x <> '')) AS wa, list_sort(list_filter(string_split_regex(b, '[\\t\\n\\f\\r\\v ]+'), lambda x: x <> '')) AS wb,
   list_sort(string_split(regexp_replace(a, '[\\t\\n\\f\\r\\v *#>|-]+', '', 'g'), '')) AS ca, list_sort(string_split(regexp_replace(b, '[\\t\\n\\f\\r\\v *#>|-]+', '', 'g'), '')) AS cb FROM r)
-SELECT CASE WHEN a = b THEN 'unchanged' WHEN wa = wb THEN 'reordered' WHEN ca = cb THEN 'hyphens resolved' ELSE 'changed' END AS change, count(*) AS n FROM w GROUP BY ALL""",
+SELECT CASE WHEN a = b THEN 'unchanged' WHEN len(list_filter(list_distinct(ca), lambda c: len(list_filter(ca, lambda x: x = c)) > len(list_filter(cb, lambda x: x = c)))) > 0 THEN 'lost' WHEN wa <> wb THEN 'hyphens resolved' ELSE 'reordered' END AS change, count(*) AS n FROM w GROUP BY ALL""",
 )
 register(
     "evicted_buffers",
@@ -150,3 +150,12 @@ register(
 SELECT block_id, CAST(len(regexp_extract_all(plain, '[\\p{{L}}\\p{{N}}_§€%]+')) AS INT) AS words, CAST(len(regexp_extract_all(markdown, '[^\\t\\n\\f\\r\\v ]+')) AS INT) AS tokens,
   CAST(len(regexp_extract_all(markdown, '(?:§{{1,2}}|Art\\.)[\\t\\n\\f\\r\\v ]*[0-9]+[a-z]?')) AS INT) AS citations FROM p""",
 )
+register(
+    "timing_totals",
+    # the parts of a run are a user's events of a day
+    lambda s, d: table(s, d, "events").groupBy("user_id", F.to_date("ts").cast("string").alias("day")).agg(
+        F.round(F.sum(F.when(F.col("event_type") == "view", F.col("value"))), 3).alias("prefill"), F.round(F.sum(F.when(F.col("event_type") != "view", F.col("value"))), 3).alias("decode"), F.count(F.lit(1)).alias("parts"), F.max("value").alias("peak")
+    ),
+    """SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, round(sum(value) FILTER (event_type = 'view'), 3) AS prefill, round(sum(value) FILTER (event_type <> 'view'), 3) AS decode, count(*) AS parts, max(value) AS peak FROM events GROUP BY ALL""",
+)
+register("named_citations", lambda s, d: blocks(s, d).select("block_id", F.explode(T.named_citations(F.col("markdown"))).alias("citation")).groupBy("block_id", "citation").agg(F.count(F.lit(1)).alias("n")))

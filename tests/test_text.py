@@ -118,3 +118,10 @@ def test_unique_correction(spark):
 def test_gate_of_null_and_empty_text(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "aB1 " * 60), (4, "gutes Wort " * 40)], "id int, t string")
     assert {r.id: r.passed for r in gate.garbage_gate(df, "id", "t").collect()} == {1: True, 2: True, 3: False, 4: True}
+
+
+def test_citations_with_their_statute(spark):
+    text = "Nach § 823 Abs. 1 BGB und §§ 946, 947 II BGB sowie Art. 14 GG, aber § 12 Eser und § 123 I Der; § 5a  Abs. 2  S. 1 StGB."
+    df = spark.createDataFrame([(text,), (None,)], "t string")
+    got = [r[0] for r in df.select(T.named_citations(F.col("t"))).collect()]
+    assert got == [["§ 823 Abs. 1 BGB", "§§ 946, 947 II BGB", "Art. 14 GG", "§ 12", "§ 123 I", "§ 5a Abs. 2 S. 1 StGB"], []]
