@@ -6,8 +6,11 @@ within the text. Two multinomials over these features are counted over the whole
 corpus: the *raw* one over all texts, the *trusted target* one over the texts
 without any later copy. The log-likelihood ratio of a text's features under the
 two, divided by their number, is about -|log share of later copies|: it is near
-zero for a text that says everything once and falls with every repetition. Texts
-below one fixed threshold are measured exactly.
+zero for a text that says everything once and falls with every repetition. One
+fixed threshold holds for every text.
+
+Texts are read once: what is kept of each is its features (two bytes an n-gram) and
+the exact share of its repeated words. The multinomials and the ratios come from these.
 """
 
 from __future__ import annotations
@@ -17,12 +20,13 @@ from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blattwerk.llm.furniture import LineModel, fit_on_sample, page_numbers, recurring_lines, with_recurring, without_recurring
 from blattwerk.llm.textkernel import Tokens, slices, tokens
-from blattwerk.plans import spread
+from blattwerk.plans import cut, spread
 
 #: Words of a hashed n-gram; buckets of n-grams. The feature space has twice as many.
 GRAM, BUCKETS = 4, 1 << 12
@@ -96,28 +100,57 @@ def _stamped(batch: pa.RecordBatch, column: int) -> list:
     return batch.column(column).to_pylist() if batch.num_columns > column else [None] * batch.num_rows
 
 
-def _counter(model: LineModel | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _measure(model: LineModel | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, 2 * BUCKETS), np.int64)
         for batch in batches:
-            texts, stamped = _texts(batch, 0), _stamped(batch, 1)
+            ids, texts, stamped = batch.column(0), _texts(batch, 1), _stamped(batch, 2)
             for a, b in slices(texts):
-                f, text, later = _features(own_tokens(texts[a:b], model, stamped[a:b]))
-                trusted = np.bincount(text[later], minlength=b - a)[: b - a] == 0
-                total[1] += np.bincount(f, minlength=2 * BUCKETS)
-                total[0] += np.bincount(f[trusted[text]], minlength=2 * BUCKETS)
-        some = np.flatnonzero(total[1])
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[0][some]), pa.array(total[1][some])], ["feature", "target", "raw"])
+                t = own_tokens(texts[a:b], model, stamped[a:b])
+                f, text, later = _features(t)
+                ends = np.cumsum(np.bincount(text, minlength=b - a)[: b - a], dtype=np.int64)
+                # a repeated passage holds later copies of shorter n-grams, so a text without any has share 0
+                hit = np.bincount(text[later], minlength=b - a)[: b - a] > 0
+                t = only_words(t, hit[t.block])
+                words = np.bincount(t.block, minlength=b - a)[: b - a]
+                again = np.bincount(t.block[repeated_words(t)], minlength=b - a)[: b - a]
+                share = np.where(hit, again / np.maximum(words, 1), 0.0)
+                offsets = pa.py_buffer(np.append(0, 2 * ends).astype(np.int64).tobytes())
+                features = pa.Array.from_buffers(pa.large_binary(), b - a, [None, offsets, pa.py_buffer(f.astype("<u2").tobytes())]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), features, pa.array(share)], ["id", "features", "repeated_share"])
 
     return run
 
 
-def log_ratios(texts: DataFrame, model: LineModel | None) -> np.ndarray:
-    """ln(target/raw) of each feature, counted over all rows of ``texts`` (a column of text, and one of the keys of stamped lines if there is one).
+def measured(texts: DataFrame, model: LineModel | None) -> DataFrame:
+    """``id, features, repeated_share`` of each row of ``texts`` (an id, a text, and the keys of stamped lines if there are any)."""
+    return cut(texts.mapInArrow(_measure(model), "id bigint, features binary, repeated_share double"))
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The features of a batch of texts, and the number of each text."""
+    offsets = np.append(0, np.cumsum(pa.compute.binary_length(column).to_numpy(zero_copy_only=False)))
+    f = np.frombuffer(b"".join(column.to_pylist()), "<u2").astype(np.int64)
+    return f, np.diff(offsets) // 2
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros((2, 2 * BUCKETS), np.int64)
+    for batch in batches:
+        f, n = _unpacked(batch.column(0))
+        text = np.repeat(np.arange(len(n)), n)
+        trusted = np.bincount(text[f >= BUCKETS], minlength=len(n)) == 0
+        total[1] += np.bincount(f, minlength=2 * BUCKETS)
+        total[0] += np.bincount(f[trusted[text]], minlength=2 * BUCKETS)
+    some = np.flatnonzero(total[1])
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[0][some]), pa.array(total[1][some])], ["feature", "target", "raw"])
+
+
+def log_ratios(features: DataFrame) -> np.ndarray:
+    """ln(target/raw) of each feature, counted over all rows of ``features`` (one column, as :func:`measured` gives it).
 
     Each task returns at most ``2 * BUCKETS`` sums, and so does the whole: its size is fixed.
     """
-    counted = texts.mapInArrow(_counter(model), "feature bigint, target bigint, raw bigint")
+    counted = features.mapInArrow(_count, "feature bigint, target bigint, raw bigint")
     counts = np.zeros((2, 2 * BUCKETS))
     for r in counted.groupBy("feature").agg(F.sum("target").alias("t"), F.sum("raw").alias("r")).collect():
         counts[:, r["feature"]] = r["t"], r["r"]
@@ -135,25 +168,13 @@ def threshold(ratios: np.ndarray) -> float:
     return float(LATER_SHARE * later.max() + (1 - LATER_SHARE) * first.max())
 
 
-def _scorer(model: LineModel | None, ratios: np.ndarray, at_most: float, all_rows: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _scorer(ratios: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, stamped = batch.column(0), _texts(batch, 1), _stamped(batch, 2)
-            for a, b in slices(texts):
-                t = own_tokens(texts[a:b], model, stamped[a:b])
-                f, text, later = _features(t)
-                n = np.bincount(text, minlength=b - a)[: b - a]
-                llr = np.bincount(text, weights=ratios[f], minlength=b - a)[: b - a] / np.maximum(n, 1)
-                # a repeated passage holds later copies of shorter n-grams, so a text without any has share 0
-                hit = np.bincount(text[later], minlength=b - a)[: b - a] > 0 if all_rows else (n > 0) & (llr <= at_most)
-                t = only_words(t, hit[t.block])
-                words = np.bincount(t.block, minlength=b - a)[: b - a]
-                again = np.bincount(t.block[repeated_words(t)], minlength=b - a)[: b - a]
-                share = np.where(hit, again / np.maximum(words, 1), 0.0)
-                rows = np.arange(b - a) if all_rows else np.flatnonzero(hit)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a).take(pa.array(rows)), pa.array(llr[rows]), pa.array(share[rows])], ["id", "llr", "repeated_share"]
-                )
+            f, n = _unpacked(batch.column(1))
+            text = np.repeat(np.arange(len(n)), n)
+            llr = np.bincount(text, weights=ratios[f], minlength=len(n)) / np.maximum(n, 1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(llr), batch.column(2)], ["id", "llr", "repeated_share"])
 
     return run
 
@@ -173,8 +194,11 @@ def repetition(texts: DataFrame, id_col: str, text_col: str, model: LineModel |
     rows = spread(rows)
     if recurring is not None:
         rows = with_recurring(rows, recurring, "name")
-    ratios = log_ratios(rows.drop("id"), model)
-    return rows.mapInArrow(_scorer(model, ratios, threshold(ratios), all_rows), "id bigint, llr double, repeated_share double")
+    known = measured(rows, model)
+    ratios = log_ratios(known.select("features"))
+    scored = known.mapInArrow(_scorer(ratios), "id bigint, llr double, repeated_share double")
+    # a text without n-grams is no case whatever the threshold
+    return scored if all_rows else scored.where((F.col("llr") < 0) & (F.col("llr") <= threshold(ratios)))
 
 
 def block_repetition(blocks: DataFrame, all_rows: bool = True) -> DataFrame:
