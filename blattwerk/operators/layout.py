@@ -1,12 +1,11 @@
 """Columns, boxes, tables and reading order of pages.
 
 Positions are whole numbers from 0 to 1000 unless said otherwise. What is a matter of sets and windows is
-DataFrame operations; what moves rows one after the other is a fold over one page, in Arrow batches of pages.
+DataFrame operations; the one choice that hangs on all before it (:func:`distinct_boxes`) is a fold over one page.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -18,6 +17,7 @@ from blattwerk.functions import text as T
 from blattwerk.operators import joins as J
 from blattwerk.operators import outline
 from blattwerk.operators import sequences as S
+from blattwerk.plans import cut
 
 # A gutter lies in the middle 40 %, is 1.5 % wide (gaps of 1 % do not part it), holds less than 35 %
 # of the reference ink (the 60th percentile of the inner 80 %), and the 5 % beside it more.
@@ -181,19 +181,21 @@ def distinct_boxes(boxes: DataFrame, page: str, close: int = 6) -> DataFrame:
 
 
 def stacked_boxes(boxes: DataFrame, page: str, across: int = 4, gap: int = 5) -> DataFrame:
-    """``page, x0, y0, x1, y1``: boxes of equal width that follow on one another made one."""
+    """``page, x0, y0, x1, y1``: boxes of the width of the first one that follow on one another made one."""
+    w = Window.partitionBy(page).orderBy("x0", "x1", "y0", "y1", "_row")
+    x = boxes.select(page, "x0", "y0", "x1", "y1", F.monotonically_increasing_id().alias("_row"))
+    x = cut(x.withColumn("begins", F.lag("x0").over(w).isNull()))
 
-    def fold(rows: list[dict]) -> list[tuple]:
-        out: list[list] = []
-        for r in rows:
-            v = out[-1] if out else None
-            if v and abs(v[0] - r["x0"]) <= across and abs(v[2] - r["x1"]) <= across and r["y0"] - v[3] <= gap:
-                v[1], v[3] = min(v[1], r["y0"]), max(v[3], r["y1"])
-            else:
-                out.append([r["x0"], r["y0"], r["x1"], r["y1"]])
-        return [tuple(v) for v in out]
+    def step(y: DataFrame) -> DataFrame:
+        y = y.withColumn("_g", F.sum(F.col("begins").cast("int")).over(w))
+        y = y.withColumn("_f", F.struct(F.first("x0").over(w.partitionBy(page, "_g")).alias("x0"), F.first("x1").over(w.partitionBy(page, "_g")).alias("x1"), F.max("y1").over(w.partitionBy(page, "_g")).alias("y1")))
+        before = F.lag("_f").over(w)
+        fits = (F.abs(before["x0"] - F.col("x0")) <= across) & (F.abs(before["x1"] - F.col("x1")) <= across) & (F.col("y0") - before["y1"] <= gap)
+        return y.withColumn("begins", ~F.coalesce(fits, F.lit(False))).drop("_g", "_f")
 
-    return per_page(boxes, page, ["x0", "y0", "x1", "y1"], ["x0", "x1", "y0"], fold, "x0 int, y0 int, x1 int, y1 int")
+    done = S.settled(x, page, step).withColumn("_g", F.sum(F.col("begins").cast("int")).over(w))
+    first = lambda c: F.min_by(c, F.struct("x0", "x1", "y0", "y1", "_row")).alias(c)
+    return done.groupBy(page, "_g").agg(first("x0"), F.min("y0").alias("y0"), first("x1"), F.max("y1").alias("y1")).drop("_g")
 
 
 def detected_boxes(boxes: DataFrame, lines: DataFrame, frames: DataFrame, page: str, slanted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -313,41 +315,50 @@ def answer_tables(lines: DataFrame, page: str, tolerance: int = 3) -> DataFrame:
 
 # --- lines that move ------------------------------------------------------------------
 
-_ALONE = re.compile(r"^(?:\*\*)?\s*(?:[-•·▪○●⇒⇨→➢✔o]|\(?\d{1,2}[.)]|\(?[a-z]{1,3}\)|[IVXL]{1,5}\.)\s*(?:\*\*)?$")
+# List marks that stand alone.
+ALONE = r"^(?:\*\*)?\s*(?:[-•·▪○●⇒⇨→➢✔o]|\(?\d{1,2}[.)]|\(?[a-z]{1,3}\)|[IVXL]{1,5}\.)\s*(?:\*\*)?$"
 # A number alone, and what the text of a note begins with.
 NOTE_NUMBER, NOTE_TEXT = r"^\**\s*(\d{1,2})\s*\**$", r"^\**\s*[A-ZÄÖÜ„»§]"
-_LINE = "text string, x0 double, y0 double, x1 double, y1 double"
-
 
 def joined_fragments(lines: DataFrame, page: str, width: float, gap: float = 0.15, most: float = 60.0) -> DataFrame:
     """``page, i, text, x0, y0, x1, y1``: list marks that stand alone joined with what follows on their baseline.
 
-    Lines that overlap by half the lesser height stand on one baseline, whose hull grows with them.
+    Lines that overlap by half the lesser height stand on one baseline, whose hull grows with them. In the order of
+    beginnings, the lower end of the hull is the lowest end so far, so only its upper end hangs on where a band began.
     """
     reach = min(gap * width, most)
-
-    def fold(rows: list[dict]) -> list[tuple]:
-        bands: list[dict] = []
-        for r in rows:
-            b = bands[-1] if bands else None
-            if b and min(b["y1"], r["y1"]) - max(b["y0"], r["y0"]) > 0.5 * (min(b["y1"] - b["y0"], r["y1"] - r["y0"]) or 1):
-                b["rows"].append(r)
-                b["y0"], b["y1"] = min(b["y0"], r["y0"]), max(b["y1"], r["y1"])
-            else:
-                bands.append({"y0": r["y0"], "y1": r["y1"], "rows": [r]})
-        out: list[list] = []
-        for b in bands:
-            last = None
-            for r in sorted(b["rows"], key=lambda r: r["x0"]):
-                if last and _ALONE.match(last[0].strip()) and 0 <= r["x0"] - last[3] < reach:
-                    last[0] = re.sub(r"\*\*(\s*)\*\*", r"\1", f"{last[0].rstrip()} {r['text'].lstrip()}")
-                    last[2], last[3], last[4] = min(last[2], r["y0"]), r["x1"], max(last[4], r["y1"])
-                else:
-                    last = [r["text"], r["x0"], r["y0"], r["x1"], r["y1"]]
-                    out.append(last)
-        return [(i, v[0], *map(float, v[1:])) for i, v in enumerate(out)]
-
-    return per_page(lines, page, ["text", "x0", "y0", "x1", "y1"], ["y0", "seq"], fold, f"i int, {_LINE}")
+    down = Window.partitionBy(page).orderBy("y0", "seq")
+    x = lines.select(page, "seq", "text", *[F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")])
+    x = x.withColumn("_low", F.max("y1").over(down.rowsBetween(Window.unboundedPreceding, -1))).withColumn("begins", F.col("_low").isNull() | (F.col("_low") <= F.col("y0")))
+
+    def step(b: DataFrame) -> DataFrame:
+        b = b.withColumn("_top", F.last(F.when(F.col("begins"), F.col("y0")), ignorenulls=True).over(down))
+        lesser = F.least(F.col("_low") - F.lag("_top").over(down), F.col("y1") - F.col("y0"))
+        shared = F.least("_low", "y1") - F.col("y0") > 0.5 * F.when(lesser == 0, 1.0).otherwise(lesser)
+        return b.withColumn("begins", F.col("_low").isNull() | ~F.coalesce(shared, F.lit(False))).drop("_top")
+
+    x = S.settled(x, page, step).withColumn("_band", F.sum(F.col("begins").cast("int")).over(down))
+    across = Window.partitionBy(page, "_band").orderBy("x0", "y0", "seq")
+    then = F.struct("text", "x0", "y0", "x1", "y1")
+    x = x.withColumn("_next", F.lead(then).over(across))
+    room = F.col("_next.x0") - F.col("x1")
+    x = x.withColumn("_open", F.coalesce(F.trim("text").rlike(ALONE) & (room >= 0) & (room < reach), F.lit(False)))
+    # of marks in a row the first takes the second, the third the fourth
+    x = x.withColumn("_run", F.sum((~F.col("_open")).cast("int")).over(across.rowsBetween(Window.unboundedPreceding, -1)))
+    x = x.withColumn("_odd", F.row_number().over(Window.partitionBy(page, "_band", F.coalesce("_run", F.lit(0))).orderBy("x0", "y0", "seq")) % 2 == 1)
+    x = x.withColumn("_pair", F.col("_open") & F.col("_odd")).withColumn("_gone", F.coalesce(F.lag("_pair").over(across), F.lit(False))).where("NOT _gone")
+    joined = F.regexp_replace(F.concat(F.rtrim("text"), F.lit(" "), F.ltrim(F.col("_next.text"))), r"\*\*(\s*)\*\*", "$1")
+    pair = lambda a, b: F.when(F.col("_pair"), b).otherwise(a)
+    order = Window.partitionBy(page).orderBy("_band", "x0", "y0", "seq")
+    return x.select(
+        page,
+        (F.row_number().over(order) - 1).alias("i"),
+        pair(F.col("text"), joined).alias("text"),
+        "x0",
+        pair(F.col("y0"), F.least("y0", "_next.y0")).alias("y0"),
+        pair(F.col("x1"), F.col("_next.x1")).alias("x1"),
+        pair(F.col("y1"), F.greatest("y1", "_next.y1")).alias("y1"),
+    )
 
 
 def numbered_notes(lines: DataFrame, page: str, foot: int = 900, near: int = 40) -> DataFrame:

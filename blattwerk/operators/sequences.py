@@ -5,12 +5,13 @@ All windows are bounded by one page, so no partition grows with the corpus.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from blattwerk.functions.text import NO_JOIN
+from blattwerk.plans import cut
 
 
 def pitch(lines: DataFrame, page: str, y: str, order: str, least: int = 0, most: int = 200) -> DataFrame:
@@ -187,3 +188,24 @@ def joined_lines(lines: DataFrame, keys: Sequence[str], order: Sequence[str], te
 def parted(before: Column, after: Column) -> Column:
     """Whether a word goes on from one line to the next: a hyphen, and a small letter that begins no conjunction."""
     return before.endswith("-") & after.rlike(r"^\p{Ll}") & ~after.rlike(rf"^(?:{NO_JOIN})\b")
+
+
+def settled(x: DataFrame, page: str, step: Callable[[DataFrame], DataFrame], rounds: int = 2) -> DataFrame:
+    """``x`` with its flag ``begins`` (the rows at which a group begins) settled by ``step``.
+
+    A boundary may depend on where the group before it began. ``step`` gives all flags anew from those that are there; each
+    round makes at least the next row of a page right, so it ends. Nearly all pages are settled after ``rounds`` rounds, and
+    only those that are not go on.
+    """
+    done = None
+    while True:
+        for _ in range(rounds):
+            x = step(x.withColumn("_was", F.col("begins")))
+        x = cut(x)
+        open_ = x.where(~F.col("begins").eqNullSafe(F.col("_was"))).select(page).distinct()
+        ready = open_.isEmpty()
+        part = (x if ready else x.join(open_, page, "left_anti")).drop("_was")
+        done = part if done is None else done.unionByName(part)
+        if ready:
+            return done
+        x = x.join(open_, page, "left_semi").drop("_was")

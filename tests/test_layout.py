@@ -131,3 +131,61 @@ def test_failing_rows_are_tried_again(spark):
     got = L.retried(work, attempt, F.col("p") > 1, "id", "p")
     assert sorted(tuple(r) for r in got.collect()) == [(1, 0, 0.0), (2, 1, 0.0), (3, 0, 5.0)]
     assert seen == [[1, 2, 3], [2, 3]]
+
+
+def _bands(rows, reach):
+    """Lines on one baseline, one after the other, and marks joined from left to right."""
+    bands = []
+    for t, x0, y0, x1, y1 in sorted(rows, key=lambda r: r[2]):
+        last = bands[-1] if bands else None
+        if last and min(max(r[4] for r in last), y1) - y0 > 0.5 * (min(max(r[4] for r in last) - min(r[2] for r in last), y1 - y0) or 1):
+            last.append((t, x0, y0, x1, y1))
+        else:
+            bands.append([(t, x0, y0, x1, y1)])
+    out = []
+    for b in bands:
+        b = sorted(b, key=lambda r: (r[1], r[2]))
+        while b:
+            r = b.pop(0)
+            if b and r[0] in ("1.", "a)", "-") and 0 <= b[0][1] - r[3] < reach:
+                n = b.pop(0)
+                r = (f"{r[0]} {n[0]}", r[1], min(r[2], n[2]), n[3], max(r[4], n[4]))
+            out.append(r)
+    return out
+
+
+def test_marks_and_bands_equal_a_walk(spark):
+    rng = random.Random(8)
+    pages = {}
+    for p in range(40):
+        rows, seen = [], set()
+        for _ in range(25):
+            x0, y0 = rng.randrange(0, 300), rng.randrange(0, 150)
+            if (x0, y0) not in seen and y0 not in {y for _, y in seen}:
+                seen.add((x0, y0))
+                rows.append((rng.choice(["1.", "a)", "-", "Text", "Wort"]), x0, y0, x0 + rng.randrange(5, 80), y0 + rng.randrange(1, 20)))
+        pages[p] = rows
+    df = spark.createDataFrame([(p, i, *r) for p, rows in pages.items() for i, r in enumerate(rows)], "page int, seq int, text string, x0 int, y0 int, x1 int, y1 int")
+    got = {}
+    for r in L.joined_fragments(df, "page", 1000.0).orderBy("page", "i").collect():
+        got.setdefault(r.page, []).append((r.text, r.x0, r.y0, r.x1, r.y1))
+    assert got == {p: _bands(rows, 60) for p, rows in pages.items()}
+
+
+def test_stacked_boxes_equal_a_walk(spark):
+    rng = random.Random(9)
+    pages = {p: [(rng.choice([0, 2, 4, 6, 9]), y := rng.randrange(0, 200), 100 + rng.choice([0, 3, 6]), y + rng.randrange(5, 30)) for _ in range(20)] for p in range(40)}
+    want = {}
+    for p, rows in pages.items():
+        out = []
+        for x0, y0, x1, y1 in sorted(rows, key=lambda r: (r[0], r[2], r[1], r[3])):
+            if out and abs(out[-1][0] - x0) <= 4 and abs(out[-1][2] - x1) <= 4 and y0 - out[-1][3] <= 5:
+                out[-1] = (out[-1][0], min(out[-1][1], y0), out[-1][2], max(out[-1][3], y1))
+            else:
+                out.append((x0, y0, x1, y1))
+        want[p] = sorted(out)
+    df = spark.createDataFrame([(p, *r) for p, rows in pages.items() for r in rows], "page int, x0 int, y0 int, x1 int, y1 int")
+    got = {}
+    for r in L.stacked_boxes(df, "page").collect():
+        got.setdefault(r.page, []).append((r.x0, r.y0, r.x1, r.y1))
+    assert {p: sorted(v) for p, v in got.items()} == want
