@@ -63,11 +63,11 @@ def seam_key(c: Column) -> Column:
 
 
 def without_bold(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, r"\*\*", ""))
+    return F.trim(F.replace(c, F.lit("**"), F.lit("")))
 
 
 def only_bold(c: Column) -> Column:
-    return (F.trim(c) != "") & (F.trim(F.regexp_replace(c, r"(?s)\*\*.*?\*\*", "")) == "")
+    return c.contains("**") & (F.trim(F.regexp_replace(c, r"(?s)\*\*.*?\*\*", "")) == "")
 
 
 def balance_bold(c: Column) -> Column:

@@ -377,12 +377,21 @@ def numbered_notes(lines: DataFrame, page: str, foot: int = 900, near: int = 40)
 def margin_labels_first(lines: DataFrame, page: str, out_by: int = 25, reach: int = 8, least: int = 4, gap: float = 1.6) -> DataFrame:
     """``lines`` with ``ord``, in whose order labels in the margin stand before the block they belong to.
 
-    A label stands ``out_by`` left of the median beginning of the lines about it. The other lines are parted into blocks:
+    Only pages with a label are looked at further. A label stands ``out_by`` left of the median beginning of the lines about it. The other lines are parted into blocks:
     a list item and a line without a place stand by themselves, and a gap parts. A label goes to the beginning of the
     block that it follows, behind the last line of it that stands out as well.
     """
     w = Window.partitionBy(page).orderBy("seq")
-    x = S.neighbour_median(lines, page, "x0", "seq", reach, least, "_body").join(S.pitch(lines, page, "y0", "seq"), page, "left")
+    labelled = F.max(F.coalesce(outline.margin_label(F.col("text")), F.lit(False))).over(Window.partitionBy(page))
+    told = lines.withColumn("_labelled", labelled)
+    plain = told.where("NOT _labelled").select(*lines.columns, F.row_number().over(w).alias("ord"))
+    lines = told.where("_labelled").drop("_labelled")
+    return plain.unionByName(_labels_first(lines, page, out_by, reach, least, gap))
+
+
+def _labels_first(lines: DataFrame, page: str, out_by: int, reach: int, least: int, gap: float) -> DataFrame:
+    w = Window.partitionBy(page).orderBy("seq")
+    x = S.with_pitch(S.neighbour_median(lines, page, "x0", "seq", reach, least, "_body"), page, "y0", "seq")
     x = x.withColumns({"_at": F.row_number().over(w), "_n": F.count(F.lit(1)).over(Window.partitionBy(page))})
     out = outline.margin_label(F.col("text")) & (F.col("x0") <= F.col("_body") - out_by) & F.col("pitch").isNotNull() & (F.col("_n") >= 4) & (F.col("_at") > 1)
     x = x.withColumn("_out", F.coalesce(out, F.lit(False)))

@@ -20,6 +20,9 @@ LEVELS = (
 ENUMERATION = r"^\s*(?:[-•·▪○●⇒⇨→➢✔]|\(?\d{1,2}[.)]|[a-z]{1,3}[.)]|[IVXL]{1,5}\.)(?:\s|$)"
 LABELS = "Anmerkung|Hinweis|Merksatz|Merke|Ergebnis|Beachte|Achtung|Exkurs|Vertiefung|Klausurtipp|Zwischenergebnis|Beispiele|Beispiel|Definition"
 LONGEST_HEADING = 90
+# One cheap test each that every line with an outline mark or list mark passes, bold or not; most lines stop there.
+_MAY_LEVEL = r"^[\s*(]*[0-9A-Za-z*]{1,8}[.)]"
+_MAY_ITEM = r"^[\s*]*(?:[-•·▪○●⇒⇨→➢✔]|\(?[\s*]*[0-9a-zIVXL*]{1,8}[.)])"
 
 
 def _bare(c: Column) -> Column:
@@ -27,11 +30,11 @@ def _bare(c: Column) -> Column:
 
 
 def enumeration(c: Column) -> Column:
-    return _bare(c).rlike(ENUMERATION)
+    return c.rlike(_MAY_ITEM) & _bare(c).rlike(ENUMERATION)
 
 
 def keyword(c: Column) -> Column:
-    return _bare(c).rlike(rf"(?i)^(?:{LABELS})\s*:")
+    return c.contains(":") & _bare(c).rlike(rf"(?i)^(?:{LABELS})\s*:")
 
 
 def margin_label(c: Column) -> Column:
@@ -45,7 +48,7 @@ def level(c: Column) -> Column:
     for pattern, n in reversed(LEVELS):
         rest = F.regexp_replace(F.regexp_replace(bare, pattern, ""), r"^\s+", "")
         out = F.when(bare.rlike(pattern), F.when(~rest.rlike(r"^[A-Za-zÄÖÜ]{1,2}\."), F.lit(n))).otherwise(out)
-    return out
+    return F.when(c.rlike(_MAY_LEVEL), out)
 
 
 def heading(c: Column) -> Column:

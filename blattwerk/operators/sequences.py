@@ -21,6 +21,15 @@ def pitch(lines: DataFrame, page: str, y: str, order: str, least: int = 0, most:
     return d.groupBy(page).agg(F.median("_d").alias("pitch"))
 
 
+def with_pitch(lines: DataFrame, page: str, y: str, order: str, least: int = 0, most: int = 200) -> DataFrame:
+    """``lines`` with the ``pitch`` of their page (see :func:`pitch`), without a join."""
+    placed = F.col(y).isNotNull()
+    x = lines.withColumn("_placed", placed)
+    d = F.lead(y).over(Window.partitionBy(page, "_placed").orderBy(order)) - F.col(y)
+    x = x.withColumn("_d", F.when(placed & (d > least) & (d < most), d))
+    return x.withColumn("pitch", F.median("_d").over(Window.partitionBy(page))).drop("_placed", "_d")
+
+
 def neighbour_median(lines: DataFrame, page: str, value: str, order: str, reach: int = 8, least: int = 4, out: str = "body") -> DataFrame:
     """``lines`` with the median of ``value`` over the ``reach`` rows before and after, without the row's own;
     null with fewer than ``least`` neighbours."""
