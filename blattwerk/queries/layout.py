@@ -11,6 +11,7 @@ from blattwerk.queries.joins import _BOX, BEGINNING, NUMBERED, SECTIONED, _boxes
 from blattwerk.queries.lines import BOXED
 from blattwerk.queries.quality import LINES
 from blattwerk.queries.registry import register
+from blattwerk.queries.text import clean_sql
 from blattwerk.sources.pages import blocks, boxed, lines_of
 
 
@@ -158,7 +159,27 @@ t AS (SELECT block_id, list(line ORDER BY row) AS ls, max(wide) AS w FROM l GROU
 SELECT block_id, ls[1] || chr(10) || '|' || repeat(' --- |', CAST(w AS INT)) || chr(10) || array_to_string(ls[2:], chr(10)) AS markdown FROM t""",
 )
 register("answer_tables", lambda s, d: L.answer_tables(_boxed(s, d).withColumn("side", F.when(F.col("x0") < 500, "l").otherwise("r")), "block_id"))
-register("joined_fragments", lambda s, d: L.joined_fragments(_boxed(s, d), "block_id", 1000.0))
+register(
+    "joined_fragments",
+    lambda s, d: L.joined_fragments(_boxed(s, d), "block_id", 1000.0),
+    # rows do not overlap here and the columns stand far apart, so what must come out is the order
+    f"""WITH {BOXED} SELECT block_id, CAST(row_number() OVER (PARTITION BY block_id ORDER BY y0, x0, seq) - 1 AS INT) AS i, text, x0::DOUBLE AS x0, y0::DOUBLE AS y0, x1::DOUBLE AS x1, y1::DOUBLE AS y1 FROM boxed""",
+)
+
+
+def _spans(s: SparkSession, d: str) -> DataFrame:
+    """Every line as one span, bold if it has a number, upright if it has the sign of a section."""
+    flags = F.when(F.col("text").rlike(NUMBERED), 16).otherwise(0)
+    return _boxed(s, d).select("block_id", F.col("seq").alias("line"), F.lit(0).alias("span"), "text", F.lit("Times").alias("font"), flags.alias("flags"), F.col("text").rlike(SECTIONED).alias("upright"), "x0", "y0", "x1", "y1")
+
+
+register(
+    "text_lines",
+    lambda s, d: L.text_lines(_spans(s, d), "block_id", width=1000.0, height=1000.0),
+    f"""WITH {BOXED}, c AS (SELECT block_id, seq, x0, y0, x1, y1, regexp_matches(text, '{SECTIONED}') AS up, regexp_matches(text, '{NUMBERED}') AS bold, {clean_sql()} AS t FROM boxed),
+l AS (SELECT *, trim(CASE WHEN bold AND trim(t) <> '' THEN regexp_extract(t, '^([\\t\\n\\f\\r\\v ]*)', 1) || '**' || trim(t) || '**' ELSE t END) AS text FROM c)
+SELECT block_id, CAST(row_number() OVER (PARTITION BY block_id ORDER BY up, CASE WHEN up THEN 0 ELSE y0 END, CASE WHEN up THEN seq ELSE x0 END, seq) - 1 AS INT) AS seq, text, x0, y0, x1, y1, CAST(NULL AS VARCHAR) AS marker FROM l WHERE text <> ''""",
+)
 register(
     "numbered_notes",
     lambda s, d: L.numbered_notes(_boxed(s, d).withColumns({"y0": F.col("y0") + 600, "y1": F.col("y1") + 600}), "block_id"),

@@ -206,7 +206,7 @@ SELECT block_id, CAST(seq AS INT) AS seq, item, item OR ({_ONE} AND {_SHORT}) AS
 )
 
 
-def _clean_sql() -> str:
+def clean_sql() -> str:
     """The steps of a cleaned line; what Java looks ahead for is taken along and put back."""
     c = "translate(text, '" + "".join(T.PRIVATE_GLYPHS) + "', '" + "".join(T.PRIVATE_GLYPHS.values()) + "')"
     c = f"regexp_replace({c}, '[\ue000-\uf8ff]', '▪', 'g')"
@@ -221,7 +221,7 @@ def _clean_sql() -> str:
     return c
 
 
-register("clean_lines", lambda s, d: lines_of(blocks(s, d)).select("block_id", "seq", T.clean_line(F.col("text")).alias("clean")), f"WITH {LINES} SELECT block_id, CAST(seq AS INT) AS seq, {_clean_sql()} AS clean FROM lines")
+register("clean_lines", lambda s, d: lines_of(blocks(s, d)).select("block_id", "seq", T.clean_line(F.col("text")).alias("clean")), f"WITH {LINES} SELECT block_id, CAST(seq AS INT) AS seq, {clean_sql()} AS clean FROM lines")
 _RE2 = lambda patterns: "(?:" + "|".join(p if p.startswith("(?i)") is False else f"(?i:{p[4:]})" for p in patterns).replace(r"\s", _SP).replace(r"\d", "[0-9]") + ")"
 register(
     "boilerplate_lines",

@@ -189,3 +189,16 @@ def test_stacked_boxes_equal_a_walk(spark):
     for r in L.stacked_boxes(df, "page").collect():
         got.setdefault(r.page, []).append((r.x0, r.y0, r.x1, r.y1))
     assert {p: sorted(v) for p, v in got.items()} == want
+
+
+def test_lines_of_a_text_layer(spark):
+    rows = [
+        (1, 0, 0, "Der", "Times", 0, False, 60.0, 100.0, 300.0, 112.0), (1, 0, 1, " Kläger ", "Times-Bold", 0, False, 60.0, 100.0, 300.0, 112.0), (1, 0, 2, " siegt", "Times", 16, False, 60.0, 100.0, 300.0, 112.0),
+        (1, 1, 0, "o", "Courier", 0, False, 60.0, 130.0, 66.0, 142.0), (1, 2, 0, "Punkt", "Times", 0, False, 80.0, 130.0, 200.0, 142.0),
+        (1, 3, 0, "in der Tabelle", "Times", 0, False, 100.0, 410.0, 200.0, 422.0), (1, 4, 0, "Rand", "Times", 0, True, 10.0, 50.0, 20.0, 200.0), (1, 5, 0, "  ", "Times", 16, False, 60.0, 300.0, 61.0, 312.0), (1, 6, 0, None, None, None, None, 1.0, 1.0, 1.0, 1.0),
+    ]
+    spans = spark.createDataFrame(rows, "page int, line int, span int, text string, font string, flags int, upright boolean, x0 double, y0 double, x1 double, y1 double")
+    tables = spark.createDataFrame([(1, "| a | b |", 90.0, 400.0, 500.0, 500.0)], "page int, markdown string, x0 double, y0 double, x1 double, y1 double")
+    got = [(r.text, r.marker, r.x0, r.y0) for r in L.text_lines(spans, "page", tables).orderBy("seq").collect()]
+    assert got == [("| a | b |", "tabelle", 151, 475), ("Der **Kläger** **siegt**", None, 100, 118), ("- Punkt", None, 100, 154), ("Rand", None, 16, 59)]
+    assert L.text_lines(spans.where("false"), "page").count() == 0
