@@ -106,3 +106,23 @@ def document_shares(documents: DataFrame, targets: DataFrame, vocab: DataFrame,
     sizes = cut(token_sizes(documents, tokenizer, vocab))
     each = [shares(sizes, targets, t).withColumn("total", F.lit(t)) for t in (FITTING, HELD)]
     return each[0].unionByName(each[1])
+
+
+def faults(sizes: DataFrame, targets: DataFrame, mixed: DataFrame) -> DataFrame:
+    """``mix_name, source, strangers, beyond, uneven`` of each target: documents that are not of the source, that are used more
+    often than it allows, and whether a document is used twice or more often than another (complete epochs come first)."""
+    own = sizes.where("tokens > 0").groupBy("doc_id", "source").agg(F.count(F.lit(1)).alias("times"))
+    wanted = source_budgets(sizes, targets).select("mix_name", "source", "max_repeats")
+    used = mixed.groupBy("mix_name", "source", "doc_id").agg(F.max("copies").alias("copies")).join(wanted, ["mix_name", "source"]).join(own, ["doc_id", "source"], "left")
+    held = own.groupBy("source").agg(F.count(F.lit(1)).alias("held"))
+    g = used.groupBy("mix_name", "source").agg(
+        F.count_if(F.col("times").isNull()).alias("strangers"), F.count_if(F.col("copies") > F.col("max_repeats")).alias("beyond"), F.max("copies").alias("most"), F.min("copies").alias("least"), F.count(F.lit(1)).alias("n")
+    )
+    g = g.join(held, "source", "left").withColumn("uneven", F.col("most") - F.when(F.col("n") < F.col("held"), 0).otherwise(F.col("least")) > 1)
+    n = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
+    return wanted.join(g, ["mix_name", "source"], "left").select("mix_name", "source", n(F.col("strangers")).alias("strangers"), n(F.col("beyond")).alias("beyond"), F.coalesce("uneven", F.lit(False)).alias("uneven"))
+
+
+def document_faults(documents: DataFrame, targets: DataFrame, vocab: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
+    sizes = cut(token_sizes(documents, tokenizer, vocab))
+    return faults(sizes, targets, cut(mix(sizes, targets)))

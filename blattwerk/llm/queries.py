@@ -28,6 +28,7 @@ def queries() -> dict[str, Query]:
         "p6_check": lambda s, d: packing.document_faults(table(s, d, "documents"), table(s, d, "container_spec")),
         "p7_mix": lambda s, d: mixing.mix_documents(table(s, d, "documents"), table(s, d, "mix_target"), table(s, d, "vocab")),
         "p7_shares": lambda s, d: mixing.document_shares(table(s, d, "documents"), table(s, d, "mix_target"), table(s, d, "vocab")),
+        "p7_check": lambda s, d: mixing.document_faults(table(s, d, "documents"), table(s, d, "mix_target"), table(s, d, "vocab")),
         "p8_found": lambda s, d: truncation.truncated_documents(table(s, d, "documents")),
         "p8_rates": lambda s, d: truncation.truncation_rates(table(s, d, "documents")),
     }
@@ -52,7 +53,7 @@ found AS (SELECT block_id, CAST(line_no AS INT) AS line_no FROM keys JOIN k USIN
 
 def oracle_sql() -> dict[str, str]:
     """The exact shares of problem 3 in SQL (the operator's test for excess keeps all of these lines here), and what
-    must hold of any packing."""
+    must hold of any packing and any mix."""
     return {
         "p5_plain": r"""WITH t AS (SELECT block_id, max(coalesce(markdown, '')) AS text FROM page_block WHERE block_id IS NOT NULL GROUP BY block_id),
 v AS (SELECT list(DISTINCT lower(word)) AS known FROM vocab WHERE freq_rank <= 50 AND word IS NOT NULL),
@@ -63,6 +64,8 @@ c AS (SELECT block_id, CAST(len(ws) AS BIGINT) AS words, CAST(length(array_to_st
   CAST(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[.!?:;][ \t]*$'))) AS BIGINT) AS lines_punct FROM w, v)
 SELECT *, CASE WHEN words > 0 THEN letters / words ELSE 0.0 END AS word_length, CASE WHEN words > 0 THEN common / words ELSE 0.0 END AS common_share,
   CASE WHEN chars > 0 THEN symbols / chars ELSE 0.0 END AS symbol_ratio, CASE WHEN lines > 0 THEN lines_punct / lines ELSE 0.0 END AS punct_share FROM c""",
+        "p7_check": """SELECT mix_name, coalesce(lower(trim(source)), '') AS source, CAST(0 AS BIGINT) AS strangers, CAST(0 AS BIGINT) AS beyond, false AS uneven FROM mix_target
+WHERE mix_name IS NOT NULL AND target_share > 0 GROUP BY ALL""",
         "p6_check": """SELECT container_kind, (SELECT count(DISTINCT doc_id) FROM documents) AS documents, CAST(0 AS BIGINT) AS incomplete, CAST(0 AS BIGINT) AS split, CAST(0 AS BIGINT) AS overfull
 FROM container_spec WHERE capacity_tokens > 0 AND container_kind IS NOT NULL GROUP BY container_kind""",
         "p3_found": f"WITH {_FOUND} SELECT block_id, line_no FROM found",

@@ -34,6 +34,17 @@ def test_fitting_total_meets_all_shares(spark):
     assert held["klein"].capped and held["klein"].reached_share < 0.1
 
 
+def test_faults_are_seen(spark):
+    t = _target(spark, [("m", "klein", 1.0, 2)])
+    sizes = _sizes(spark)
+    made = cut(M.mix(sizes, t, total_tokens=600))
+    assert [tuple(r) for r in M.faults(sizes, t, made).collect()] == [("m", "klein", 0, 0, False)]
+    from pyspark.sql import functions as F
+
+    worse = made.withColumn("copies", F.when(F.col("doc_id") == 10_003, 5).otherwise(F.col("copies"))).withColumn("doc_id", F.when(F.col("doc_id") == 10_004, 7).otherwise(F.col("doc_id")))
+    assert [tuple(r) for r in M.faults(sizes, t, worse).collect()] == [("m", "klein", 1, 1, True)]
+
+
 def test_complete_epochs_precede_the_draw(spark):
     t = _target(spark, [("m", "klein", 1.0, 5)])
     rows = M.mix(_sizes(spark), t, total_tokens=1000).collect()
