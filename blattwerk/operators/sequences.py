@@ -204,7 +204,7 @@ def settled(x: DataFrame, page: str, step: Callable[[DataFrame], DataFrame], rou
 
     A boundary may depend on where the group before it began. ``step`` gives all flags anew from those that are there; each
     round makes at least the next row of a page right, so it ends. Nearly all pages are settled after ``rounds`` rounds, and
-    only those that are not go on.
+    only those that are not go on, by more rounds at a time.
     """
     done = None
     while True:
@@ -217,4 +217,4 @@ def settled(x: DataFrame, page: str, step: Callable[[DataFrame], DataFrame], rou
         done = part if done is None else done.unionByName(part)
         if ready:
             return done
-        x = x.join(open_, page, "left_semi").drop("_was")
+        x, rounds = x.join(open_, page, "left_semi").drop("_was"), min(2 * rounds, 8)
