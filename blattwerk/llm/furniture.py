@@ -5,16 +5,15 @@ lines are counted by (preview, key) over all blocks, and those over the rule's
 bounds are joined to the blocks of their preview.
 
 Stamped lines that do not come back are told by a small log-odds classifier over
-hashed words and word pairs of a line. It is fitted on a bounded sample
-(``SAMPLE_BLOCKS`` blocks of whole previews, taken by hash of the preview's name),
-labelled by the same rule. The model has a fixed size and is applied to every line
-of every block.
+hashed words and word pairs of a line. It is fitted on every distinct line of all
+blocks, labelled by the same rule: lines meet by their key, and only the counts of
+the buckets reach the driver. The model has a fixed size and is applied to every
+line of every block.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,12 +25,13 @@ from pyspark.sql import functions as F
 from blattwerk.llm.textkernel import NUMBER, Tokens, line_keys, line_starts, segment_sum, skeleton, slices, tokens, word_hash
 from blattwerk.plans import broadcast_if_small, cut, spread
 
-#: Most blocks that the sample holds, and the longest text in it.
-SAMPLE_BLOCKS, SAMPLE_CHARS = 24_000, 4_000
 #: A stamped line stands in this many blocks and this share of the blocks of its preview, and has this many words.
 MIN_BLOCKS, MIN_SHARE, MIN_WORDS = 3, 0.04, 3
-BUCKETS = 1 << 19
-#: Bound of a feature's weight against a stamped line; weight of a feature that the sample lacks.
+#: Features, and those of a row of counts.
+BUCKETS, RANGE = 1 << 19, 1 << 13
+#: Most tasks a core that count features; each returns ``2 * BUCKETS`` counts.
+TASKS = 16
+#: Bound of a feature's weight against a stamped line; weight of a feature that no line has.
 MOST_AGAINST, UNSEEN = 2.0, -0.5
 _PAIR = np.int64(0x5851F42D4C957F2D)
 
@@ -67,19 +67,23 @@ class LineModel:
 
     def stamped(self, t: Tokens) -> np.ndarray:
         """Per line, whether it is stamped. Lines of fewer than three words never are (page numbers: ``is_page_number``)."""
-        f, line, size = _features(t)
+        f, line = _features(_short(t.h), t.line)
+        size = np.bincount(t.line, minlength=t.n_lines)[: t.n_lines]
         n = np.bincount(line, minlength=t.n_lines)[: t.n_lines]
         score = segment_sum(self.weights[f], line, t.n_lines)
         unseen = segment_sum(self.weights[f] == UNSEEN, line, t.n_lines)
         return (size >= 3) & (unseen < 0.6 * n) & (score / np.sqrt(np.maximum(n, 1)) + self.bias > 0)
 
 
-def _features(t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Feature buckets, the line of each, and the number of words in each line."""
-    h, line = t.h, t.line
-    size = np.bincount(line, minlength=t.n_lines)[: t.n_lines]
+def _short(h: np.ndarray) -> np.ndarray:
+    """32 bits of each hash: far more than the buckets tell apart, and half as much to send."""
+    return (h ^ (h >> 32)) & 0xFFFFFFFF
+
+
+def _features(h: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Feature buckets of the words ``h`` (see :func:`_short`), and the line of each."""
     if len(h) == 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), size
+        return np.zeros(0, np.int64), line
     same = line[1:] == line[:-1]
     with np.errstate(over="ignore"):
         pair = (h[:-1] * _PAIR) ^ (h[1:] >> 7) ^ h[1:]
@@ -87,89 +91,134 @@ def _features(t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     mix = lambda x: ((x ^ (x >> 29)) * np.int64(0x2545F4914F6CDD1D) >> 40) & (BUCKETS - 1)
     with np.errstate(over="ignore"):
         f = np.concatenate([mix(h), mix(pair)])
-    return f, np.concatenate([line, pair_line]), size
+    return f, np.concatenate([line, pair_line])
+
+
+def _packed(t: Tokens, key: np.ndarray, size: np.ndarray) -> bytes:
+    """The lines of two words or more, each key once, as an Arrow stream of ``key`` and ``words``."""
+    some = np.flatnonzero(size >= 2)
+    chosen = np.zeros(t.n_lines, bool)
+    chosen[some[np.unique(key[some], return_index=True)[1]]] = True
+    offsets, words = np.append(0, 4 * np.cumsum(size[chosen])).astype(np.int32), _short(t.h[chosen[t.line]]).astype("<u4")
+    lines = pa.RecordBatch.from_arrays([pa.array(key[chosen]), pa.Array.from_buffers(pa.binary(), int(chosen.sum()), [None, pa.py_buffer(offsets), pa.py_buffer(words)])], ["key", "words"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, lines.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(lines)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lines in batch.column(0):
+            yield from pa.ipc.open_stream(lines.as_buffer())
 
 
-def fit(texts: list[str], groups: list[str], min_blocks: int = MIN_BLOCKS, min_share: float = MIN_SHARE, smooth: float = 1.0) -> LineModel:
-    """Model from texts of whole groups: a line of three words or more is taken for stamped
-    if its skeleton, numbers masked, stands in ``min_blocks`` blocks and ``min_share`` of the group's blocks."""
-    if not texts:
+def distinct_lines(read: DataFrame, recurring: DataFrame) -> DataFrame:
+    """``key`` and ``words`` (short hashes) of the lines of two words or more, over all of ``read`` (see :func:`read_lines`),
+    and whether a line is ``stamped`` in some preview (``recurring``: see :func:`recurring_lines`).
+
+    A key comes once a slice of texts, so a line that stands in many blocks is no hot task.
+    """
+    lines = read.where(F.col("lines").isNotNull()).select("lines").mapInArrow(_unpacked, "key bigint, words binary")
+    stamped = cut(recurring.select(F.explode("stamped").alias("key")).distinct()).withColumn("stamped", F.lit(True))
+    return lines.join(broadcast_if_small(stamped), "key", "left").select("key", "words", F.coalesce("stamped", F.lit(False)).alias("stamped"))
+
+
+def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many lines have each feature, stamped ones and others, a row for ``RANGE`` of them; ``place`` -1 has the lines themselves.
+
+    Rows of a key follow each other.
+    """
+    total, lines = np.zeros((2, BUCKETS), np.int64), np.zeros((2, 1), np.int64)
+    last = None
+    for batch in batches:
+        key = batch.column(0).to_numpy()
+        if not len(key):
+            continue
+        # lines of one key have the same words, so it does not matter which of them counts
+        once = np.append(last is None or key[0] != last, key[1:] != key[:-1])
+        last = key[-1]
+        words, stamped = batch.column(1).cast(pa.binary()), batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+        ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(key) + 1]
+        h = np.frombuffer(words.buffers()[2], np.uint8)[ends[0] : ends[-1]].view("<u4").astype(np.int64)
+        f, line = _features(h, np.repeat(np.arange(len(key)), np.diff(ends) // 4))
+        for kind, mask in enumerate((stamped & once, ~stamped & once)):
+            lines[kind] += mask.sum()
+            total[kind] += np.bincount(f[mask[line]], minlength=BUCKETS)
+    counts = [lines.tobytes(), *(total[:, a : a + RANGE].tobytes() for a in range(0, BUCKETS, RANGE))]
+    yield pa.RecordBatch.from_arrays([pa.array(range(-1, len(counts) - 1), pa.int32()), pa.array(counts, pa.binary())], ["place", "counts"])
+
+
+def _summed(rows: pa.Table) -> pa.Table:
+    counts = sum(np.frombuffer(x.as_buffer(), np.int64) for x in rows.column("counts"))
+    return pa.table({"place": rows.column("place")[:1], "counts": pa.array([counts.tobytes()], pa.binary())})
+
+
+def fit_on_lines(lines: DataFrame, smooth: float = 1.0) -> LineModel:
+    """Model from all of ``lines`` (see :func:`distinct_lines`).
+
+    Each key counts once, so that frequent lines do not outweigh the others. There are at most ``TASKS`` tasks a core; what a
+    task returns has a fixed size, and so have the sums.
+    """
+    tasks = TASKS * lines.sparkSession.sparkContext.defaultParallelism
+    schema = "place int, counts binary"
+    counted = lines.repartition("key").sortWithinPartitions("key").coalesce(tasks).mapInArrow(_count_features, schema)
+    sums = counted.groupBy("place").applyInArrow(_summed, schema).collect()
+    by_place = {r["place"]: np.frombuffer(r["counts"], np.int64).reshape(2, -1).astype(float) for r in sums}
+    if not by_place:
+        return LineModel(np.zeros(BUCKETS), -1.0)
+    count = np.concatenate([by_place[i] for i in sorted(by_place)], axis=1)
+    (n_stamped, n_other), (pos_n, neg_n) = count[:, 0], count[:, 1:]
+    if n_stamped + n_other == 0:
         return LineModel(np.zeros(BUCKETS), -1.0)
-    t = tokens(texts, join_hyphens=False)
-    size = np.bincount(t.line, minlength=t.n_lines)[: t.n_lines]
-    key = line_keys(t)
-    blocks_of: Counter = Counter(groups)
-    seen = {(int(key[i]), int(t.line_block[i])) for i in np.flatnonzero(size >= 3)}
-    count: Counter = Counter((k, groups[b]) for k, b in seen)
-    over: Counter = Counter()
-    for (k, _), n in count.items():
-        over[k] += n
-    stamped = {k for (k, g), n in count.items() if n >= min_blocks and n >= min_share * blocks_of[g]}
-    # one label a distinct line, so that frequent lines do not outweigh the others
-    distinct: dict[int, int] = {}
-    for i in np.flatnonzero(size >= 2):
-        distinct.setdefault(int(key[i]), int(i))
-    label = np.zeros(t.n_lines, np.int8)
-    use = np.zeros(t.n_lines, bool)
-    for k, i in distinct.items():
-        use[i] = True
-        label[i] = k in stamped
-    f, line, _ = _features(t)
-    pos_n = np.bincount(f[(label[line] == 1) & use[line]], minlength=BUCKETS).astype(float)
-    neg_n = np.bincount(f[(label[line] == 0) & use[line]], minlength=BUCKETS).astype(float)
     share = (pos_n.sum() + 1) / (pos_n.sum() + neg_n.sum() + 2)
     # shrunk towards the prior, so that rare features weigh little
     w = np.log((pos_n + smooth * share) / (neg_n + smooth * (1 - share))) - np.log(share / (1 - share))
     # a slot in a stamped line may hold any word of the texts, so single words do not weigh much against it
     w = np.maximum(w, -MOST_AGAINST)
     w[(pos_n + neg_n) == 0] = UNSEEN
-    prior = np.log((label[use].sum() + 1) / max(1.0, (use.sum() - label[use].sum())))
+    prior = np.log((n_stamped + 1) / max(1.0, n_other))
     return LineModel(w.astype(np.float32), float(prior) / 2)
 
 
-def fit_on_sample(blocks: DataFrame, sample_blocks: int = SAMPLE_BLOCKS) -> LineModel:
-    """Model from at most ``sample_blocks`` blocks of ``blocks`` (``name``, ``markdown``).
-
-    Whole previews are taken in the order of their name's hash: the share of previews is
-    chosen from the row count, and the bound holds whatever the sizes are.
-    """
-    named = blocks.where((F.char_length("markdown") <= SAMPLE_CHARS) & F.col("name").isNotNull()).select("name", "markdown")
-    n = blocks.count()
-    slot = F.pmod(F.xxhash64("name"), F.lit(1_000_000))
-    share = min(1_000_000, int(1_000_000 * 0.8 * sample_blocks / max(1, n)) + 1) if n > sample_blocks else 1_000_000
-    # a block that was delivered twice does not come back
-    rows = sorted({(r["name"], r["markdown"]) for r in named.where(slot < share).limit(sample_blocks).collect()})
-    return fit([m for _, m in rows], [n for n, _ in rows])
-
-
-def _block_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _block_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(2).to_pylist()
         for a, b in slices(texts):
             t = tokens(texts[a:b], join_hyphens=False)
-            key = line_keys(t)
-            use = np.flatnonzero((np.bincount(t.line, minlength=t.n_lines)[: t.n_lines] >= MIN_WORDS) & (key != 0))
+            line_key, size = line_keys(t), np.bincount(t.line, minlength=t.n_lines)[: t.n_lines]
+            use = np.flatnonzero((size >= MIN_WORDS) & (line_key != 0))
             # each key once a block; key 0 stands for the block itself
             block = np.concatenate([np.arange(b - a), t.line_block[use]])
-            key = np.concatenate([np.zeros(b - a, np.int64), key[use]])
+            key = np.concatenate([np.zeros(b - a, np.int64), line_key[use]])
             order = np.lexsort((key, block))
             block, key = block[order], key[order]
             once = np.append(True, (block[1:] != block[:-1]) | (key[1:] != key[:-1]))
             block, key = block[once], key[once]
             keys = pa.ListArray.from_arrays(pa.array(np.searchsorted(block, np.arange(b - a + 1)).astype(np.int32)), pa.array(key))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), keys], ["block_id", "preview", "keys"])
+            lines = pa.array([_packed(t, line_key, size), *[None] * (b - a - 1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), keys, lines], ["block_id", "preview", "keys", "lines"])
 
 
-def recurring_lines(blocks: DataFrame) -> DataFrame:
-    """``preview`` (a hash of ``name``) and ``stamped``, the keys of the lines that come back in it, over all blocks.
+def read_lines(blocks: DataFrame) -> DataFrame:
+    """``block_id, preview`` (a hash of ``name``) and ``keys`` of the lines of each row of ``blocks``; the first row of a slice of texts
+    has its ``lines``, packed (see :func:`distinct_lines`). Texts are read once for both.
 
-    Blocks with a null id or name, or without text, are left out; repeated rows of a block count once. Pairs are
-    counted with partial aggregation, so a preview that holds a large share of the blocks is no hot task.
+    Blocks with a null id or name, or without text, are left out.
     """
     text = F.col("markdown").cast("string")
     narrow = blocks.where(F.col("block_id").isNotNull() & F.col("name").isNotNull() & (F.coalesce(text, F.lit("")) != ""))
     narrow = spread(narrow.select(F.col("block_id").cast("bigint").alias("block_id"), F.xxhash64("name").alias("preview"), text.alias("markdown")))
-    rows = narrow.mapInArrow(_block_keys, "block_id bigint, preview bigint, keys array<bigint>").dropDuplicates(["block_id"])
+    return cut(narrow.mapInArrow(_block_lines, "block_id bigint, preview bigint, keys array<bigint>, lines binary"))
+
+
+def recurring_lines(read: DataFrame) -> DataFrame:
+    """``preview`` and ``stamped``, the keys of the lines that come back in it, over all of ``read`` (see :func:`read_lines`).
+
+    Repeated rows of a block count once. Pairs are counted with partial aggregation, so a preview that holds a large
+    share of the blocks is no hot task.
+    """
+    rows = read.select("block_id", "preview", "keys").dropDuplicates(["block_id"])
     pairs = rows.select("preview", F.explode("keys").alias("key")).groupBy("preview", "key").agg(F.count(F.lit(1)).alias("k"))
     often = cut(pairs.where(F.col("k") >= MIN_BLOCKS))
     size = often.where("key = 0").select("preview", F.col("k").alias("n"))

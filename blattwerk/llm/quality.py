@@ -5,8 +5,8 @@ of a text are summed by Spark's partial aggregation, as a tree. What a cut could
 is carried over it: parted words are joined first, lines longer than ``LONG_LINE`` are
 counted where they end, and passages are compared over the whole text. So the counts
 are the same for every size of a chunk. Ratios and the rule are derived from the sums.
-The rule is linear in the ratios; it starts from fixed weights and is fitted on a
-bounded sample of rated texts, with the fixed weights as prior.
+The rule is linear in the ratios; it starts from fixed weights and is fitted on all
+rated texts, with the fixed weights as prior; each step of the fit sums over them.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blattwerk.llm.furniture import LineModel, fit_on_sample, page_numbers, recurring_lines, with_recurring, without_recurring
+from blattwerk.llm.furniture import LineModel, distinct_lines, fit_on_lines, page_numbers, read_lines, recurring_lines, with_recurring, without_recurring
 from blattwerk.llm.repetition import only_words, repeated_words
 from blattwerk.llm.textkernel import NUMBER, Tokens, prepare, slices, tokenised, word_hash
 from blattwerk.plans import cut, spread
@@ -29,8 +29,6 @@ from blattwerk.plans import cut, spread
 CHUNK, LONG_LINE = 1_000_000, 2_000
 #: Ranks of the vocabulary that count as common words.
 COMMON_RANKS = 50
-#: Most rated texts that the rule is fitted on.
-SAMPLE_RATED = 5_000
 #: Strength of the prior weights, in rated texts.
 PRIOR = 1.0
 
@@ -222,26 +220,55 @@ def ratios() -> list[Column]:
     ]
 
 
-def fit_rule(rows: Sequence[Sequence[float]], prose: Sequence[bool]) -> tuple[np.ndarray, float]:
-    """Weights and constant of the logistic rule, fitted with the fixed weights as prior."""
-    x = np.asarray(rows, float).reshape(-1, len(RATIOS))
+def _slopes(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Gradient (first column) and curvature of the loss at the weights ``w``, summed over the rows of ``x``, ratios and labels."""
     x = np.column_stack([x, np.ones(len(x))])
-    y = np.asarray(prose, float)
+    p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+    return np.column_stack([x.T @ (p - y), (x * (p * (1 - p) + 1e-6)[:, None]).T @ x])
+
+
+def _fitted(slopes: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, float]:
+    """Weights and constant of the logistic rule by Newton's steps; ``slopes`` gives the sums of :func:`_slopes` over all rows."""
     prior = np.array([*PRIOR_WEIGHTS, PRIOR_CONSTANT])
     scale = np.array([0.1, 0.1, 0.1, 0.2, 0.03, 0.1, 0.3, 4.0, 1.0])  # usual spread of each ratio
     pull = PRIOR * scale**2
     w = prior.copy()
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - y) + pull * (w - prior)
-        hess = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(pull)
-        step = np.linalg.solve(hess, grad)
+        sums = slopes(w)
+        step = np.linalg.solve(sums[:, 1:] + np.diag(pull), sums[:, 0] + pull * (w - prior))
         w -= step
         if np.abs(step).max() < 1e-8:
             break
     return w[:-1], float(w[-1])
 
 
+def fit_rule(rows: Sequence[Sequence[float]], prose: Sequence[bool]) -> tuple[np.ndarray, float]:
+    """Weights and constant of the logistic rule, fitted with the fixed weights as prior."""
+    x, y = np.asarray(rows, float).reshape(-1, len(RATIOS)), np.asarray(prose, float)
+    return _fitted(lambda w: _slopes(x, y, w))
+
+
+def fit_rule_on(known: DataFrame) -> tuple[np.ndarray, float]:
+    """:func:`fit_rule` over all rows of ``known`` (``prose`` and ``RATIOS``); a step takes one sum of 90 numbers over them."""
+    known = cut(known.select("prose", *RATIOS))
+    shape = (len(RATIOS) + 1, len(RATIOS) + 2)
+
+    def slopes(w: np.ndarray) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(shape)
+            for batch in batches:
+                y, *x = (c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns)
+                total += _slopes(np.column_stack(x), y, w)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.reshape(-1))], ["place", "value"])
+
+        sums = np.zeros(shape)
+        for r in known.mapInArrow(run, "place bigint, value double").groupBy("place").agg(F.sum("value").alias("value")).collect():
+            sums.flat[r["place"]] = r["value"]
+        return sums
+
+    return _fitted(slopes)
+
+
 def prose_weights(texts: list[str], articles: np.ndarray, common: np.ndarray) -> np.ndarray:
     """Quality weight of each text, from 0 to 1: how likely the rule with its fixed weights takes it for running
     prose, times the share of its words that repeat no passage."""
@@ -267,7 +294,10 @@ def text_quality(texts: DataFrame, id_col: str, text_col: str, vocab: DataFrame,
 
 def block_quality(blocks: DataFrame, vocab: DataFrame) -> DataFrame:
     """``block_id``, counts and ratios of each block (once), stamped lines and page numbers left out."""
-    return text_quality(blocks, "block_id", "markdown", vocab, fit_on_sample(blocks), recurring=recurring_lines(blocks)).withColumnRenamed("id", "block_id")
+    read = read_lines(blocks)
+    recurring = recurring_lines(read)
+    model = fit_on_lines(distinct_lines(read, recurring))
+    return text_quality(blocks, "block_id", "markdown", vocab, model, recurring=recurring).withColumnRenamed("id", "block_id")
 
 
 def rated(kinds: DataFrame) -> DataFrame:
@@ -276,16 +306,12 @@ def rated(kinds: DataFrame) -> DataFrame:
     return votes.where(F.col("share") != 0.5).select("block_id", (F.col("share") > 0.5).alias("prose"))
 
 
-def judged_blocks(quality: DataFrame, kinds: DataFrame, sample: int = SAMPLE_RATED) -> DataFrame:
+def judged_blocks(quality: DataFrame, kinds: DataFrame) -> DataFrame:
     """``quality`` with ``prose_score`` (positive: running prose) and ``not_prose``.
 
-    The rule is fitted on at most ``sample`` rated blocks, taken by hash of their id.
+    The rule is fitted on all rated blocks.
     """
-    n = kinds.select("block_id").distinct().count()
-    slot = F.pmod(F.xxhash64("block_id"), F.lit(1_000_000))
-    labels = rated(kinds).where(slot < min(1_000_000, int(1_000_000 * sample / max(1, n)))).limit(sample)
-    known = quality.join(labels, "block_id").where(F.col("words") > 0).select("prose", *RATIOS).collect()
-    weights, constant = fit_rule([[r[c] for c in RATIOS] for r in known], [r["prose"] for r in known])
+    weights, constant = fit_rule_on(quality.join(rated(kinds), "block_id").where(F.col("words") > 0))
     score = F.lit(constant)
     for c, w in zip(RATIOS, weights, strict=True):
         score = score + F.col(c) * float(w)

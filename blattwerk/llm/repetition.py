@@ -24,7 +24,8 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blattwerk.llm.furniture import LineModel, fit_on_sample, page_numbers, recurring_lines, with_recurring, without_recurring
+from blattwerk.llm.furniture import LineModel, distinct_lines, page_numbers, read_lines, recurring_lines, with_recurring, without_recurring
+from blattwerk.llm.furniture import fit_on_lines as fit_on_sample  # the name by which tests put a model of their own
 from blattwerk.llm.textkernel import Tokens, slices, tokens
 from blattwerk.plans import cut, spread
 
@@ -203,8 +204,10 @@ def repetition(texts: DataFrame, id_col: str, text_col: str, model: LineModel |
 
 def block_repetition(blocks: DataFrame, all_rows: bool = True) -> DataFrame:
     """``block_id, llr, repeated_share`` of each block (once), stamped lines left out."""
-    model = fit_on_sample(blocks)
-    r = repetition(blocks, "block_id", "markdown", model, all_rows, recurring_lines(blocks))
+    read = read_lines(blocks)
+    recurring = recurring_lines(read)
+    model = fit_on_sample(distinct_lines(read, recurring))
+    r = repetition(blocks, "block_id", "markdown", model, all_rows, recurring)
     return r.groupBy(F.col("id").alias("block_id")).agg(F.min("llr").alias("llr"), F.max("repeated_share").alias("repeated_share"))
 
 

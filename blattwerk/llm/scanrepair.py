@@ -25,7 +25,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from blattwerk.llm.furniture import LineModel, fit_on_sample, is_page_number, recurring_lines, recurs, with_recurring
+from blattwerk.llm.furniture import LineModel, distinct_lines, is_page_number, read_lines, recurring_lines, recurs, with_recurring
+from blattwerk.llm.furniture import fit_on_lines as fit_on_sample  # the name by which tests put a model of their own
 from blattwerk.llm.textkernel import CONJUNCTIONS, HYPHENS, RARE_GLYPHS, line_starts, skeleton, slices, tokens
 from blattwerk.plans import broadcast_if_small, cut, spread
 
@@ -322,10 +323,12 @@ def scan_defects(blocks: DataFrame, counts: DataFrame | None = None) -> DataFram
     an empty result. Columns other than ``block_id, name, origin, markdown`` are ignored.
     ``counts`` are those of :func:`counted_forms`, if they are there already.
     """
-    model = fit_on_sample(blocks)
+    read = read_lines(blocks)
+    recurring = recurring_lines(read)
+    model = fit_on_sample(distinct_lines(read, recurring))
     counts = counted_forms(blocks) if counts is None else counts
     right = cut(spelling(counts.where("what = 0").select(F.col("key").alias("form"), F.col("a").alias("trusted"), F.col("b").alias("other"))))
-    scans = with_recurring(scanned(blocks, counts), recurring_lines(blocks), "name")
+    scans = with_recurring(scanned(blocks, counts), recurring, "name")
     found = scans.mapInArrow(_find(model, form_filter(right)), "block_id bigint, line_no int, kind string, word string, start int, part string, before string, after string").distinct()
     found = cut(found)
     plain = found.where("kind <> 'misread'").select("block_id", "line_no", "kind", "word", F.lit(None).cast("int").alias("start"), F.lit(None).cast("string").alias("token"))
